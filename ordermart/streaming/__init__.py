@@ -1,0 +1,7 @@
+"""Streaming.
+
+The pipeline this package re-expresses is batch full-refresh over static
+files: it has no stream source, watermark, window or state. Nothing is built
+here on purpose; a scheduled re-run of ``ordermart.plans.pipeline`` is the
+refresh mechanism.
+"""
