@@ -156,12 +156,15 @@ def fact_order_items(order_items: DataFrame, created_at) -> DataFrame:
     )
 
 
-def build_analytics(stg: dict[str, DataFrame], created_at) -> dict[str, DataFrame]:
-    return {
-        "dim_customers": dim_customers(stg["customers"], stg["orders"], created_at),
-        "dim_products": dim_products(stg["products"], created_at),
-        "dim_sellers": dim_sellers(stg["sellers"], created_at),
-        "fact_orders": fact_orders(stg["orders"], stg["customers"], stg["order_items"],
-                                   stg["order_payments"], stg["order_reviews"], created_at),
-        "fact_order_items": fact_order_items(stg["order_items"], created_at),
-    }
+def build_analytics(stg, created_at):
+    """Dimensions and facts over a staging mapping, each built on first use."""
+    from ordermart.plans.lazy import LazyMap
+
+    return LazyMap({
+        "dim_customers": lambda: dim_customers(stg["customers"], stg["orders"], created_at),
+        "dim_products": lambda: dim_products(stg["products"], created_at),
+        "dim_sellers": lambda: dim_sellers(stg["sellers"], created_at),
+        "fact_orders": lambda: fact_orders(stg["orders"], stg["customers"], stg["order_items"],
+                                           stg["order_payments"], stg["order_reviews"], created_at),
+        "fact_order_items": lambda: fact_order_items(stg["order_items"], created_at),
+    })

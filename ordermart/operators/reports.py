@@ -209,15 +209,19 @@ def insights(summary: DataFrame, monthly: DataFrame, category_perf: DataFrame,
     return peak.unionByName(worst).unionByName(lead_state).unionByName(lead_cat)
 
 
-def build_reports(an: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    fo, fi = an["fact_orders"], an["fact_order_items"]
-    return {
-        "monthly_sales": monthly_sales(fo),
-        "category_performance": category_performance(fi, an["dim_products"], fo),
-        "state_performance": state_performance(fo),
-        "seller_performance": seller_performance(fi, an["dim_sellers"], fo),
-        "dashboard_summary": dashboard_summary(fo),
-    }
+def build_reports(an):
+    """The five reporting views over an analytics mapping, built on first use."""
+    from ordermart.plans.lazy import LazyMap
+
+    return LazyMap({
+        "monthly_sales": lambda: monthly_sales(an["fact_orders"]),
+        "category_performance": lambda: category_performance(
+            an["fact_order_items"], an["dim_products"], an["fact_orders"]),
+        "state_performance": lambda: state_performance(an["fact_orders"]),
+        "seller_performance": lambda: seller_performance(
+            an["fact_order_items"], an["dim_sellers"], an["fact_orders"]),
+        "dashboard_summary": lambda: dashboard_summary(an["fact_orders"]),
+    })
 
 
 # --- exports (ordered result sets) ----------------------------------------

@@ -153,14 +153,17 @@ def stg_order_reviews(raw: DataFrame, staged_at) -> DataFrame:
     )
 
 
-def build_staging(raw: dict[str, DataFrame], staged_at) -> dict[str, DataFrame]:
-    return {
-        "customers": stg_customers(raw["customers"], staged_at),
-        "products": stg_products(raw["products"], raw["product_category_translation"], staged_at),
-        "sellers": stg_sellers(raw["sellers"], staged_at),
-        "geolocation": stg_geolocation(raw["geolocation"], staged_at),
-        "orders": stg_orders(raw["orders"], staged_at),
-        "order_items": stg_order_items(raw["order_items"], staged_at),
-        "order_payments": stg_order_payments(raw["order_payments"], staged_at),
-        "order_reviews": stg_order_reviews(raw["order_reviews"], staged_at),
-    }
+def build_staging(raw, staged_at):
+    """Staging models over a raw-table mapping, each built on first use."""
+    from ordermart.plans.lazy import LazyMap
+
+    return LazyMap({
+        "customers": lambda: stg_customers(raw["customers"], staged_at),
+        "products": lambda: stg_products(raw["products"], raw["product_category_translation"], staged_at),
+        "sellers": lambda: stg_sellers(raw["sellers"], staged_at),
+        "geolocation": lambda: stg_geolocation(raw["geolocation"], staged_at),
+        "orders": lambda: stg_orders(raw["orders"], staged_at),
+        "order_items": lambda: stg_order_items(raw["order_items"], staged_at),
+        "order_payments": lambda: stg_order_payments(raw["order_payments"], staged_at),
+        "order_reviews": lambda: stg_order_reviews(raw["order_reviews"], staged_at),
+    })

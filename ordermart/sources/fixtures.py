@@ -21,8 +21,17 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
+_READ_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table (file listing and footer read once per session)."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _READ_CACHE.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _READ_CACHE[key] = df
+    return df
 
 
 def _s(c: Column) -> Column:
@@ -227,6 +236,8 @@ SOURCE_BUILDERS = {
 }
 
 
-def source_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine source files' contents (text cells) as lazy DataFrames."""
-    return {t: build(spark, sf_dir) for t, build in SOURCE_BUILDERS.items()}
+def source_frames(spark: SparkSession, sf_dir: str):
+    """The nine source files' contents (text cells), each built on first use."""
+    from ordermart.plans.lazy import LazyMap
+
+    return LazyMap({t: (lambda b=build: b(spark, sf_dir)) for t, build in SOURCE_BUILDERS.items()})

@@ -17,8 +17,14 @@ from pyspark.sql import types as T
 from ordermart.schemas import NULL_TOKENS, RAW_COLUMNS, RAW_FILE_OF
 
 
-def null_tokens_to_null(c: Column) -> Column:
-    return F.when(c.isin(*NULL_TOKENS), F.lit(None).cast(T.StringType())).otherwise(c)
+_TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in NULL_TOKENS)
+
+
+def null_tokens_to_null(name: str) -> Column:
+    """NULL when the cell is a null token (one SQL expression: one round trip
+    to build, an InSet hash probe to evaluate)."""
+    q = "`" + name.replace("`", "``") + "`"
+    return F.expr(f"CASE WHEN {q} IN ({_TOKENS_SQL}) THEN CAST(NULL AS STRING) ELSE {q} END")
 
 
 def run_timestamp() -> _dt.datetime:
@@ -28,7 +34,7 @@ def run_timestamp() -> _dt.datetime:
 
 def to_raw(df: DataFrame, table: str, loaded_at: _dt.datetime) -> DataFrame:
     """Declared columns in declared order, null tokens mapped, lineage added."""
-    cols = [null_tokens_to_null(F.col(c)).alias(c) for c in RAW_COLUMNS[table]]
+    cols = [null_tokens_to_null(c).alias(c) for c in RAW_COLUMNS[table]]
     return df.select(
         *cols,
         F.lit(RAW_FILE_OF[table]).alias("source_file"),
@@ -36,5 +42,8 @@ def to_raw(df: DataFrame, table: str, loaded_at: _dt.datetime) -> DataFrame:
     )
 
 
-def raw_from_sources(sources: dict[str, DataFrame], loaded_at: _dt.datetime) -> dict[str, DataFrame]:
-    return {t: to_raw(df, t, loaded_at) for t, df in sources.items()}
+def raw_from_sources(sources, loaded_at: _dt.datetime):
+    """Raw tables from source frames (a mapping; built per table on first use)."""
+    from ordermart.plans.lazy import LazyMap
+
+    return LazyMap({t: (lambda t=t: to_raw(sources[t], t, loaded_at)) for t in sources})
