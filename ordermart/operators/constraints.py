@@ -127,10 +127,15 @@ def table_violations(spec: TableSpec, tables: dict[str, DataFrame]) -> DataFrame
     return out
 
 
-def constraint_violations(stg: dict[str, DataFrame], an: dict[str, DataFrame]) -> DataFrame:
-    tables = {f"staging.{k}": v for k, v in stg.items()}
-    tables.update({f"analytics.{k}": v for k, v in an.items()})
-    parts = [table_violations(s, tables) for s in specs()]
+def constraint_violations(stg, an, stg_for_refs=None) -> DataFrame:
+    """Violations of every declared constraint of the given layer(s);
+    pass ``None`` for a layer to skip it."""
+    tables = {}
+    for prefix, layer in (("staging", stg if stg is not None else stg_for_refs), ("analytics", an)):
+        if layer is not None:
+            tables.update({f"{prefix}.{k}": v for k, v in layer.items()})
+    wanted = {p for p, layer in (("staging", stg), ("analytics", an)) if layer is not None}
+    parts = [table_violations(s, tables) for s in specs() if s.table.split(".")[0] in wanted]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
