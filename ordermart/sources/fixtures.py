@@ -114,9 +114,12 @@ def order_items_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_quantity", "l_shipdate", "l_discount", "l_tax")
-    return li.select(
+    # number the lines on the raw columns first; the text formatting below
+    # then runs after the shuffle instead of inflating it
+    numbered = li.withColumn("rn", F.row_number().over(w))
+    return numbered.select(
         F.concat(F.lit("o"), _s(F.col("l_orderkey"))).alias("order_id"),
-        _s(F.row_number().over(w)).alias("order_item_id"),
+        _s(F.col("rn")).alias("order_item_id"),
         F.concat(F.lit("p"), _s(F.col("l_partkey"))).alias("product_id"),
         F.concat(F.lit("s"), _s(F.col("l_suppkey"))).alias("seller_id"),
         _ts_text(F.col("l_shipdate")).alias("shipping_limit_date"),
