@@ -6,7 +6,9 @@ and prints ONE JSON line:
 
 ``value`` is the wall time of the full pipeline (load -> staging -> checks ->
 analytics -> views -> constraints -> reconciliation -> publish -> export), the
-reference's published figure being ~28 s for its five tasks. ``queries``
+reference's published figure being ~28 s for its five tasks. The first run
+in the session (JVM warm-up included) is reported as cold_first_run_seconds;
+``value`` is the second, steady-state run. ``queries``
 holds the stage times and the time of each headline report recomputed from the
 published facts.
 """
@@ -34,10 +36,11 @@ def main() -> None:
     out_root = os.environ.get("BENCH_OUT") or tempfile.mkdtemp(prefix="ordermart-bench-")
     spark = build_local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
 
-    # warm-up: one full run at the smallest scale (JIT, class loading, codegen
-    # caches), as a long-lived cluster session would already be warm
+    # warm-up: one full run at the same scale (class loading, JIT of the hot
+    # loops, whole-stage codegen caches), as in a long-lived session. Its time
+    # is reported as cold_first_run_seconds; `value` is the steady-state run.
     w0 = time.perf_counter()
-    pipeline.run_pipeline(spark, f"{out_root}/warmup", sf_dir="/root/testdata/sf0.001")
+    pipeline.run_pipeline(spark, f"{out_root}/warmup", sf_dir=sf_dir)
     warmup = time.perf_counter() - w0
 
     t0 = time.perf_counter()
@@ -69,7 +72,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "staging_warnings": sum(1 for r in res.staging_checks if r["status"] == "WARN"),
         "checks_run": len(res.staging_checks) + len(res.analytics_checks),
-        "warmup_pipeline_seconds_sf0.001": round(warmup, 3),
+        "cold_first_run_seconds": round(warmup, 3),
     }))
     spark.stop()
 
