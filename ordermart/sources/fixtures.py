@@ -13,10 +13,12 @@ bounded) and one order-grain join of orders to customer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermart.operators.ranking import row_number_by
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
@@ -107,16 +109,16 @@ def orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_items_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item sequence numbers per order. (l_orderkey, l_linenumber) is not
     unique in the driver data, so the number is a row_number over a total
-    order of the line's attributes."""
+    order of the line's attributes - size-checked, so an order holding a
+    large share of all lines is numbered in slices, not in one task."""
     li = read_driver(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
         "l_quantity", "l_shipdate", "l_discount", "l_tax")
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_quantity", "l_shipdate", "l_discount", "l_tax")
     # number the lines on the raw columns first; the text formatting below
     # then runs after the shuffle instead of inflating it
-    numbered = li.withColumn("rn", F.row_number().over(w))
+    numbered = row_number_by(li, "l_orderkey", [
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        "l_quantity", "l_shipdate", "l_discount", "l_tax"], "rn")
     return numbered.select(
         F.concat(F.lit("o"), _s(F.col("l_orderkey"))).alias("order_id"),
         _s(F.col("rn")).alias("order_item_id"),
