@@ -3,10 +3,11 @@ violation counts.
 
 Spark enforces no constraints, so each declared constraint becomes a count
 of violating rows, and the pipeline refuses to publish when any is non-zero.
-Per table, all NOT NULL and CHECK predicates are evaluated in ONE aggregate
-(a CHECK passes on NULL, as in SQL: a violation is ``NOT coalesce(pred,
+Every count is a scalar subquery; evaluated in one projection, Catalyst's
+MergeScalarSubqueries fuses all NOT NULL / CHECK counts of a table into one
+scan (a CHECK passes on NULL, as in SQL: a violation is ``NOT coalesce(pred,
 true)``); each primary key is one distinct count and each foreign key one
-``left_anti`` join.
+``left_anti`` join, shared with the orphan check of the same relationship.
 """
 
 from __future__ import annotations
@@ -92,51 +93,61 @@ def specs() -> list[TableSpec]:
     ]
 
 
-def _long(df: DataFrame, table: str, named: list[tuple[str, Column]]) -> DataFrame:
-    """One aggregate row -> (table_name, constraint_name, violations) rows."""
-    agg = df.agg(*[c.alias(f"v{i}") for i, (_, c) in enumerate(named)])
-    return agg.select(F.inline(F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(n).alias("constraint_name"),
-                 F.col(f"v{i}").alias("violations"))
-        for i, (n, _) in enumerate(named)
-    ])))
+def anti_join(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Child rows without a parent row (a NULL key never matches).
 
+    Shared by the orphan checks and the foreign-key constraints: both are
+    aggregates over this one subtree, which Catalyst merges into one join."""
+    p = parent.select(F.col(parent_key).alias("_parent_key"))
+    return child.join(p, F.col(child_key) == F.col("_parent_key"), "left_anti")
 
-def table_violations(spec: TableSpec, tables: dict[str, DataFrame]) -> DataFrame:
+
+def table_measures(spec: TableSpec, tables: dict[str, DataFrame]) -> list[tuple[str, str, Column]]:
+    """(table, constraint, violation count as a scalar subquery) per constraint.
+
+    Aggregates over the same table are merged by Catalyst into one scan."""
     df = tables[spec.table]
     pk = list(spec.primary_key)
     pk_null = F.lit(False)
     for c in pk:
         pk_null = pk_null | F.col(c).isNull()
     key = F.col(pk[0]) if len(pk) == 1 else F.struct(*[F.col(c) for c in pk])
-    named: list[tuple[str, Column]] = [
-        (f"PRIMARY KEY ({', '.join(pk)})",
-         F.count_if(pk_null) + F.count_if(~pk_null) - F.countDistinct(F.when(~pk_null, key))),
-    ]
-    named += [(f"NOT NULL ({c})", F.count_if(F.col(c).isNull())) for c in spec.not_null]
-    named += [(f"CHECK ({n})", F.count_if(~F.coalesce(pred, F.lit(True)))) for n, pred in spec.checks]
-    out = _long(df, spec.table, named)
+    out = [(spec.table, f"PRIMARY KEY ({', '.join(pk)})",
+            df.agg(F.count_if(pk_null) + F.count_if(~pk_null)
+                   - F.countDistinct(F.when(~pk_null, key))).scalar())]
+    out += [(spec.table, f"NOT NULL ({c})", df.agg(F.count_if(F.col(c).isNull())).scalar())
+            for c in spec.not_null]
+    out += [(spec.table, f"CHECK ({n})", df.agg(F.count_if(~F.coalesce(pred, F.lit(True)))).scalar())
+            for n, pred in spec.checks]
     for c, parent, pc in spec.foreign_keys:
-        p = tables[parent].select(F.col(pc).alias("_pk"))
         # a NULL foreign key satisfies the constraint
-        fk = (df.filter(F.col(c).isNotNull()).join(p, F.col(c) == F.col("_pk"), "left_anti")
-              .agg(F.count(F.lit(1)).alias("violations"))
-              .select(F.lit(spec.table).alias("table_name"),
-                      F.lit(f"FOREIGN KEY ({c}) -> {parent}").alias("constraint_name"), "violations"))
-        out = out.unionByName(fk)
+        orphans = anti_join(df, c, tables[parent], pc)
+        out.append((spec.table, f"FOREIGN KEY ({c}) -> {parent}",
+                    orphans.agg(F.count_if(F.col(c).isNotNull())).scalar()))
     return out
 
 
-def constraint_violations(stg, an, stg_for_refs=None) -> DataFrame:
-    """Violations of every declared constraint of the given layer(s);
+def measures(stg, an, stg_for_refs=None) -> list[tuple[str, str, Column]]:
+    """Violation measures of every declared constraint of the given layer(s);
     pass ``None`` for a layer to skip it."""
     tables = {}
     for prefix, layer in (("staging", stg if stg is not None else stg_for_refs), ("analytics", an)):
         if layer is not None:
             tables.update({f"{prefix}.{k}": v for k, v in layer.items()})
     wanted = {p for p, layer in (("staging", stg), ("analytics", an)) if layer is not None}
-    parts = [table_violations(s, tables) for s in specs() if s.table.split(".")[0] in wanted]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = []
+    for spec in specs():
+        if spec.table.split(".")[0] in wanted:
+            out += table_measures(spec, tables)
     return out
+
+
+def as_rows(items: list[tuple[str, str, Column]]):
+    return [F.struct(F.lit(t).alias("table_name"), F.lit(n).alias("constraint_name"),
+                     m.cast("bigint").alias("violations")) for t, n, m in items]
+
+
+def constraint_violations(stg, an, stg_for_refs=None) -> DataFrame:
+    """(table_name, constraint_name, violations), one row per constraint."""
+    spark = (stg if stg is not None else an)[next(iter(stg if stg is not None else an))].sparkSession
+    return spark.range(1).select(F.inline(F.array(*as_rows(measures(stg, an, stg_for_refs)))))

@@ -39,8 +39,9 @@ def n_duplicated_keys(df: DataFrame, key: str) -> Column:
 
 def n_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> Column:
     """Child rows with no parent; a NULL child key is an orphan too."""
-    p = parent.select(F.col(parent_key).alias("_pk"))
-    return child.join(p, F.col(child_key) == F.col("_pk"), "left_anti").agg(F.count(F.lit(1))).scalar()
+    from ordermart.operators.constraints import anti_join
+
+    return anti_join(child, child_key, parent, parent_key).agg(F.count(F.lit(1))).scalar()
 
 
 def total(df: DataFrame, col: str) -> Column:
@@ -54,18 +55,19 @@ class Check:
     severity: str = FAIL
 
 
-def run_checks(spark: SparkSession, checks: list[Check], actual_type: T.DataType) -> DataFrame:
-    """(check_order, name, severity, expected, actual, status), one row per check.
-
-    PASS when actual equals expected (0); otherwise WARN or FAIL by severity.
-    A NULL actual (e.g. SUM over an empty table) is a FAIL, never an error."""
-    rows = F.array(*[
+def check_rows(checks: list[Check], actual_type: T.DataType) -> list[Column]:
+    return [
         F.struct(F.lit(i + 1).alias("check_order"), F.lit(c.name).alias("name"),
                  F.lit(c.severity).alias("severity"), c.actual.cast(actual_type).alias("actual"))
         for i, c in enumerate(checks)
-    ])
+    ]
+
+
+def with_status(df: DataFrame, actual_type: T.DataType) -> DataFrame:
+    """PASS when actual equals expected (0); otherwise WARN or FAIL by severity.
+    A NULL actual (e.g. SUM over an empty table) is a FAIL, never an error."""
     expected = F.lit(0).cast(actual_type)
-    return spark.range(1).select(F.inline(rows)).select(
+    return df.select(
         "check_order", "name", "severity", expected.alias("expected"), "actual",
         F.when(F.col("actual") == expected, "PASS")
         .when(F.col("actual").isNotNull() & (F.col("severity") == WARN), WARN)
@@ -73,6 +75,12 @@ def run_checks(spark: SparkSession, checks: list[Check], actual_type: T.DataType
     )
 
 
+def run_checks(spark: SparkSession, checks: list[Check], actual_type: T.DataType) -> DataFrame:
+    """(check_order, name, severity, expected, actual, status), one row per check."""
+    return with_status(spark.range(1).select(F.inline(F.array(*check_rows(checks, actual_type)))),
+                       actual_type)
+
+
 # --- suites ----------------------------------------------------------------
 
 def staging_checks(raw: dict[str, DataFrame], stg: dict[str, DataFrame]) -> list[Check]:

@@ -93,6 +93,40 @@ def _write_layer(spark, tables, base: str, reconcile=False) -> dict[str, DataFra
     })
 
 
+GATE_TYPE = "decimal(38,2)"
+
+
+def gate_frame(spark: SparkSession, checks: list, items: list) -> DataFrame:
+    """Checks and constraint measures of one layer in ONE projection of
+    scalar subqueries, so that Catalyst merges every aggregate over the same
+    table (and the orphan check with the foreign key of the same relationship)
+    into one scan / one anti join."""
+    def row(kind, order, table, name, severity, actual):
+        return F.struct(F.lit(kind).alias("kind"), F.lit(order).alias("check_order"),
+                        F.lit(table).cast("string").alias("table_name"), F.lit(name).alias("name"),
+                        F.lit(severity).alias("severity"), actual.cast(GATE_TYPE).alias("actual"))
+
+    rows = [row("check", i + 1, None, c.name, c.severity, c.actual) for i, c in enumerate(checks)]
+    rows += [row("constraint", 0, t, n, quality.FAIL, m) for t, n, m in items]
+    out = spark.range(1).select(F.inline(F.array(*rows)))
+    return out.select(
+        "kind", "table_name", "check_order", "name", "severity", "actual",
+        F.when(F.col("actual") == 0, "PASS")
+        .when(F.col("actual").isNotNull() & (F.col("severity") == quality.WARN), quality.WARN)
+        .otherwise(quality.FAIL).alias("status"))
+
+
+def run_gate(spark: SparkSession, checks: list, items: list, count_type=int):
+    rows = gate_frame(spark, checks, items).collect()
+    chk = [dict(check_order=r["check_order"], name=r["name"], severity=r["severity"], expected=0,
+                actual=None if r["actual"] is None else count_type(r["actual"]), status=r["status"])
+           for r in rows if r["kind"] == "check"]
+    viol = [dict(table_name=r["table_name"], constraint_name=r["name"],
+                 violations=None if r["actual"] is None else int(r["actual"]))
+            for r in rows if r["kind"] == "constraint"]
+    return sorted(chk, key=lambda d: d["check_order"]), viol
+
+
 def _gate_checks(stage: str, rows: list) -> None:
     failed = [(r["name"], r["actual"]) for r in rows if r["status"] == "FAIL"]
     if failed:
@@ -138,37 +172,37 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
     raw = _write_layer(spark, {t: raw_frames[t] for t in raw_frames}, f"{base}/raw", reconcile=True)
     lap("load")
 
-    # 2. staging + its constraints
+    # 2. staging
     stg = _write_layer(spark, dict(staging.build_staging(raw, run_ts)), f"{base}/staging")
     lap("staging")
 
-    # 3.-5. Gates overlap the next build: staging constraints / checks run
-    #    while the marts are written, analytics constraints while the views are
-    #    written. Publication below still waits for every gate, and gates are
-    #    reported in pipeline order, so a FAIL publishes nothing, as before.
+    # 3.-5. Each gate is one query (checks + constraint measures of a layer).
+    #    The staging gate runs while the marts and views are written;
+    #    publication still waits for every gate, and gates are reported in
+    #    pipeline order, so a FAIL publishes nothing.
     from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        f_stg_viol = pool.submit(lambda: constraints.constraint_violations(stg, None).collect())
-        f_stg_chk = pool.submit(lambda: quality.staging_quality(spark, raw, stg).collect())
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_stg = pool.submit(lambda: run_gate(
+            spark, quality.staging_checks(raw, stg), constraints.measures(stg, None)))
         try:
             an = _write_layer(spark, dict(marts.build_analytics(stg, run_ts)), f"{base}/analytics")
-            f_an_viol = pool.submit(lambda: constraints.constraint_violations(None, an, stg).collect())
             views = _write_layer(spark, dict(reports.build_reports(an)), f"{base}/views")
             build_error = None
         except Exception as e:  # noqa: BLE001 - staging gates take precedence
             build_error = e
-        res.violations = [r.asDict() for r in f_stg_viol.result()]
-        res.staging_checks = [r.asDict() for r in f_stg_chk.result()]
+        res.staging_checks, res.violations = f_stg.result()
         _gate_constraints("staging constraints", res.violations)
         _gate_checks("staging checks", res.staging_checks)
         lap("staging_gates")
         if build_error is not None:
             raise build_error
-        f_an_chk = pool.submit(lambda: quality.analytics_quality(spark, stg, an, views).collect())
-        an_violations = [r.asDict() for r in f_an_viol.result()]
+        from decimal import Decimal
+
+        res.analytics_checks, an_violations = run_gate(
+            spark, quality.analytics_checks(stg, an, views), constraints.measures(None, an, stg),
+            count_type=Decimal)
         res.violations += an_violations
-        res.analytics_checks = [r.asDict() for r in f_an_chk.result()]
     _gate_constraints("analytics constraints", an_violations)
     _gate_checks("analytics checks", res.analytics_checks)
     lap("analytics_and_gates")
