@@ -3,11 +3,12 @@ violation counts.
 
 Spark enforces no constraints, so each declared constraint becomes a count
 of violating rows, and the pipeline refuses to publish when any is non-zero.
-Every count is a scalar subquery; evaluated in one projection, Catalyst's
-MergeScalarSubqueries fuses all NOT NULL / CHECK counts of a table into one
-scan (a CHECK passes on NULL, as in SQL: a violation is ``NOT coalesce(pred,
-true)``); each primary key is one distinct count and each foreign key one
-``left_anti`` join, shared with the orphan check of the same relationship.
+Per table, the PRIMARY KEY, NOT NULL and CHECK counts are one aggregate (a
+CHECK passes on NULL, as in SQL: a violation is ``NOT coalesce(pred,
+true)``); each foreign key is one ``left_anti`` join. All are scalar
+subqueries, so when the pipeline evaluates them together with the quality
+checks, Catalyst's MergeScalarSubqueries shares each table scan and each
+anti join with the checks over the same table / relationship.
 """
 
 from __future__ import annotations
@@ -103,22 +104,25 @@ def anti_join(child: DataFrame, child_key: str, parent: DataFrame, parent_key: s
 
 
 def table_measures(spec: TableSpec, tables: dict[str, DataFrame]) -> list[tuple[str, str, Column]]:
-    """(table, constraint, violation count as a scalar subquery) per constraint.
+    """(table, constraint, violation count) per constraint of one table.
 
-    Aggregates over the same table are merged by Catalyst into one scan."""
+    All PRIMARY KEY / NOT NULL / CHECK counts of the table are one aggregate
+    (one scan), returned as a single struct-valued scalar subquery; each
+    foreign key is one more scalar over its anti join."""
     df = tables[spec.table]
     pk = list(spec.primary_key)
     pk_null = F.lit(False)
     for c in pk:
         pk_null = pk_null | F.col(c).isNull()
     key = F.col(pk[0]) if len(pk) == 1 else F.struct(*[F.col(c) for c in pk])
-    out = [(spec.table, f"PRIMARY KEY ({', '.join(pk)})",
-            df.agg(F.count_if(pk_null) + F.count_if(~pk_null)
-                   - F.countDistinct(F.when(~pk_null, key))).scalar())]
-    out += [(spec.table, f"NOT NULL ({c})", df.agg(F.count_if(F.col(c).isNull())).scalar())
-            for c in spec.not_null]
-    out += [(spec.table, f"CHECK ({n})", df.agg(F.count_if(~F.coalesce(pred, F.lit(True)))).scalar())
-            for n, pred in spec.checks]
+    named: list[tuple[str, Column]] = [
+        (f"PRIMARY KEY ({', '.join(pk)})",
+         F.count_if(pk_null) + F.count_if(~pk_null) - F.countDistinct(F.when(~pk_null, key))),
+    ]
+    named += [(f"NOT NULL ({c})", F.count_if(F.col(c).isNull())) for c in spec.not_null]
+    named += [(f"CHECK ({n})", F.count_if(~F.coalesce(pred, F.lit(True)))) for n, pred in spec.checks]
+    counts = df.agg(F.struct(*[m.alias(f"v{i}") for i, (_, m) in enumerate(named)]).alias("v")).scalar()
+    out = [(spec.table, n, counts.getField(f"v{i}")) for i, (n, _) in enumerate(named)]
     for c, parent, pc in spec.foreign_keys:
         # a NULL foreign key satisfies the constraint
         orphans = anti_join(df, c, tables[parent], pc)

@@ -24,8 +24,19 @@ def _out(df: DataFrame) -> DataFrame:
     return presentable(df.select(*keep))
 
 
+_LAYERS: dict[tuple[int, str], Layers] = {}
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> Layers:
-    return Layers.from_driver_tables(spark, sf_dir)
+    """One lazily built layer graph per (session, data directory): queries
+    share the DataFrame definitions (plans, not data), so each query only
+    pays for building what it adds on top."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    ly = _LAYERS.get(key)
+    if ly is None or ly.spark is not spark:
+        ly = Layers.from_driver_tables(spark, sf_dir)
+        _LAYERS[key] = ly
+    return ly
 
 
 def _raw(name):
