@@ -212,20 +212,28 @@ def geolocation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Category translation rows used with the driver data (the upstream ships a
-# 71-row file; the driver's part types need only these).
-TRANSLATION_ROWS = (
-    ("economy", "economy_line"),
-    ("medium", "medium_line"),
-    ("standard", "standard_line"),
-    ("large", "large_line"),
-    ("promo", ""),
-)
+# Category translation binding: one row per distinct part type (lower case)
+# except the ones listed as untranslated; the English name is the type with
+# a suffix, and the listed blank ones carry '' (so they fall back to the
+# original name). With the driver's part types this yields
+# economy/economy_line, medium/medium_line, standard/standard_line,
+# large/large_line and promo/'' - 'small' has no row.
+UNTRANSLATED_TYPES = ("small",)
+BLANK_TRANSLATION_TYPES = ("promo",)
+TRANSLATION_SUFFIX = "_line"
 
 
 def translation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = "product_category_name string, product_category_name_english string"
-    return spark.createDataFrame(list(TRANSLATION_ROWS), schema)
+    """Derived from the part table (a distinct over its types), so the scan
+    grows with the data while the vocabulary stays small."""
+    t = F.lower(F.col("p_type"))
+    types = read_driver(spark, sf_dir, "part").select(t.alias("product_category_name")).distinct()
+    name = F.col("product_category_name")
+    return types.filter(~name.isin(*UNTRANSLATED_TYPES) & name.isNotNull()).select(
+        name,
+        F.when(name.isin(*BLANK_TRANSLATION_TYPES), F.lit(""))
+        .otherwise(F.concat(name, F.lit(TRANSLATION_SUFFIX))).alias("product_category_name_english"),
+    )
 
 
 SOURCE_BUILDERS = {
