@@ -25,11 +25,13 @@ from ordermart.sources import csv_ingest, fixtures
 from ordermart.sources.export import export_all
 from ordermart.sources.raw import raw_from_sources, run_timestamp
 
-# Physical layout of the facts: rows clustered by order within each file so
-# that order-keyed reads prune row groups by min/max statistics.
+# Physical layout of the facts, in place of B-tree indexes: rows clustered
+# within each file by the column the index served (purchase time for orders,
+# product for items), so range / key predicates on it skip row groups by
+# their min/max statistics.
 SORT_KEYS = {
-    "fact_orders": ("order_id",),
-    "fact_order_items": ("order_id", "order_item_id"),
+    "fact_orders": ("order_purchase_timestamp",),
+    "fact_order_items": ("product_id",),
 }
 
 
