@@ -56,15 +56,17 @@ def _view(name):
 
 
 def _raw_null_tokens(spark, d):
-    """NULL cells per raw column after the CSV null-token mapping."""
+    """NULL cells per raw column after the CSV null-token mapping: one
+    aggregate per table (a count per column, one scan), unpivoted."""
     raw = _layers(spark, d).raw
     parts = []
     for t, df in sorted(raw.items()):
         cols = [c for c in df.columns if c not in ("source_file", "loaded_at")]
-        parts.append(df.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).isNull().alias("is_null")) for c in cols
-        ]))).groupBy("column_name").agg(F.count_if("is_null").alias("null_cells"))
-            .select(F.lit(t).alias("table_name"), "column_name", "null_cells"))
+        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.col(c).alias("null_cells")) for c in cols
+        ]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
