@@ -8,7 +8,8 @@ prefixes keep their leading zeros) and the CSV null tokens become NULL.
 Files are read with an explicit all-string schema, FAILFAST (a short or
 malformed row aborts the load instead of being padded), and split-parallel;
 only tables whose cells may hold quoted line breaks (review text) are read
-in multi-line mode, which Spark cannot split inside a file.
+in multi-line mode, which Spark cannot split inside a file (so each such
+file is one task: at scale, deliver them as many files).
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def validate_header(spark: SparkSession, path: str, table: str) -> None:
         raise SourceError(f"Unexpected columns in {path}. Expected {expected}, got {actual}")
 
 
-def read_source(spark: SparkSession, source_dir: str, table: str) -> DataFrame:
+def read_source(spark: SparkSession, source_dir: str, table: str,
+                multiline_tables=MULTILINE_TABLES) -> DataFrame:
     """One source file as text cells (header validated first)."""
     path = source_path(source_dir, table)
     validate_header(spark, path, table)
@@ -63,15 +65,23 @@ def read_source(spark: SparkSession, source_dir: str, table: str) -> DataFrame:
             .option("quote", '"')
             .option("escape", '"')
             .option("encoding", "UTF-8")
-            .option("multiLine", table in MULTILINE_TABLES)
+            .option("multiLine", table in multiline_tables)
             .csv(path))
 
 
-def csv_sources(spark: SparkSession, source_dir: str) -> dict[str, DataFrame]:
+def csv_sources(spark: SparkSession, source_dir: str,
+                multiline_tables=MULTILINE_TABLES) -> dict[str, DataFrame]:
     """All nine source files, validated up front (all-or-nothing load)."""
-    return {t: read_source(spark, source_dir, t) for t in RAW_COLUMNS}
+    return {t: read_source(spark, source_dir, t, multiline_tables) for t in RAW_COLUMNS}
 
 
-def ingest(spark: SparkSession, source_dir: str, loaded_at: _dt.datetime) -> dict[str, DataFrame]:
-    """Raw tables (text + null tokens mapped + lineage) from CSV files."""
-    return {t: to_raw(df, t, loaded_at) for t, df in csv_sources(spark, source_dir).items()}
+def ingest(spark: SparkSession, source_dir: str, loaded_at: _dt.datetime,
+           multiline_tables=MULTILINE_TABLES) -> dict[str, DataFrame]:
+    """Raw tables (text + null tokens mapped + lineage) from CSV files.
+
+    ``multiline_tables`` names the sources whose quoted cells may contain
+    line breaks. Such a file is read by one task (a record boundary cannot be
+    found from the middle of the file), so at scale those sources should
+    arrive as many files; sources known to be single-line read split-parallel."""
+    return {t: to_raw(df, t, loaded_at)
+            for t, df in csv_sources(spark, source_dir, multiline_tables).items()}
