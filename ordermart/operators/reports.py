@@ -9,7 +9,7 @@ would pull the input into a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,25 +135,45 @@ def category_bars(category_perf: DataFrame) -> DataFrame:
     )
 
 
-# Dashboard card labels, in display order (fixed values).
+# Dashboard card labels and their display format, in display order (fixed values).
 KPI_CARDS = (
-    ("Delivered orders", "delivered_orders"),
-    ("Customers", "customers"),
-    ("Revenue", "revenue"),
-    ("Average order", "average_order_value"),
-    ("Review score", "average_review_score"),
-    ("Late deliveries", "late_delivery_rate"),
-    ("Delivery time", "average_delivery_days"),
+    ("Delivered orders", "delivered_orders", "integer"),
+    ("Customers", "customers", "integer"),
+    ("Revenue", "revenue", "money"),
+    ("Average order", "average_order_value", "money"),
+    ("Review score", "average_review_score", "score"),
+    ("Late deliveries", "late_delivery_rate", "percent"),
+    ("Delivery time", "average_delivery_days", "days"),
 )
+CURRENCY_PREFIX = "R$"
+
+
+def display(value: Column, kind: str) -> Column:
+    """Card text: grouped integers, whole currency units, one-decimal
+    percentages, two-decimal scores / days. Values are rounded half away from
+    zero to the shown digits first, so the text never depends on a
+    formatter's own rounding mode."""
+    v = value.cast(T.DecimalType(20, 4))
+    if kind == "integer":
+        return F.format_number(F.round(v, 0), 0)
+    if kind == "money":
+        return F.concat(F.lit(CURRENCY_PREFIX), F.format_number(F.round(v, 0), 0))
+    if kind == "percent":
+        return F.concat(F.format_number(F.round(v * 100, 1), 1), F.lit("%"))
+    if kind == "score":
+        return F.concat(F.format_number(F.round(v, 2), 2), F.lit(" / 5"))
+    if kind == "days":
+        return F.concat(F.format_number(F.round(v, 2), 2), F.lit(" days"))
+    raise ValueError(kind)
 
 
 def kpi_long(summary: DataFrame) -> DataFrame:
-    """The seven headline cards as (position, label, value) rows."""
-    v = lambda c: F.col(c).cast(T.DecimalType(20, 4))
+    """The seven headline cards as (position, label, value, display) rows."""
     return summary.select(F.inline(F.array(
         *[F.struct(F.lit(i + 1).alias("position"), F.lit(label).alias("label"),
-                   v(col).alias("value"))
-          for i, (label, col) in enumerate(KPI_CARDS)]
+                   F.col(col).cast(T.DecimalType(20, 4)).alias("value"),
+                   display(F.col(col), kind).alias("display"))
+          for i, (label, col, kind) in enumerate(KPI_CARDS)]
     )))
 
 
@@ -175,6 +195,7 @@ def insights(summary: DataFrame, monthly: DataFrame, category_perf: DataFrame,
         F.lit("peak_revenue_month").alias("insight"),
         F.date_format("order_month", "MMMM yyyy").alias("subject"),
         F.col("revenue").cast(T.DecimalType(20, 4)).alias("value"),
+        display(F.col("revenue"), "money").alias("display"),
         F.col("order_count").alias("order_count"),
         F.col("late_delivery_rate").cast(T.DecimalType(20, 4)).alias("rate"),
         (F.col("late_delivery_rate") > overall_late).alias("above_overall"),
@@ -183,6 +204,7 @@ def insights(summary: DataFrame, monthly: DataFrame, category_perf: DataFrame,
         F.lit("worst_late_month").alias("insight"),
         F.date_format("order_month", "MMMM yyyy").alias("subject"),
         F.col("late_delivery_rate").cast(T.DecimalType(20, 4)).alias("value"),
+        display(F.col("late_delivery_rate"), "percent").alias("display"),
         F.col("order_count").alias("order_count"),
         F.col("late_delivery_rate").cast(T.DecimalType(20, 4)).alias("rate"),
         (F.col("late_delivery_rate") > overall_late).alias("above_overall"),
@@ -194,6 +216,7 @@ def insights(summary: DataFrame, monthly: DataFrame, category_perf: DataFrame,
         F.lit("leading_state").alias("insight"),
         F.col("customer_state").alias("subject"),
         F.col("revenue_share").cast(T.DecimalType(20, 4)).alias("value"),
+        display(F.col("revenue_share"), "percent").alias("display"),
         F.col("order_count").alias("order_count"),
         F.col("late_delivery_rate").cast(T.DecimalType(20, 4)).alias("rate"),
         (F.col("late_delivery_rate") > overall_late).alias("above_overall"),
@@ -202,6 +225,7 @@ def insights(summary: DataFrame, monthly: DataFrame, category_perf: DataFrame,
         F.lit("leading_category").alias("insight"),
         F.regexp_replace("product_category_name", "_", " ").alias("subject"),
         F.col("product_revenue").cast(T.DecimalType(20, 4)).alias("value"),
+        display(F.col("product_revenue"), "money").alias("display"),
         F.col("items_sold").alias("order_count"),
         F.col("average_review_score").cast(T.DecimalType(20, 4)).alias("rate"),
         F.lit(None).cast(T.BooleanType()).alias("above_overall"),
