@@ -1,9 +1,10 @@
 """JSON sink for the dashboard result sets.
 
 Each export is an ordered, size-bounded result (months, states, top 15 / top
-10 lists, one summary row), written by Spark as one JSON-lines file per
-export with NULLs kept and ISO timestamps; money is written as a JSON number.
-Nothing is collected to the driver.
+10 lists, one summary row), written by Spark as one JSON array document per
+export (the records layout the dashboard reads) with NULLs kept and ISO
+timestamps; money is written as a JSON number. Nothing is collected to the
+driver; the only single-task step is the collect_list of a bounded result.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from ordermart.functions import presentable
+from pyspark.sql import types as T
 
 EXPORT_FILES = {
     "dashboard_summary": "dashboard_summary",
@@ -26,12 +26,27 @@ EXPORT_FILES = {
 METADATA_SOURCE = "ordermart Spark analytics layer"
 
 
+JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS",
+                "dateFormat": "yyyy-MM-dd"}
+
+
+def json_array(df: DataFrame) -> DataFrame:
+    """The ordered rows of a bounded result as ONE JSON array document
+    (``orient=records``): a sequence number taken after the sort keeps the
+    order through the single collecting aggregate."""
+    # decimals stay exact (plain JSON numbers, never scientific notation);
+    # calendar days become midnight timestamps, as in the ISO records layout
+    out = df.select(*[
+        F.col(f.name).cast(T.TimestampNTZType()).alias(f.name) if isinstance(f.dataType, T.DateType)
+        else F.col(f.name) for f in df.schema.fields])
+    seq = out.select(F.monotonically_increasing_id().alias("_seq"), F.struct(*out.columns).alias("_row"))
+    rows = seq.agg(F.sort_array(F.collect_list(F.struct("_seq", "_row"))).alias("_rows"))
+    return rows.select(F.to_json(F.transform("_rows", lambda r: r["_row"]), JSON_OPTIONS).alias("value"))
+
+
 def write_json(df: DataFrame, path: str) -> None:
-    """Ordered rows into one JSON-lines file (coalesce keeps the sort order)."""
-    (presentable(df).coalesce(1).write.mode("overwrite")
-     .option("ignoreNullFields", False)
-     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSS")
-     .json(path))
+    """One JSON array file (inside ``path``, as Spark writes text)."""
+    json_array(df).coalesce(1).write.mode("overwrite").text(path)
 
 
 def export_all(spark: SparkSession, exports: dict[str, DataFrame], out_dir: str,
@@ -42,11 +57,11 @@ def export_all(spark: SparkSession, exports: dict[str, DataFrame], out_dir: str,
     concurrently({name: (lambda df=df, p=written[name]: write_json(df, p))
                   for name, df in exports.items()})
     ts = generated_at or _dt.datetime.now(_dt.timezone.utc)
-    meta = spark.range(1).select(
+    meta = spark.range(1).select(F.to_json(F.struct(
         F.lit(ts.isoformat()).alias("generated_at"),
         F.lit(METADATA_SOURCE).alias("source"),
-    )
+    )).alias("value"))
     meta_path = f"{out_dir.rstrip('/')}/metadata"
-    meta.coalesce(1).write.mode("overwrite").json(meta_path)
+    meta.coalesce(1).write.mode("overwrite").text(meta_path)
     written["metadata"] = meta_path
     return written

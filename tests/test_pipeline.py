@@ -51,9 +51,27 @@ def test_csv_pipeline_end_to_end(spark, tmp_dir):
     geo = {r["geolocation_zip_code_prefix"]: r for r in pipeline.read_published(spark, out, "staging", "geolocation").collect()}
     assert geo["01037"]["geolocation_lat"] == Decimal("-23.5100000")
     assert geo["01037"]["geolocation_city"] == "sao paulo"
-    # exports: ordered JSON lines
-    lines = spark.read.json(res.exports["monthly_sales"]).collect()
-    assert len(lines) == 1 and lines[0]["order_month"].startswith("2017-11-01T00:00:00")
+    # exports: one ordered JSON array per result set
+    import glob
+    import json
+
+    def doc(name):
+        files = [f for f in glob.glob(res.exports[name] + "/part-*") if not f.endswith(".crc")]
+        assert len(files) == 1
+        return json.load(open(files[0]))
+
+    monthly = doc("monthly_sales")
+    assert isinstance(monthly, list) and len(monthly) == 1
+    assert monthly[0]["order_month"] == "2017-11-01T00:00:00.000"
+    assert monthly[0]["revenue"] == 48.51
+    states = doc("state_performance")
+    assert [r["customer_state"] for r in states] == ["SP"]
+    sellers = doc("seller_performance")
+    revenues = [r["product_revenue"] for r in sellers]
+    assert revenues == sorted(revenues, reverse=True)
+    assert "average_review_score" in sellers[0]              # NULLs are kept as fields
+    meta = doc("metadata")
+    assert set(meta) == {"generated_at", "source"}
 
 
 def test_failed_gate_keeps_previous_publication(spark, tmp_dir):
