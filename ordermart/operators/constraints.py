@@ -106,23 +106,24 @@ def anti_join(child: DataFrame, child_key: str, parent: DataFrame, parent_key: s
 def table_measures(spec: TableSpec, tables: dict[str, DataFrame]) -> list[tuple[str, str, Column]]:
     """(table, constraint, violation count) per constraint of one table.
 
-    All PRIMARY KEY / NOT NULL / CHECK counts of the table are one aggregate
-    (one scan), returned as a single struct-valued scalar subquery; each
-    foreign key is one more scalar over its anti join."""
+    The NOT NULL / CHECK counts of the table are one aggregate returned as a
+    struct-valued scalar subquery; the PRIMARY KEY (a distinct count) and
+    each foreign key (an anti join) are one scalar each."""
     df = tables[spec.table]
     pk = list(spec.primary_key)
     pk_null = F.lit(False)
     for c in pk:
         pk_null = pk_null | F.col(c).isNull()
     key = F.col(pk[0]) if len(pk) == 1 else F.struct(*[F.col(c) for c in pk])
-    named: list[tuple[str, Column]] = [
-        (f"PRIMARY KEY ({', '.join(pk)})",
-         F.count_if(pk_null) + F.count_if(~pk_null) - F.countDistinct(F.when(~pk_null, key))),
-    ]
-    named += [(f"NOT NULL ({c})", F.count_if(F.col(c).isNull())) for c in spec.not_null]
+    out = [(spec.table, f"PRIMARY KEY ({', '.join(pk)})",
+            df.agg(F.count_if(pk_null) + F.count_if(~pk_null)
+                   - F.countDistinct(F.when(~pk_null, key))).scalar())]
+    # the plain counts form one aggregate without DISTINCT, which Catalyst can
+    # merge with the quality checks' counts over the same table
+    named = [(f"NOT NULL ({c})", F.count_if(F.col(c).isNull())) for c in spec.not_null]
     named += [(f"CHECK ({n})", F.count_if(~F.coalesce(pred, F.lit(True)))) for n, pred in spec.checks]
     counts = df.agg(F.struct(*[m.alias(f"v{i}") for i, (_, m) in enumerate(named)]).alias("v")).scalar()
-    out = [(spec.table, n, counts.getField(f"v{i}")) for i, (n, _) in enumerate(named)]
+    out += [(spec.table, n, counts.getField(f"v{i}")) for i, (n, _) in enumerate(named)]
     for c, parent, pc in spec.foreign_keys:
         # a NULL foreign key satisfies the constraint
         orphans = anti_join(df, c, tables[parent], pc)
