@@ -65,12 +65,14 @@ def month_start(ts: Column) -> Column:
 
 
 def presentable(df: DataFrame) -> DataFrame:
-    """Published representation of a result: money and ratios as DOUBLE and
-    calendar days as midnight timestamps, the way the JSON export renders
-    them. Stored tables keep DECIMAL and DATE; this is only the hand-off."""
+    """Published representation of a result: money and ratios as DOUBLE,
+    calendar days as midnight timestamps (the way the JSON export renders
+    them), and three-valued flags as DOUBLE 1 / 0 / NULL (the way a pandas
+    reader hands over a nullable column). Stored tables keep DECIMAL, DATE
+    and BOOLEAN; this is only the hand-off."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.DecimalType):
+        if isinstance(f.dataType, (T.DecimalType, T.BooleanType)):
             cols.append(F.col(f.name).cast(T.DoubleType()).alias(f.name))
         elif isinstance(f.dataType, T.DateType):
             cols.append(F.col(f.name).cast(T.TimestampNTZType()).alias(f.name))

@@ -47,6 +47,21 @@ def _stg(name):
     return lambda spark, d: _out(_layers(spark, d).staging[name])
 
 
+# Integer columns that may hold NULLs are handed over as DOUBLE (NaN for NULL),
+# the way a pandas-based reader presents a nullable integer column.
+NULLABLE_INT_COLUMNS = {
+    "products": ("product_name_length", "product_description_length", "product_photos_qty"),
+}
+
+
+def _stg_nullable_ints(name):
+    def run(spark, d):
+        df = _out(_layers(spark, d).staging[name])
+        cols = NULLABLE_INT_COLUMNS[name]
+        return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+    return run
+
+
 def _an(name):
     return lambda spark, d: _out(_layers(spark, d).analytics[name])
 
@@ -111,7 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_orphans": _with(lambda ly: quality.raw_orphans(ly.raw)),
     # staging
     "stg_customers": _stg("customers"),
-    "stg_products": _stg("products"),
+    "stg_products": _stg_nullable_ints("products"),
     "stg_sellers": _stg("sellers"),
     "stg_geolocation": _stg("geolocation"),
     "stg_orders": _stg("orders"),
