@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest scale."""
 
-import pytest
 
 from oracle_compare import compare
 
