@@ -75,6 +75,8 @@ def text_key(text) -> list:
 def pieces_of(batch: pa.RecordBatch, column: str, max_bytes: int = 16 << 20):
     """The batch cut into slices of about ``max_bytes`` of ``column``, at
     least one row each, so that memory does not follow the rows of a batch."""
+    if not batch.num_rows:
+        return
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
     cuts = np.unique((np.cumsum(sizes) - 1).clip(0) // max_bytes, return_index=True)[1]
     for a, b in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):

@@ -6,7 +6,8 @@ the mix is shared again by weight among the others until none is above.
 
 Sampling: a target of 1.3 times a source's size is one whole repetition and a
 sample of 0.3 of the source. The sample is the documents with the lowest
-seeded hashes whose sizes sum up to the rest. The hash where the sum ends is
+seeded hashes whose sizes sum up to the rest; at most three documents are then
+put in or out to come nearer. The hash where the sum ends is
 found from histograms over hash cells, two levels of 4096 cells, so a source
 that holds a third of all rows is summed map-side like any other and only the
 documents of its last cell are put in order.
@@ -62,10 +63,16 @@ def _cell(level: int):
     return F.shiftright("__key", 63 - CELL * level).bitwiseAND(F.lit((1 << CELL) - 1))
 
 
-def cutoffs(rows: DataFrame, goals: DataFrame) -> DataFrame:
+def _sampled():
+    """Whether the document is in the fractional repetition."""
+    return (F.col("__key") <= F.col("cut")) != F.coalesce(F.array_contains("changed", F.col("__key")), F.lit(False))
+
+
+def cutoffs(rows: DataFrame, goals: DataFrame, changes: int = 3) -> DataFrame:
     """``goals`` with whole (repetitions of every document), cut (documents
-    with keys up to it are taken once more; -1: none) and closing (the key of
-    one more, whose size comes nearest to what is left; -1: none)."""
+    with keys up to it are taken once more; -1: none) and changed (at most
+    ``changes`` keys for which that is reversed: each is the one whose size
+    brings the sum nearest to the target)."""
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     goals = stored(goals.withColumn("whole", F.floor(epochs).cast("bigint")).withColumn(
         "rest", F.col("target") - F.col("whole") * F.col("source_size")), "goals")
@@ -84,25 +91,29 @@ def cutoffs(rows: DataFrame, goals: DataFrame) -> DataFrame:
         inside = part.join(now.drop("left"), F.col("source").eqNullSafe(F.col("s")) & (F.col(f"c{level}") == F.col(f"__c{level}"))
                            ).drop("s", f"__c{level}")
         now = now.select("s", "left")
-    tied = inside.groupBy("source", "__key").agg(F.sum("__size").alias("n"))
-    through = F.sum("n").over(Window.partitionBy("source").orderBy("__key"))
-    first_out = (tied.withColumn("through", through).join(now, F.col("source").eqNullSafe(F.col("s")))
+    through = F.sum("__size").over(Window.partitionBy("source").orderBy("__key"))
+    first_out = (inside.withColumn("through", through).join(now, F.col("source").eqNullSafe(F.col("s")))
                  .where("through > left").groupBy(F.col("source").alias("s"))
-                 .agg(F.min(F.struct("__key", (F.col("left") - (F.col("through") - F.col("n"))).alias("left"))).alias("x"))
+                 .agg(F.min(F.struct("__key", (F.col("left") - (F.col("through") - F.col("__size"))).alias("left"))).alias("x"))
                  .select("s", (F.col("x.__key") - 1).alias("cut"), "x.left"))
     # no document goes beyond: all are taken (the rest equals the source)
     cut = stored(goals.join(first_out, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "weight", "target", "whole",
-        F.coalesce("cut", F.when(F.col("rest") > 0, F.lit((1 << 63) - 1)).otherwise(F.lit(-1))).alias("cut"),
-        F.coalesce("left", F.lit(0.0)).alias("left")), "cuts")
-    near = (rows.select("source", "__size", "__key").join(
-        cut.select(F.col("source").alias("s"), "cut", "left"), F.col("source").eqNullSafe(F.col("s")))
-        .where((F.col("__key") > F.col("cut")) & (F.abs(F.col("__size") - F.col("left")) < F.col("left")))
-        .groupBy(F.col("source").alias("s"))
-        .agg(F.min(F.struct(F.abs(F.col("__size") - F.col("left")), "__key")).alias("x"))
-        .select("s", F.col("x.__key").alias("closing")))
-    return stored(cut.join(near, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "source", "source_size", "weight", "target", "whole", "cut", F.coalesce("closing", F.lit(-1)).alias("closing")), "mix")
+        "source", "source_size", "target", "whole",
+        F.when(F.col("rest") <= 0, -1).otherwise(F.coalesce("cut", F.lit((1 << 63) - 1))).alias("cut"),
+        F.when(F.col("rest") <= 0, 0.0).otherwise(F.coalesce("left", F.lit(0.0))).alias("left"),
+        F.array().cast("array<bigint>").alias("changed")), "cuts")
+    for _ in range(changes):
+        near = (rows.join(cut.select(F.col("source").alias("s"), "cut", "left", "changed"), F.col("source").eqNullSafe(F.col("s")))
+                .withColumn("gain", F.when(_sampled(), -F.col("__size")).otherwise(F.col("__size")))
+                .withColumn("error", F.abs(F.col("left") - F.col("gain")))
+                .where(F.col("error") < F.abs("left"))
+                .groupBy(F.col("source").alias("s")).agg(F.min(F.struct("error", "__key", "gain")).alias("x")))
+        cut = stored(cut.join(near, F.col("source").eqNullSafe(F.col("s")), "left").select(
+            "source", "source_size", "target", "whole", "cut", (F.col("left") - F.coalesce("x.gain", F.lit(0))).alias("left"),
+            F.when(F.col("x").isNull(), F.col("changed"))
+            .when(F.array_contains("changed", F.col("x.__key")), F.array_remove("changed", F.col("x.__key")))
+            .otherwise(F.concat("changed", F.array("x.__key"))).alias("changed")), "cuts")
+    return cut
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
@@ -116,11 +127,12 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: floa
     together. Sources without words have target 0. An empty table gives no
     rows. Reruns with one seed agree.
     """
-    rows = stored(sized(docs.select("doc_id", "text", "source"), seed).select("source", "__size", "__key"), "sizes")
+    rows = stored(sized(docs.select("doc_id", "text", "source"), seed)
+                  .groupBy("source", "__key").agg(F.sum("__size").alias("__size")), "sizes")
     plan = cutoffs(rows, targets(rows, weights, share, max_epochs))
-    plan = plan.select(F.col("source").alias("__source"), F.struct("source_size", "target", "whole", "cut", "closing").alias("__plan"))
-    once_more = ((F.col("__key") <= F.col("__plan.cut")) | (F.col("__key") == F.col("__plan.closing"))).cast("bigint")
-    repeats = F.col("__plan.whole") + once_more
+    plan = plan.select(F.col("source").alias("__source"), F.struct("source_size", "target", "whole", "cut", "changed").alias("__plan"))
+    once_more = (F.col("__key") <= F.col("__plan.cut")) != F.array_contains("__plan.changed", F.col("__key"))
+    repeats = F.col("__plan.whole") + once_more.cast("bigint")
     return (sized(docs, seed).join(plan, F.col("source").eqNullSafe(F.col("__source")))
             .withColumn("__mix", F.struct(F.col("__size").alias("size"), F.col("__plan.source_size").alias("source_size"),
                                           F.col("__plan.target").alias("target"),
