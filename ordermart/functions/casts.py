@@ -31,16 +31,25 @@ def text_to_int_strict(c: Column) -> Column:
 
 
 def text_to_int_rounded(c: Column) -> Column:
-    """Text through unbounded NUMERIC to INTEGER: rounds half away from zero."""
-    return F.round(c.cast(T.DecimalType(38, 10)), 0).cast(T.IntegerType())
+    """Text through unbounded NUMERIC to INTEGER: rounds half away from zero,
+    once. The widest decimal that holds an INTEGER keeps 28 fractional digits;
+    text with more aborts, as it might round twice."""
+    value = F.round(c.cast(T.DecimalType(38, 28)), 0).cast(T.IntegerType())
+    return F.when(c.rlike(r"\.[0-9]{29}"), F.raise_error(F.concat(F.lit("more than 28 fractional digits: "), c))).otherwise(value)
 
 
 def text_to_decimal(c: Column, dtype: T.DecimalType) -> Column:
     return c.cast(dtype)
 
 
+# a whole date, and a time if any: Spark's own cast would also take a year or a month
+TIMESTAMP_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]*)?)?)?\s*$"
+
+
 def text_to_timestamp(c: Column) -> Column:
-    return c.cast(T.TimestampNTZType())
+    """'2017-01-31 10:00:00' -> TIMESTAMP_NTZ; '2017' and '2017-01' abort."""
+    return (F.when(c.isNull() | c.rlike(TIMESTAMP_TEXT), c.cast(T.TimestampNTZType()))
+            .otherwise(F.raise_error(F.concat(F.lit("not a timestamp: "), c))))
 
 
 def decimal_avg(c: Column, dtype: T.DecimalType) -> Column:

@@ -1,158 +1,77 @@
 """Table constraints (PRIMARY KEY, FOREIGN KEY, NOT NULL, CHECK) as
 violation counts.
 
-Spark enforces no constraints, so each declared constraint becomes a count
-of violating rows, and the pipeline refuses to publish when any is non-zero.
-Per table, the PRIMARY KEY, NOT NULL and CHECK counts are one aggregate (a
-CHECK passes on NULL, as in SQL: a violation is ``NOT coalesce(pred,
-true)``); each foreign key is one ``left_anti`` join. All are scalar
-subqueries, so when the pipeline evaluates them together with the quality
-checks, Catalyst's MergeScalarSubqueries shares each table scan and each
-anti join with the checks over the same table / relationship.
+Spark enforces no constraints, so each declared constraint becomes a count of
+violating rows, and the pipeline refuses to publish when any is non-zero. The
+counts are measures of a ``Ledger``, shared with the quality checks of the same
+gate: NOT NULL and CHECK counts join the table's one aggregate (a CHECK passes
+on NULL, as in SQL), primary and foreign keys join the one shuffle of their key
+domain.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.schemas import ORDER_STATUSES, STATE_PATTERN, ZIP_PATTERN
-
-
-@dataclass(frozen=True)
-class TableSpec:
-    table: str                      # layer.table
-    primary_key: tuple[str, ...]
-    not_null: tuple[str, ...]
-    checks: tuple[tuple[str, Column], ...] = ()
-    foreign_keys: tuple[tuple[str, str, str], ...] = field(default=())  # (column, parent, parent column)
-
-
-def _zip(c):
-    return (f"{c} ~ zip", F.col(c).rlike(ZIP_PATTERN))
-
-
-def _state(c):
-    return (f"{c} ~ state", F.col(c).rlike(STATE_PATTERN))
-
-
-def specs() -> list[TableSpec]:
-    col = F.col
-    audit_stg = ("source_loaded_at", "staged_at")
-    return [
-        TableSpec("staging.customers", ("customer_id",),
-                  ("customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state", *audit_stg),
-                  (_zip("customer_zip_code_prefix"), _state("customer_state"))),
-        TableSpec("staging.products", ("product_id",), ("product_category_name", *audit_stg)),
-        TableSpec("staging.sellers", ("seller_id",),
-                  ("seller_zip_code_prefix", "seller_city", "seller_state", *audit_stg),
-                  (_zip("seller_zip_code_prefix"), _state("seller_state"))),
-        TableSpec("staging.geolocation", ("geolocation_zip_code_prefix",),
-                  ("geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state", *audit_stg),
-                  (_zip("geolocation_zip_code_prefix"), _state("geolocation_state"))),
-        TableSpec("staging.orders", ("order_id",),
-                  ("customer_id", "order_status", "order_purchase_timestamp",
-                   "order_estimated_delivery_date", *audit_stg),
-                  (("order_status accepted", col("order_status").isin(*ORDER_STATUSES)),),
-                  (("customer_id", "staging.customers", "customer_id"),)),
-        TableSpec("staging.order_items", ("order_id", "order_item_id"),
-                  ("product_id", "seller_id", "shipping_limit_date", "price", "freight_value", *audit_stg),
-                  (("price >= 0", col("price") >= 0), ("freight_value >= 0", col("freight_value") >= 0)),
-                  (("order_id", "staging.orders", "order_id"), ("product_id", "staging.products", "product_id"),
-                   ("seller_id", "staging.sellers", "seller_id"))),
-        TableSpec("staging.order_payments", ("order_id", "payment_sequential"),
-                  ("payment_type", "payment_installments", "payment_value", *audit_stg),
-                  (("payment_installments >= 0", col("payment_installments") >= 0),
-                   ("payment_value >= 0", col("payment_value") >= 0)),
-                  (("order_id", "staging.orders", "order_id"),)),
-        TableSpec("staging.order_reviews", ("review_id", "order_id"),
-                  ("review_score", "review_creation_date", "review_answer_timestamp", *audit_stg),
-                  (("review_score between 1 and 5", col("review_score").between(1, 5)),),
-                  (("order_id", "staging.orders", "order_id"),)),
-        TableSpec("analytics.dim_customers", ("customer_unique_id",),
-                  ("latest_zip_code_prefix", "latest_city", "latest_state", "first_order_at",
-                   "last_order_at", "lifetime_order_count", "created_at"),
-                  (("lifetime_order_count > 0", col("lifetime_order_count") > 0),)),
-        TableSpec("analytics.dim_products", ("product_id",), ("product_category_name", "created_at")),
-        TableSpec("analytics.dim_sellers", ("seller_id",),
-                  ("seller_zip_code_prefix", "seller_city", "seller_state", "created_at")),
-        TableSpec("analytics.fact_orders", ("order_id",),
-                  ("customer_unique_id", "customer_state", "order_status", "order_purchase_timestamp",
-                   "order_estimated_delivery_date", "item_count", "product_value", "freight_value",
-                   "payment_value", "created_at"),
-                  (),
-                  (("customer_unique_id", "analytics.dim_customers", "customer_unique_id"),)),
-        TableSpec("analytics.fact_order_items", ("order_id", "order_item_id"),
-                  ("product_id", "seller_id", "shipping_limit_date", "price", "freight_value",
-                   "item_total_value", "created_at"),
-                  (),
-                  (("order_id", "analytics.fact_orders", "order_id"),
-                   ("product_id", "analytics.dim_products", "product_id"),
-                   ("seller_id", "analytics.dim_sellers", "seller_id"))),
-    ]
-
-
-def anti_join(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child rows without a parent row (a NULL key never matches).
-
-    Shared by the orphan checks and the foreign-key constraints: both are
-    aggregates over this one subtree, which Catalyst merges into one join."""
-    p = parent.select(F.col(parent_key).alias("_parent_key"))
-    return child.join(p, F.col(child_key) == F.col("_parent_key"), "left_anti")
-
-
-def table_measures(spec: TableSpec, tables: dict[str, DataFrame]) -> list[tuple[str, str, Column]]:
-    """(table, constraint, violation count) per constraint of one table.
-
-    The NOT NULL / CHECK counts of the table are one aggregate returned as a
-    struct-valued scalar subquery; the PRIMARY KEY (a distinct count) and
-    each foreign key (an anti join) are one scalar each."""
-    df = tables[spec.table]
-    pk = list(spec.primary_key)
-    pk_null = F.lit(False)
-    for c in pk:
-        pk_null = pk_null | F.col(c).isNull()
-    key = F.col(pk[0]) if len(pk) == 1 else F.struct(*[F.col(c) for c in pk])
-    out = [(spec.table, f"PRIMARY KEY ({', '.join(pk)})",
-            df.agg(F.count_if(pk_null) + F.count_if(~pk_null)
-                   - F.countDistinct(F.when(~pk_null, key))).scalar())]
-    # the plain counts form one aggregate without DISTINCT, which Catalyst can
-    # merge with the quality checks' counts over the same table
-    named = [(f"NOT NULL ({c})", F.count_if(F.col(c).isNull())) for c in spec.not_null]
-    named += [(f"CHECK ({n})", F.count_if(~F.coalesce(pred, F.lit(True)))) for n, pred in spec.checks]
-    counts = df.agg(F.struct(*[m.alias(f"v{i}") for i, (_, m) in enumerate(named)]).alias("v")).scalar()
-    out += [(spec.table, n, counts.getField(f"v{i}")) for i, (n, _) in enumerate(named)]
-    for c, parent, pc in spec.foreign_keys:
-        # a NULL foreign key satisfies the constraint
-        orphans = anti_join(df, c, tables[parent], pc)
-        out.append((spec.table, f"FOREIGN KEY ({c}) -> {parent}",
-                    orphans.agg(F.count_if(F.col(c).isNotNull())).scalar()))
-    return out
+from ordermart.operators.ledger import Ledger, Measure
+from ordermart.operators.quality import layered
+from ordermart.schemas import ORDER_STATUSES, STATE_PATTERN, TABLE_KEYS, ZIP_PATTERN
 
 
-def measures(stg, an, stg_for_refs=None) -> list[tuple[str, str, Column]]:
-    """Violation measures of every declared constraint of the given layer(s);
-    pass ``None`` for a layer to skip it."""
-    tables = {}
-    for prefix, layer in (("staging", stg if stg is not None else stg_for_refs), ("analytics", an)):
-        if layer is not None:
-            tables.update({f"{prefix}.{k}": v for k, v in layer.items()})
-    wanted = {p for p, layer in (("staging", stg), ("analytics", an)) if layer is not None}
-    out = []
-    for spec in specs():
-        if spec.table.split(".")[0] in wanted:
-            out += table_measures(spec, tables)
-    return out
+def _patterns(zip_column: str, state_column: str) -> list[tuple[str, Column]]:
+    return [(f"{zip_column} ~ zip", F.col(zip_column).rlike(ZIP_PATTERN)),
+            (f"{state_column} ~ state", F.col(state_column).rlike(STATE_PATTERN))]
+
+
+def _at_least_zero(column: str) -> tuple[str, Column]:
+    return f"{column} >= 0", F.col(column) >= 0
+
 
+def checks_of(table: str) -> list[tuple[str, Column]]:
+    """(name, predicate) of the CHECK constraints of a table."""
+    return {
+        "staging.customers": lambda: _patterns("customer_zip_code_prefix", "customer_state"),
+        "staging.sellers": lambda: _patterns("seller_zip_code_prefix", "seller_state"),
+        "staging.geolocation": lambda: _patterns("geolocation_zip_code_prefix", "geolocation_state"),
+        "staging.orders": lambda: [("order_status accepted", F.col("order_status").isin(*ORDER_STATUSES))],
+        "staging.order_items": lambda: [_at_least_zero("price"), _at_least_zero("freight_value")],
+        "staging.order_payments": lambda: [_at_least_zero("payment_installments"), _at_least_zero("payment_value")],
+        "staging.order_reviews": lambda: [("review_score between 1 and 5", F.col("review_score").between(1, 5))],
+        "analytics.dim_customers": lambda: [("lifetime_order_count > 0", F.col("lifetime_order_count") > 0)],
+    }.get(table, list)()
 
-def as_rows(items: list[tuple[str, str, Column]]):
-    return [F.struct(F.lit(t).alias("table_name"), F.lit(n).alias("constraint_name"),
-                     m.cast("bigint").alias("violations")) for t, n, m in items]
+
+def _domain(table: str, key: tuple[str, ...]) -> str:
+    """Tables that carry the same key meet in one domain: the staging suite
+    names ZIPs that, and facts and dimensions are kept apart from staging."""
+    if key == ("geolocation_zip_code_prefix",):
+        return "zip"
+    prefix = "" if table.startswith("staging.") else "analytics "
+    return prefix + (key[0] if len(key) == 1 else f"{table} key")
+
+
+def measures(ledger: Ledger, layers: Iterable[str]) -> list[tuple[str, str, Measure]]:
+    """(table, constraint, violations) of every declared constraint of the
+    layers."""
+    out = []
+    for table, (key, not_null, foreign) in TABLE_KEYS.items():
+        if table.split(".")[0] not in layers:
+            continue
+        out.append((table, f"PRIMARY KEY ({', '.join(key)})", ledger.surplus(_domain(table, key), table, *key)))
+        out += [(table, f"NOT NULL ({c})", ledger.where(table, F.col(c).isNull())) for c in not_null]
+        out += [(table, f"CHECK ({n})", ledger.where(table, ~F.coalesce(p, F.lit(True)))) for n, p in checks_of(table)]
+        # a NULL foreign key satisfies the constraint
+        out += [(table, f"FOREIGN KEY ({c}) -> {parent}",
+                 ledger.orphans(_domain(table, (c,)), table, c, parent, pc, nulls=False)) for c, parent, pc in foreign]
+    return out
 
 
-def constraint_violations(stg, an, stg_for_refs=None) -> DataFrame:
+def constraint_violations(spark: SparkSession, **layers) -> DataFrame:
     """(table_name, constraint_name, violations), one row per constraint."""
-    spark = (stg if stg is not None else an)[next(iter(stg if stg is not None else an))].sparkSession
-    return spark.range(1).select(F.inline(F.array(*as_rows(measures(stg, an, stg_for_refs)))))
+    ledger = Ledger(layered(**layers))
+    rows = [F.struct(F.lit(t).alias("table_name"), F.lit(n).alias("constraint_name"), m().cast("bigint").alias("violations"))
+            for t, n, m in measures(ledger, layers)]
+    return ledger.frame(spark).select(F.inline(F.array(*rows)))

@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from ordermart.functions import decimal_avg, epoch_days
 from ordermart.schemas import DAYS, MONEY, MONEY_TOTAL, REVIEW_AVG
 
+TABLES = ("dim_customers", "dim_products", "dim_sellers", "fact_orders", "fact_order_items")
+
 
 def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """customer x order (inner), the common input of the customer dimension."""

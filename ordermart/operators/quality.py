@@ -1,12 +1,8 @@
 """Raw profiling, the staging suite (28 checks) and the reconciliation suite
 (19 checks).
 
-Each check is one scalar aggregate. All checks of a suite are projected as
-scalar subqueries into a single result, so Catalyst's MergeScalarSubqueries
-fuses every aggregate over the same table into one scan (the seven
-``orders`` predicates become one pass), and orphan checks are ``left_anti``
-joins - never an outer join plus an IS NULL filter, which Catalyst keeps as
-a full outer join.
+Each check is a measure of a ``Ledger``, which plans one aggregate per table
+and one shuffle per key domain for all checks (and constraints) together.
 """
 
 from __future__ import annotations
@@ -17,154 +13,137 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermart.schemas import ANALYTICS_CHECK_NAMES, STAGING_CHECK_NAMES
+from ordermart.operators.ledger import Ledger, Measure
+from ordermart.schemas import ANALYTICS_CHECK_NAMES, RAW_KEYS, STAGING_CHECK_NAMES
 
 FAIL, WARN = "FAIL", "WARN"
-
-
-# --- scalar measures -------------------------------------------------------
-
-def n_rows(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
-def n_where(df: DataFrame, pred: Column) -> Column:
-    return df.agg(F.count_if(pred)).scalar()
-
-
-def n_duplicated_keys(df: DataFrame, key: str) -> Column:
-    """Keys occurring more than once (HAVING COUNT(*) > 1), counted once each."""
-    return df.groupBy(key).count().agg(F.count_if(F.col("count") > 1)).scalar()
-
-
-def n_orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> Column:
-    """Child rows with no parent; a NULL child key is an orphan too."""
-    from ordermart.operators.constraints import anti_join
-
-    return anti_join(child, child_key, parent, parent_key).agg(F.count(F.lit(1))).scalar()
-
-
-def total(df: DataFrame, col: str) -> Column:
-    return df.agg(F.sum(col)).scalar()
+STAGING_FAILS = 21  # the first checks of the staging suite; the rest warn
 
 
 @dataclass(frozen=True)
 class Check:
     name: str
-    actual: Column
+    actual: Measure
     severity: str = FAIL
 
 
-def check_rows(checks: list[Check], actual_type: T.DataType) -> list[Column]:
-    return [
-        F.struct(F.lit(i + 1).alias("check_order"), F.lit(c.name).alias("name"),
-                 F.lit(c.severity).alias("severity"), c.actual.cast(actual_type).alias("actual"))
-        for i, c in enumerate(checks)
-    ]
+def status(actual: Column, severity: Column) -> Column:
+    """PASS when actual is 0; otherwise WARN or FAIL by severity. A NULL actual
+    (e.g. SUM over an empty table) is a FAIL, never an error."""
+    return (F.when(actual == 0, "PASS").when(actual.isNotNull() & (severity == WARN), WARN).otherwise(FAIL))
 
 
-def with_status(df: DataFrame, actual_type: T.DataType) -> DataFrame:
-    """PASS when actual equals expected (0); otherwise WARN or FAIL by severity.
-    A NULL actual (e.g. SUM over an empty table) is a FAIL, never an error."""
-    expected = F.lit(0).cast(actual_type)
-    return df.select(
-        "check_order", "name", "severity", expected.alias("expected"), "actual",
-        F.when(F.col("actual") == expected, "PASS")
-        .when(F.col("actual").isNotNull() & (F.col("severity") == WARN), WARN)
-        .otherwise(FAIL).alias("status"),
-    )
+def run_checks(spark: SparkSession, ledger: Ledger, checks: list[Check], actual_type: T.DataType) -> DataFrame:
+    """(check_order, name, severity, expected, actual, status), one row per check."""
+    rows = [F.struct(F.lit(i).alias("check_order"), F.lit(c.name).alias("name"), F.lit(c.severity).alias("severity"),
+                     c.actual().cast(actual_type).alias("actual")) for i, c in enumerate(checks, 1)]
+    return ledger.frame(spark).select(F.inline(F.array(*rows))).select(
+        "check_order", "name", "severity", F.lit(0).cast(actual_type).alias("expected"), "actual",
+        status(F.col("actual"), F.col("severity")).alias("status"))
 
 
-def run_checks(spark: SparkSession, checks: list[Check], actual_type: T.DataType) -> DataFrame:
-    """(check_order, name, severity, expected, actual, status), one row per check."""
-    return with_status(spark.range(1).select(F.inline(F.array(*check_rows(checks, actual_type)))),
-                       actual_type)
+def difference(a: Measure, b: Measure) -> Measure:
+    return lambda: F.abs(a() - b())
 
 
 # --- suites ----------------------------------------------------------------
 
-def staging_checks(raw: dict[str, DataFrame], stg: dict[str, DataFrame]) -> list[Check]:
-    c, o, i = stg["customers"], stg["orders"], stg["order_items"]
-    p, r, pr, s, g = (stg["order_payments"], stg["order_reviews"], stg["products"],
-                      stg["sellers"], stg["geolocation"])
-    col = F.col
+def layered(**layers) -> dict[str, DataFrame]:
+    """Tables by "layer.table"; only the tables that are asked for are built."""
+    from ordermart.plans.lazy import LazyMap
 
-    def count_diff(table):
-        return F.abs(n_rows(raw[table]) - n_rows(stg[table]))
-
-    actuals = [
-        count_diff("customers"), count_diff("orders"), count_diff("order_items"),
-        count_diff("order_payments"), count_diff("order_reviews"), count_diff("products"),
-        count_diff("sellers"),
-        n_where(c, col("customer_id").isNull()),
-        n_where(o, col("order_id").isNull()),
-        n_duplicated_keys(c, "customer_id"),
-        n_duplicated_keys(o, "order_id"),
-        n_orphans(o, "customer_id", c, "customer_id"),
-        n_orphans(i, "order_id", o, "order_id"),
-        n_orphans(i, "product_id", pr, "product_id"),
-        n_orphans(i, "seller_id", s, "seller_id"),
-        n_orphans(p, "order_id", o, "order_id"),
-        n_orphans(r, "order_id", o, "order_id"),
-        n_where(r, ~col("review_score").between(1, 5)),
-        n_where(i, (col("price") < 0) | (col("freight_value") < 0)),
-        n_where(p, col("payment_value") < 0),
-        n_where(pr, (col("product_weight_g") < 0) | (col("product_length_cm") < 0)
-                | (col("product_height_cm") < 0) | (col("product_width_cm") < 0)),
-        # warnings
-        n_where(pr, col("product_category_name") == "unknown"),
-        n_orphans(c, "customer_zip_code_prefix", g, "geolocation_zip_code_prefix"),
-        n_orphans(s, "seller_zip_code_prefix", g, "geolocation_zip_code_prefix"),
-        n_orphans(o, "order_id", p, "order_id"),
-        n_where(o, (col("order_status") == "delivered") & col("order_delivered_customer_date").isNull()),
-        n_where(o, col("order_approved_at").isNotNull()
-                & (col("order_approved_at") < col("order_purchase_timestamp"))),
-        n_where(o, col("order_delivered_customer_date").isNotNull()
-                & (col("order_delivered_customer_date") < col("order_purchase_timestamp"))),
-    ]
-    n_fail = 21
-    return [Check(name, a, FAIL if k < n_fail else WARN)
-            for k, (name, a) in enumerate(zip(STAGING_CHECK_NAMES, actuals, strict=True))]
+    return LazyMap({f"{layer}.{t}": (lambda tables=tables, t=t: tables[t]) for layer, tables in layers.items() for t in tables})
 
 
-def analytics_checks(stg: dict[str, DataFrame], an: dict[str, DataFrame],
-                     views: dict[str, DataFrame]) -> list[Check]:
-    fo, fi = an["fact_orders"], an["fact_order_items"]
+def staging_checks(ledger: Ledger) -> list[Check]:
+    """Over tables named raw.* and staging.*."""
     col = F.col
-    delivered = fo.filter(col("order_status") == "delivered")
-    summary = views["dashboard_summary"]
-    actuals = [
-        F.abs(n_rows(an["dim_customers"])
-              - stg["customers"].agg(F.countDistinct("customer_unique_id")).scalar()),
-        F.abs(n_rows(an["dim_products"]) - n_rows(stg["products"])),
-        F.abs(n_rows(an["dim_sellers"]) - n_rows(stg["sellers"])),
-        F.abs(n_rows(fo) - n_rows(stg["orders"])),
-        F.abs(n_rows(fi) - n_rows(stg["order_items"])),
-        F.abs(total(fo, "item_count") - n_rows(fi)),
-        F.abs(total(fo, "payment_value") - total(stg["order_payments"], "payment_value")),
-        F.abs(total(fo, "product_value") - total(stg["order_items"], "price")),
-        F.abs(total(fo, "freight_value") - total(stg["order_items"], "freight_value")),
-        n_where(fi, col("item_total_value") != col("price") + col("freight_value")),
-        n_where(fo, (col("product_value") < 0) | (col("freight_value") < 0) | (col("payment_value") < 0)),
-        n_where(fo, (col("order_status") == "delivered")
-                & col("order_delivered_customer_date").isNotNull() & col("is_late").isNull()),
-        F.abs(total(views["monthly_sales"], "order_count") - n_rows(delivered)),
-        F.abs(total(views["monthly_sales"], "revenue") - total(delivered, "payment_value")),
-        F.abs(total(views["state_performance"], "order_count") - n_rows(delivered)),
-        F.abs(total(views["category_performance"], "items_sold") - n_rows(fi)),
-        F.abs(total(views["seller_performance"], "items_sold") - n_rows(fi)),
-        n_where(summary, ~col("late_delivery_rate").between(0, 1)),
-        n_where(summary, ~col("average_review_score").between(1, 5)),
+
+    def kept(table):
+        return difference(ledger.rows(f"raw.{table}"), ledger.rows(f"staging.{table}"))
+
+    def where(table, predicate):
+        return ledger.where(f"staging.{table}", predicate)
+
+    def lost(domain, child, parent, child_key=None, parent_key=None):
+        return ledger.orphans(domain, f"staging.{child}", child_key or domain, f"staging.{parent}", parent_key or domain)
+
+    def located(table, key):
+        return lost("zip", table, "geolocation", key, "geolocation_zip_code_prefix")
+
+    measures = [
+        *[kept(t) for t in ("customers", "orders", "order_items", "order_payments", "order_reviews", "products", "sellers")],
+        where("customers", col("customer_id").isNull()),
+        where("orders", col("order_id").isNull()),
+        ledger.repeated("customer_id", "staging.customers", "customer_id"),
+        ledger.repeated("order_id", "staging.orders", "order_id"),
+        lost("customer_id", "orders", "customers"),
+        lost("order_id", "order_items", "orders"),
+        lost("product_id", "order_items", "products"),
+        lost("seller_id", "order_items", "sellers"),
+        lost("order_id", "order_payments", "orders"),
+        lost("order_id", "order_reviews", "orders"),
+        where("order_reviews", ~col("review_score").between(1, 5)),
+        where("order_items", (col("price") < 0) | (col("freight_value") < 0)),
+        where("order_payments", col("payment_value") < 0),
+        where("products", (col("product_weight_g") < 0) | (col("product_length_cm") < 0)
+              | (col("product_height_cm") < 0) | (col("product_width_cm") < 0)),
+        # warnings
+        where("products", col("product_category_name") == "unknown"),
+        located("customers", "customer_zip_code_prefix"),
+        located("sellers", "seller_zip_code_prefix"),
+        lost("order_id", "orders", "order_payments"),
+        where("orders", (col("order_status") == "delivered") & col("order_delivered_customer_date").isNull()),
+        where("orders", col("order_approved_at") < col("order_purchase_timestamp")),
+        where("orders", col("order_delivered_customer_date") < col("order_purchase_timestamp")),
+    ]
+    return [Check(name, m, FAIL if k < STAGING_FAILS else WARN)
+            for k, (name, m) in enumerate(zip(STAGING_CHECK_NAMES, measures, strict=True))]
+
+
+def analytics_checks(ledger: Ledger) -> list[Check]:
+    """Over tables named staging.*, analytics.* and views.*."""
+    col, rows = F.col, ledger.rows
+    delivered = col("order_status") == "delivered"
+
+    def total(table, column, only=None):
+        return ledger.aggregate(table, F.sum(column if only is None else F.when(only, col(column))))
+
+    orders, items = "analytics.fact_orders", "analytics.fact_order_items"
+    done = ledger.where(orders, delivered)
+    measures = [
+        difference(rows("analytics.dim_customers"),
+                   ledger.distinct("customer_unique_id", "staging.customers", "customer_unique_id")),
+        difference(rows("analytics.dim_products"), rows("staging.products")),
+        difference(rows("analytics.dim_sellers"), rows("staging.sellers")),
+        difference(rows(orders), rows("staging.orders")),
+        difference(rows(items), rows("staging.order_items")),
+        difference(total(orders, "item_count"), rows(items)),
+        difference(total(orders, "payment_value"), total("staging.order_payments", "payment_value")),
+        difference(total(orders, "product_value"), total("staging.order_items", "price")),
+        difference(total(orders, "freight_value"), total("staging.order_items", "freight_value")),
+        ledger.where(items, col("item_total_value") != col("price") + col("freight_value")),
+        ledger.where(orders, (col("product_value") < 0) | (col("freight_value") < 0) | (col("payment_value") < 0)),
+        ledger.where(orders, delivered & col("order_delivered_customer_date").isNotNull() & col("is_late").isNull()),
+        difference(total("views.monthly_sales", "order_count"), done),
+        difference(total("views.monthly_sales", "revenue"), total(orders, "payment_value", delivered)),
+        difference(total("views.state_performance", "order_count"), done),
+        difference(total("views.category_performance", "items_sold"), rows(items)),
+        difference(total("views.seller_performance", "items_sold"), rows(items)),
+        ledger.where("views.dashboard_summary", ~col("late_delivery_rate").between(0, 1)),
+        ledger.where("views.dashboard_summary", ~col("average_review_score").between(1, 5)),
     ]
-    return [Check(name, a) for name, a in zip(ANALYTICS_CHECK_NAMES, actuals, strict=True)]
+    return [Check(name, m) for name, m in zip(ANALYTICS_CHECK_NAMES, measures, strict=True)]
 
 
 def staging_quality(spark, raw, stg) -> DataFrame:
-    return run_checks(spark, staging_checks(raw, stg), T.LongType())
+    ledger = Ledger(layered(raw=raw, staging=stg))
+    return run_checks(spark, ledger, staging_checks(ledger), T.LongType())
 
 
 def analytics_quality(spark, stg, an, views) -> DataFrame:
-    return run_checks(spark, analytics_checks(stg, an, views), T.DecimalType(38, 2))
+    ledger = Ledger(layered(staging=stg, analytics=an, views=views))
+    return run_checks(spark, ledger, analytics_checks(ledger), T.DecimalType(38, 2))
 
 
 # --- raw profile -----------------------------------------------------------
@@ -184,18 +163,6 @@ def raw_row_counts(raw: dict[str, DataFrame]) -> DataFrame:
     return out.orderBy("table_name")
 
 
-RAW_KEYS = (
-    ("customers.customer_id", "customers", ("customer_id",)),
-    ("orders.order_id", "orders", ("order_id",)),
-    ("order_items.(order_id, order_item_id)", "order_items", ("order_id", "order_item_id")),
-    ("order_payments.(order_id, payment_sequential)", "order_payments", ("order_id", "payment_sequential")),
-    ("order_reviews.(review_id, order_id)", "order_reviews", ("review_id", "order_id")),
-    ("products.product_id", "products", ("product_id",)),
-    ("sellers.seller_id", "sellers", ("seller_id",)),
-    ("translation.product_category_name", "product_category_translation", ("product_category_name",)),
-)
-
-
 def raw_key_profile(raw: dict[str, DataFrame]) -> DataFrame:
     """NULL keys and surplus rows (COUNT(*) - COUNT(DISTINCT key)) per key.
 

@@ -1,24 +1,16 @@
-"""ROW_NUMBER() OVER (PARTITION BY g ORDER BY k...) that never puts an
-oversized group into one task.
+"""ROW_NUMBER() OVER (PARTITION BY g ORDER BY slices..., k...) in pieces.
 
-Strategy is size-checked, like a broadcast threshold: one aggregate measures
-the largest group (partial counts, so a hot group is combined map side).
+A plain window sorts a whole group in one task. Here the leading order columns
+(``slices``, each of few values within a group) cut the group into pieces:
 
-* largest group <= ``max_group_rows``: the plain window - one shuffle on g,
-  each task sorts whole groups of bounded size;
-* otherwise the rows are range-partitioned on the full (g, k...) ordering,
-  so a hot group is cut into consecutive slices in different tasks:
-  1. global sort, each row tagged with its slice and its position in it;
-     this is checkpointed (``spark.checkpoint.dir``) so that the two uses
-     below read the very same slices and positions, also after a lost
-     executor;
-  2. per (g, slice): first position and row count - at most
-     (groups + slices) rows;
-  3. rows of the same group in earlier slices: a running sum over that small
-     table, per group, ordered by slice;
-  4. row number = position - first position + 1 + rows in earlier slices.
+1. rows per piece, counted map side;
+2. the rows before each piece: a running sum over the piece counts, one level
+   of slices at a time, so that a window sees at most the values of one column;
+3. ``row_number`` inside each piece, plus the rows before it.
 
-Ties on the whole ordering are numbered arbitrarily, as ROW_NUMBER does.
+The same plan at every size. With line number and part number modulo 1000 as
+slices, an order that held a third of all lines would be thousands of pieces.
+Ties on the whole order are numbered arbitrarily, as ROW_NUMBER does.
 """
 
 from __future__ import annotations
@@ -26,39 +18,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermart.config import checkpoint_dir
 
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, group: str) -> int:
-    row = df.groupBy(group).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def row_number_window(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w))
-
-
-def row_number_sliced(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    ordered = df.orderBy(group, *order).select(
-        "*", F.spark_partition_id().alias("_slice"), F.monotonically_increasing_id().alias("_pos")
-    ).checkpoint(eager=True)
-    pieces = ordered.groupBy(group, "_slice").agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        group, "_slice", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return ordered.join(offsets, [group, "_slice"]).select(
-        *[F.col(c) for c in df.columns],
-        (F.col("_pos") - F.col("_first") + 1 + F.col("_before")).alias(out),
-    )
-
-
-def row_number_by(df: DataFrame, group: str, order: list[str], out: str = "row_number",
-                  max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    if largest_group(df, group) <= max_group_rows:
-        return row_number_window(df, group, order, out)
-    return row_number_sliced(df, group, order, out)
+def row_number_by(df: DataFrame, group: str, slices: list[str], order: list[str], out: str = "row_number") -> DataFrame:
+    """``df`` with ``out``: the 1-based place of the row in its group, by
+    ``slices`` and then ``order``, nulls first."""
+    keys = [group, *slices]
+    pieces = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = _before(pieces, group, slices)
+    left, right = df.alias("l"), before.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before")
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"_{k}")) for k in keys]
+    inside = Window.partitionBy(*[F.col(f"l.{k}") for k in keys]).orderBy(*[F.col(f"l.{k}") for k in order])
+    return left.join(right, same).select(
+        *[F.col(f"l.{c}") for c in df.columns], (F.col("_before") + F.row_number().over(inside)).alias(out))
+
+
+def _before(pieces: DataFrame, group: str, slices: list[str]) -> DataFrame:
+    """The pieces with ``_before``: rows of the group in earlier pieces."""
+    outer, last = [group, *slices[:-1]], slices[-1]
+    running = F.sum("_n").over(Window.partitionBy(*outer).orderBy(last))
+    placed = pieces.withColumn("_before", running - F.col("_n"))
+    if len(slices) == 1:
+        return placed
+    sums = _before(pieces.groupBy(*outer).agg(F.sum("_n").alias("_n")), group, slices[:-1])
+    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in outer], F.col("_before").alias("_outer"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in outer]
+    return placed.join(sums, same).select(group, *slices, "_n", (F.col("_before") + F.col("_outer")).alias("_before"))

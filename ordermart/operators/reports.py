@@ -17,6 +17,7 @@ from ordermart.functions import decimal_avg, month_start, rate_avg
 from ordermart.schemas import DAYS, MONEY, MONEY_REPORT, RATE, REVIEW_AVG
 
 DELIVERED = "delivered"
+VIEWS = ("monthly_sales", "category_performance", "state_performance", "seller_performance", "dashboard_summary")
 MEANINGFUL_MONTH_ORDERS = 100  # months below this volume are skipped by insights
 
 
@@ -178,14 +179,14 @@ def kpi_long(summary: DataFrame) -> DataFrame:
 
 
 def insights(summary: DataFrame, monthly: DataFrame, category_perf: DataFrame,
-             state_perf: DataFrame) -> DataFrame:
+             state_perf: DataFrame, least_orders: int = MEANINGFUL_MONTH_ORDERS) -> DataFrame:
     """The four insight cards: peak revenue month and worst late-rate month
-    among months with >= 100 orders (first wins on ties, i.e. the earliest),
-    leading state with its revenue share, leading category.
+    among months with at least ``least_orders`` orders (first wins on ties,
+    i.e. the earliest), leading state with its revenue share, leading category.
 
     Each card is an argmax over a small, already-aggregated view; the
     comparison the card text makes is returned as a flag."""
-    months = monthly.filter(F.col("order_count") >= MEANINGFUL_MONTH_ORDERS)
+    months = monthly.filter(F.col("order_count") >= least_orders)
     overall_late = summary.select("late_delivery_rate").scalar()
 
     def pick(df, metric, key):

@@ -73,13 +73,18 @@ def stg_sellers(raw: DataFrame, staged_at) -> DataFrame:
     )
 
 
+def _most_frequent(points: DataFrame, value: str) -> DataFrame:
+    """(zip, value): the value most often seen at a ZIP, the smallest of equally
+    frequent ones, NULLs aside. Counted per (zip, value) first, so a hot ZIP is
+    dealt by value and combined map side."""
+    seen = points.where(F.col(value).isNotNull()).groupBy("zip", value).agg(F.count(F.lit(1)).alias("n"))
+    best = seen.groupBy("zip").agg(F.min(F.struct((-F.col("n")).alias("n"), value)).alias("best"))
+    return best.select(F.col("zip").alias(f"{value}_zip"), F.col(f"best.{value}").alias(value))
+
+
 def stg_geolocation(raw: DataFrame, staged_at) -> DataFrame:
     """One representative row per ZIP prefix: mean coordinates, modal city and
-    state (NULLs ignored, ties to the smallest value).
-
-    One shuffle on the ZIP: avg/max are partial-aggregated map side and
-    ``mode`` keeps a per-group value->count map that is merged the same way,
-    so a hot ZIP never ships its raw rows to one task."""
+    state (NULLs ignored, ties to the smallest value)."""
     g = raw.select(
         _t("geolocation_zip_code_prefix").alias("zip"),
         F.col("geolocation_lat").cast("decimal(28,18)").alias("lat"),
@@ -88,16 +93,17 @@ def stg_geolocation(raw: DataFrame, staged_at) -> DataFrame:
         F.upper(_t("geolocation_state")).alias("state"),
         F.col("loaded_at"),
     )
-    return g.groupBy("zip").agg(
-        # inputs already carry 18 fractional digits: avg is (32,22), exact enough
+    # inputs already carry 18 fractional digits: avg is (32,22), exact enough
+    out = g.groupBy("zip").agg(
         F.avg("lat").cast(COORD).alias("geolocation_lat"),
         F.avg("lng").cast(COORD).alias("geolocation_lng"),
-        F.mode("city", deterministic=True).alias("geolocation_city"),
-        F.mode("state", deterministic=True).alias("geolocation_state"),
         F.max("loaded_at").alias("source_loaded_at"),
-    ).select(
+    )
+    for value in ("city", "state"):
+        out = out.join(_most_frequent(g, value), F.col("zip").eqNullSafe(F.col(f"{value}_zip")), "left")
+    return out.select(
         F.col("zip").alias("geolocation_zip_code_prefix"),
-        "geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state",
+        "geolocation_lat", "geolocation_lng", F.col("city").alias("geolocation_city"), F.col("state").alias("geolocation_state"),
         "source_loaded_at", F.lit(staged_at).alias("staged_at"),
     )
 

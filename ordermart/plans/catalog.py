@@ -7,14 +7,18 @@ create times) are dropped because they differ per run.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermart.config import shared_dir
 from ordermart.functions import presentable
 from ordermart.operators import constraints, marts, quality, reports
+from ordermart.plans import pipeline
 from ordermart.plans.layers import Layers
+from ordermart.sources import dirty, fixtures
 
 AUDIT_COLUMNS = ("loaded_at", "source_loaded_at", "staged_at", "created_at")
 
@@ -24,19 +28,8 @@ def _out(df: DataFrame) -> DataFrame:
     return presentable(df.select(*keep))
 
 
-_LAYERS: dict[tuple[int, str], Layers] = {}
-
-
-def _layers(spark: SparkSession, sf_dir: str) -> Layers:
-    """One lazily built layer graph per (session, data directory): queries
-    share the DataFrame definitions (plans, not data), so each query only
-    pays for building what it adds on top."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    ly = _LAYERS.get(key)
-    if ly is None or ly.spark is not spark:
-        ly = Layers.from_driver_tables(spark, sf_dir)
-        _LAYERS[key] = ly
-    return ly
+def _layers(spark: SparkSession, sf_dir: str, sources=fixtures) -> Layers:
+    return Layers.from_driver_tables(spark, sf_dir, sources=sources)
 
 
 def _raw(name):
@@ -89,26 +82,20 @@ def _raw_null_tokens(spark, d):
 
 
 def _load_reconciliation(spark, d):
-    """Source rows vs raw rows per table (the loader's count reconcile)."""
-    ly = _layers(spark, d)
-    from ordermart.sources import fixtures
-    src = fixtures.source_frames(spark, d)
-    parts = [
-        spark.range(1).select(
-            F.lit(t).alias("table_name"),
-            src[t].agg(F.count(F.lit(1))).scalar().alias("source_rows"),
-            ly.raw[t].agg(F.count(F.lit(1))).scalar().alias("loaded_rows"),
-        ) for t in sorted(ly.raw)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("source_rows") == F.col("loaded_rows"), "PASS")
-                          .otherwise("FAIL"))
+    """Rows the loader saw against rows stored, per raw table: each is written
+    to the shared folder and counted again from there."""
+    base, raw = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}", _layers(spark, d).raw
+    counts = pipeline.concurrently({t: (lambda t=t: pipeline.written(raw[t], f"{base}/{t}")[1:]) for t in raw})
+    return pipeline.reconciliation(spark, [(t, *counts[t]) for t in sorted(counts)])
+
+
+def _with(fn, sources=fixtures):
+    return lambda spark, d: _out(fn(_layers(spark, d, sources)))
 
 
-def _with(fn):
-    return lambda spark, d: _out(fn(_layers(spark, d)))
+def _insights(least):
+    return _with(lambda ly: reports.insights(ly.views["dashboard_summary"], ly.views["monthly_sales"],
+                                             ly.views["category_performance"], ly.views["state_performance"], least))
 
 
 def _exports(name):
@@ -124,6 +111,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_row_counts": _with(lambda ly: quality.raw_row_counts(ly.raw)),
     "raw_key_profile": _with(lambda ly: quality.raw_key_profile(ly.raw)),
     "raw_orphans": _with(lambda ly: quality.raw_orphans(ly.raw)),
+    # the same over sources with planted defects
+    "raw_key_profile_dirty": _with(lambda ly: quality.raw_key_profile(ly.raw), dirty),
+    "raw_orphans_dirty": _with(lambda ly: quality.raw_orphans(ly.raw), dirty),
+    "constraint_violations_dirty": _with(lambda ly: constraints.constraint_violations(
+        ly.spark, staging=ly.staging, analytics=ly.analytics), dirty),
+    "staging_quality_dirty": _with(lambda ly: ly.staging_quality(), dirty),
     # staging
     "stg_customers": _stg("customers"),
     "stg_products": _stg_nullable_ints("products"),
@@ -134,7 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_order_payments": _stg("order_payments"),
     "stg_order_reviews": _stg("order_reviews"),
     "duplicate_keys": _with(lambda ly: quality.duplicate_keys(ly.staging)),
-    "constraint_violations": _with(lambda ly: constraints.constraint_violations(ly.staging, ly.analytics)),
+    "constraint_violations": _with(lambda ly: constraints.constraint_violations(
+        ly.spark, staging=ly.staging, analytics=ly.analytics)),
     "staging_quality": _with(lambda ly: ly.staging_quality()),
     # marts
     "customer_order_rank": _with(lambda ly: marts.customer_order_rank(ly.staging["customers"], ly.staging["orders"])),
@@ -158,9 +152,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_top10": _with(lambda ly: reports.state_top10(ly.views["state_performance"])),
     "category_bars": _with(lambda ly: reports.category_bars(ly.views["category_performance"])),
     "kpi_long": _with(lambda ly: reports.kpi_long(ly.views["dashboard_summary"])),
-    "insights": _with(lambda ly: reports.insights(ly.views["dashboard_summary"], ly.views["monthly_sales"],
-                                                  ly.views["category_performance"],
-                                                  ly.views["state_performance"])),
+    "insights": _insights(reports.MEANINGFUL_MONTH_ORDERS),
+    # months of the driver data are small: with 10 orders as the least, all four cards appear
+    "insights_small_months": _insights(10),
     # exports
     "export_dashboard_summary": _exports("dashboard_summary"),
     "export_monthly_sales": _exports("monthly_sales"),

@@ -27,9 +27,10 @@ class Layers:
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
-                           run_ts: _dt.datetime | None = None) -> "Layers":
+                           run_ts: _dt.datetime | None = None, sources=fixtures) -> "Layers":
+        """``sources``: the clean binding, or the one with planted defects."""
         ts = run_ts or run_timestamp()
-        return cls(spark, raw_from_sources(fixtures.source_frames(spark, sf_dir), ts), ts)
+        return cls(spark, raw_from_sources(sources.source_frames(spark, sf_dir), ts), ts)
 
     @cached_property
     def staging(self) -> dict[str, DataFrame]:

@@ -1,5 +1,5 @@
 """The gated batch pipeline: load -> staging -> checks -> analytics -> checks
--> publish -> export.
+-> export -> publish.
 
 Every layer is written under ``<out>/_runs/<run_id>/`` and re-read, which
 cuts lineage at each layer boundary (a lost executor recomputes from the last
@@ -15,23 +15,25 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.config import ensure_session_conf
 from ordermart.operators import constraints, marts, quality, reports, staging
+from ordermart.operators.ledger import Ledger
 from ordermart.sources import csv_ingest, fixtures
 from ordermart.sources.export import export_all
 from ordermart.sources.raw import raw_from_sources, run_timestamp
 
-# Physical layout of the facts, in place of B-tree indexes: rows clustered
-# within each file by the column the index served (purchase time for orders,
-# product for items), so range / key predicates on it skip row groups by
-# their min/max statistics.
+# Physical layout of the facts, in place of B-tree indexes: rows dealt to files
+# by ranges of the column the index served, and sorted inside them, so range and
+# key predicates skip whole files and row groups by their min/max statistics.
+# The second column parts a value that would fill a range alone.
 SORT_KEYS = {
-    "fact_orders": ("order_purchase_timestamp",),
-    "fact_order_items": ("product_id",),
+    "fact_orders": ("order_purchase_timestamp", "order_id"),
+    "fact_order_items": ("product_id", "order_id"),
 }
 
 
@@ -53,26 +55,32 @@ class PipelineResult:
     timings: dict = field(default_factory=dict)
 
 
-def write_table(spark: SparkSession, df: DataFrame, path: str, reconcile: bool = False,
-                sort_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write a layer table and return it re-read from storage.
-
-    With ``reconcile`` the rows seen by the writer (an Observation on the
-    write itself, no second pass over the input) must equal the rows stored."""
+def written(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> tuple[DataFrame, int, int]:
+    """Writes a table; returns it re-read, the rows the writer saw (an
+    Observation on the write itself, no second pass) and the rows stored."""
     obs = Observation(f"rows:{path}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if reconcile else df
-    if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
-    out.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
-    if reconcile:
-        written = obs.get["rows"]
-        n = stored.count()  # footer-only count
-        if written != n:
-            raise PipelineFailure("load", [f"row-count mismatch for {path}: source={written} stored={n}"])
+    if sort_by:  # dealing by ranges samples the input first: it is observed after that
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    stored = df.sparkSession.read.parquet(path)
+    return stored, obs.get["rows"], stored.count()  # the last from the footers
+
+
+def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write a layer table and return it re-read from storage; every row the
+    writer saw must be there."""
+    stored, seen, found = written(df, path, sort_by)
+    if seen != found:
+        raise PipelineFailure("load", [f"row-count mismatch for {path}: source={seen} stored={found}"])
     return stored
 
 
+def reconciliation(spark: SparkSession, counts: list[tuple[str, int, int]]) -> DataFrame:
+    """(table_name, source_rows, loaded_rows, status) of the loads."""
+    rows = spark.createDataFrame(counts, "table_name string, source_rows bigint, loaded_rows bigint")
+    return rows.withColumn("status", F.when(F.col("source_rows") == F.col("loaded_rows"), "PASS").otherwise("FAIL"))
+
+
 def concurrently(tasks: dict, max_workers: int = 8) -> dict:
     """Run independent Spark actions as concurrent jobs of one session.
 
@@ -88,9 +96,9 @@ def concurrently(tasks: dict, max_workers: int = 8) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def _write_layer(spark, tables, base: str, reconcile=False) -> dict[str, DataFrame]:
+def _write_layer(tables, base: str) -> dict[str, DataFrame]:
     return concurrently({
-        t: (lambda t=t, df=df: write_table(spark, df, f"{base}/{t}", reconcile, SORT_KEYS.get(t, ())))
+        t: (lambda t=t, df=df: write_table(df, f"{base}/{t}", SORT_KEYS.get(t, ())))
         for t, df in tables.items()
     })
 
@@ -98,54 +106,47 @@ def _write_layer(spark, tables, base: str, reconcile=False) -> dict[str, DataFra
 GATE_TYPE = "decimal(38,2)"
 
 
-def gate_frame(spark: SparkSession, checks: list, items: list) -> DataFrame:
-    """Checks and / or constraint measures as one projection of scalar
-    subqueries (Catalyst merges the aggregates over the same table)."""
+def run_gate(spark: SparkSession, ledger: Ledger, checks: list, items: list, count_type=int):
+    """Checks and constraints of one ledger as one query: (checks,
+    constraints), each row with its status."""
     def row(kind, order, table, name, severity, actual):
         return F.struct(F.lit(kind).alias("kind"), F.lit(order).alias("check_order"),
                         F.lit(table).cast("string").alias("table_name"), F.lit(name).alias("name"),
-                        F.lit(severity).alias("severity"), actual.cast(GATE_TYPE).alias("actual"))
+                        F.lit(severity).alias("severity"), actual().cast(GATE_TYPE).alias("actual"))
 
-    rows = [row("check", i + 1, None, c.name, c.severity, c.actual) for i, c in enumerate(checks)]
+    rows = [row("check", i, None, c.name, c.severity, c.actual) for i, c in enumerate(checks, 1)]
     rows += [row("constraint", 0, t, n, quality.FAIL, m) for t, n, m in items]
-    out = spark.range(1).select(F.inline(F.array(*rows)))
-    return out.select(
-        "kind", "table_name", "check_order", "name", "severity", "actual",
-        F.when(F.col("actual") == 0, "PASS")
-        .when(F.col("actual").isNotNull() & (F.col("severity") == quality.WARN), quality.WARN)
-        .otherwise(quality.FAIL).alias("status"))
+    found = (ledger.frame(spark).select(F.inline(F.array(*rows)))
+             .withColumn("status", quality.status(F.col("actual"), F.col("severity"))).collect())
 
+    def number(r, kind):
+        return None if r["actual"] is None else kind(r["actual"])
 
-def run_gate(spark: SparkSession, checks: list, items: list, count_type=int):
-    rows = gate_frame(spark, checks, items).collect()
     chk = [dict(check_order=r["check_order"], name=r["name"], severity=r["severity"], expected=0,
-                actual=None if r["actual"] is None else count_type(r["actual"]), status=r["status"])
-           for r in rows if r["kind"] == "check"]
-    viol = [dict(table_name=r["table_name"], constraint_name=r["name"],
-                 violations=None if r["actual"] is None else int(r["actual"]))
-            for r in rows if r["kind"] == "constraint"]
+                actual=number(r, count_type), status=r["status"]) for r in found if r["kind"] == "check"]
+    viol = [dict(table_name=r["table_name"], constraint_name=r["name"], violations=number(r, int), status=r["status"])
+            for r in found if r["kind"] == "constraint"]
     return sorted(chk, key=lambda d: d["check_order"]), viol
 
 
-def _gate_checks(stage: str, rows: list) -> None:
-    failed = [(r["name"], r["actual"]) for r in rows if r["status"] == "FAIL"]
-    if failed:
-        raise PipelineFailure(stage, failed)
-
-
-def _gate_constraints(stage: str, rows: list) -> None:
-    bad = [(r["table_name"], r["constraint_name"], r["violations"]) for r in rows if r["violations"]]
+def _gate(stage: str, checks: list, violations: list) -> None:
+    bad = [(r["table_name"], r["constraint_name"], r["violations"]) for r in violations if r["status"] == quality.FAIL]
     if bad:
-        raise PipelineFailure(stage, bad)
+        raise PipelineFailure(f"{stage} constraints", bad)
+    failed = [(r["name"], r["actual"]) for r in checks if r["status"] == quality.FAIL]
+    if failed:
+        raise PipelineFailure(f"{stage} checks", failed)
 
 
 def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None = None,
                  sf_dir: str | None = None, run_id: str | None = None,
-                 export: bool = True) -> PipelineResult:
-    """Run every stage; raise ``PipelineFailure`` on a failed gate.
+                 export: bool = True, database: str | None = None) -> PipelineResult:
+    """Run every stage; raise ``PipelineFailure`` on a failed gate, before the
+    next stage starts.
 
     Input is either a folder of the nine CSV files (``source_dir``) or the
-    driver tables bound to them (``sf_dir``)."""
+    driver tables bound to them (``sf_dir``). With ``database`` the published
+    tables and views can also be read by name there."""
     import time
 
     ensure_session_conf(spark)
@@ -169,58 +170,37 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
         raw_frames = raw_from_sources(fixtures.source_frames(spark, sf_dir), run_ts)
     else:
         raise ValueError("source_dir or sf_dir is required")
-    raw = _write_layer(spark, {t: raw_frames[t] for t in raw_frames}, f"{base}/raw", reconcile=True)
+    raw = _write_layer({t: raw_frames[t] for t in raw_frames}, f"{base}/raw")
     lap("load")
 
-    # 2. staging
-    stg = _write_layer(spark, dict(staging.build_staging(raw, run_ts)), f"{base}/staging")
+    # 2. staging and its gate
+    stg = _write_layer(dict(staging.build_staging(raw, run_ts)), f"{base}/staging")
     lap("staging")
-
-    # 3.-5. The staging gate (28 checks, staging constraints) runs while the
-    #    marts and views are written; the analytics
-    #    constraints start once the marts exist, the reconciliation checks
-    #    once the views exist. Publication waits for every gate, and gates
-    #    are reported in pipeline order, so a FAIL publishes nothing.
-    from concurrent.futures import ThreadPoolExecutor
-
-    from decimal import Decimal
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        # checks and constraints as two queries: one projection with ~70
-        # subqueries costs more to analyse than the scans merging would save
-        f_stg_chk = pool.submit(lambda: run_gate(spark, quality.staging_checks(raw, stg), []))
-        f_stg_viol = pool.submit(lambda: run_gate(spark, [], constraints.measures(stg, None)))
-        f_an = None
-        try:
-            an = _write_layer(spark, dict(marts.build_analytics(stg, run_ts)), f"{base}/analytics")
-            # analytics constraints need only the marts: start them now
-            f_an = pool.submit(lambda: run_gate(spark, [], constraints.measures(None, an, stg)))
-            views = _write_layer(spark, dict(reports.build_reports(an)), f"{base}/views")
-            build_error = None
-        except Exception as e:  # noqa: BLE001 - staging gates take precedence
-            build_error = e
-        res.staging_checks = f_stg_chk.result()[0]
-        res.violations = f_stg_viol.result()[1]
-        _gate_constraints("staging constraints", res.violations)
-        _gate_checks("staging checks", res.staging_checks)
-        lap("staging_gates")
-        if build_error is not None:
-            raise build_error
-        res.analytics_checks, _ = run_gate(spark, quality.analytics_checks(stg, an, views), [],
-                                           count_type=Decimal)
-        _, an_violations = f_an.result()
-        res.violations += an_violations
-    _gate_constraints("analytics constraints", an_violations)
-    _gate_checks("analytics checks", res.analytics_checks)
-    lap("analytics_and_gates")
-
-    # publish: one committed append makes the run visible
-    publish(spark, out_dir, run_id, run_ts)
-    lap("publish")
-
+    ledger = Ledger(quality.layered(raw=raw, staging=stg))
+    res.staging_checks, res.violations = run_gate(
+        spark, ledger, quality.staging_checks(ledger), constraints.measures(ledger, ["staging"]))
+    lap("staging_gate")
+    _gate("staging", res.staging_checks, res.violations)
+
+    # 3. analytics and its gate
+    an = _write_layer(dict(marts.build_analytics(stg, run_ts)), f"{base}/analytics")
+    views = _write_layer(dict(reports.build_reports(an)), f"{base}/views")
+    lap("analytics")
+    ledger = Ledger(quality.layered(staging=stg, analytics=an, views=views))
+    res.analytics_checks, violations = run_gate(
+        spark, ledger, quality.analytics_checks(ledger), constraints.measures(ledger, ["analytics"]), Decimal)
+    res.violations += violations
+    lap("analytics_gate")
+    _gate("analytics", res.analytics_checks, violations)
+
+    # 4. files first, then one committed append makes the run visible
     if export:
         res.exports = export_all(spark, reports.export_queries(views), f"{base}/export")
         lap("export")
+    publish(spark, out_dir, run_id, run_ts)
+    if database:
+        register(spark, out_dir, database)
+    lap("publish")
     return res
 
 
@@ -250,3 +230,17 @@ def read_published(spark: SparkSession, out_dir: str, layer: str, table: str) ->
     if run_id is None:
         raise FileNotFoundError(f"nothing published under {out_dir}")
     return spark.read.parquet(f"{out_dir.rstrip('/')}/_runs/{run_id}/{layer}/{table}")
+
+
+def register(spark: SparkSession, out_dir: str, database: str = "analytics") -> None:
+    """Views of the newest published run, by name: the marts and the reports as
+    ``database.<name>``, in the session's catalog. Each is replaced in one
+    step; a reader sees the run before or the run after."""
+    run_id = published_run(spark, out_dir)
+    if run_id is None:
+        raise FileNotFoundError(f"nothing published under {out_dir}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    base = f"{out_dir.rstrip('/')}/_runs/{run_id}"
+    for layer, tables in (("analytics", marts.TABLES), ("views", reports.VIEWS)):
+        for t in tables:
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{t} AS SELECT * FROM parquet.`{base}/{layer}/{t}`")

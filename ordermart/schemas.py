@@ -134,6 +134,62 @@ ANALYTICS_CHECK_NAMES: tuple[str, ...] = (
     "dashboard average review is between one and five",
 )
 
+# Keys profiled in the raw tables: label, table, columns.
+RAW_KEYS = (
+    ("customers.customer_id", "customers", ("customer_id",)),
+    ("orders.order_id", "orders", ("order_id",)),
+    ("order_items.(order_id, order_item_id)", "order_items", ("order_id", "order_item_id")),
+    ("order_payments.(order_id, payment_sequential)", "order_payments", ("order_id", "payment_sequential")),
+    ("order_reviews.(review_id, order_id)", "order_reviews", ("review_id", "order_id")),
+    ("products.product_id", "products", ("product_id",)),
+    ("sellers.seller_id", "sellers", ("seller_id",)),
+    ("translation.product_category_name", "product_category_translation", ("product_category_name",)),
+)
+
+# Declared constraints of each table: primary key, NOT NULL columns, foreign
+# keys (column, parent table, parent column).
+STAGING_AUDIT = ("source_loaded_at", "staged_at")
+TABLE_KEYS = {
+    "staging.customers": (("customer_id",),
+                          ("customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state", *STAGING_AUDIT),
+                          ()),
+    "staging.products": (("product_id",), ("product_category_name", *STAGING_AUDIT), ()),
+    "staging.sellers": (("seller_id",), ("seller_zip_code_prefix", "seller_city", "seller_state", *STAGING_AUDIT), ()),
+    "staging.geolocation": (("geolocation_zip_code_prefix",),
+                            ("geolocation_lat", "geolocation_lng", "geolocation_city", "geolocation_state", *STAGING_AUDIT),
+                            ()),
+    "staging.orders": (("order_id",),
+                       ("customer_id", "order_status", "order_purchase_timestamp", "order_estimated_delivery_date",
+                        *STAGING_AUDIT),
+                       (("customer_id", "staging.customers", "customer_id"),)),
+    "staging.order_items": (("order_id", "order_item_id"),
+                            ("product_id", "seller_id", "shipping_limit_date", "price", "freight_value", *STAGING_AUDIT),
+                            (("order_id", "staging.orders", "order_id"), ("product_id", "staging.products", "product_id"),
+                             ("seller_id", "staging.sellers", "seller_id"))),
+    "staging.order_payments": (("order_id", "payment_sequential"),
+                               ("payment_type", "payment_installments", "payment_value", *STAGING_AUDIT),
+                               (("order_id", "staging.orders", "order_id"),)),
+    "staging.order_reviews": (("review_id", "order_id"),
+                              ("review_score", "review_creation_date", "review_answer_timestamp", *STAGING_AUDIT),
+                              (("order_id", "staging.orders", "order_id"),)),
+    "analytics.dim_customers": (("customer_unique_id",),
+                                ("latest_zip_code_prefix", "latest_city", "latest_state", "first_order_at", "last_order_at",
+                                 "lifetime_order_count", "created_at"), ()),
+    "analytics.dim_products": (("product_id",), ("product_category_name", "created_at"), ()),
+    "analytics.dim_sellers": (("seller_id",), ("seller_zip_code_prefix", "seller_city", "seller_state", "created_at"), ()),
+    "analytics.fact_orders": (("order_id",),
+                              ("customer_unique_id", "customer_state", "order_status", "order_purchase_timestamp",
+                               "order_estimated_delivery_date", "item_count", "product_value", "freight_value",
+                               "payment_value", "created_at"),
+                              (("customer_unique_id", "analytics.dim_customers", "customer_unique_id"),)),
+    "analytics.fact_order_items": (("order_id", "order_item_id"),
+                                   ("product_id", "seller_id", "shipping_limit_date", "price", "freight_value",
+                                    "item_total_value", "created_at"),
+                                   (("order_id", "analytics.fact_orders", "order_id"),
+                                    ("product_id", "analytics.dim_products", "product_id"),
+                                    ("seller_id", "analytics.dim_sellers", "seller_id"))),
+}
+
 # ---------------------------------------------------------------------------
 # Derived structures
 # ---------------------------------------------------------------------------

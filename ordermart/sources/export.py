@@ -1,17 +1,16 @@
 """JSON sink for the dashboard result sets.
 
-Each export is an ordered, size-bounded result (months, states, top 15 / top
-10 lists, one summary row), written by Spark as one JSON array document per
-export (the records layout the dashboard reads) with NULLs kept and ISO
-timestamps; money is written as a JSON number. Nothing is collected to the
-driver; the only single-task step is the collect_list of a bounded result.
+Each export is an ordered result (months, states, top 15 / top 10 lists, one
+summary row), written by Spark as one JSON array document per export (the
+records layout the dashboard reads) with NULLs kept and ISO timestamps; money
+is written as a JSON number. Nothing is collected to the driver or in a task.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,23 +29,28 @@ JSON_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T
                 "dateFormat": "yyyy-MM-dd"}
 
 
-def json_array(df: DataFrame) -> DataFrame:
-    """The ordered rows of a bounded result as ONE JSON array document
-    (``orient=records``): a sequence number taken after the sort keeps the
-    order through the single collecting aggregate."""
+def json_lines(df: DataFrame) -> DataFrame:
+    """The ordered rows as the lines of ONE JSON array document
+    (``orient=records``), no rows as ``[]``. The rows stream through in order;
+    none is held back to collect the document."""
     # decimals stay exact (plain JSON numbers, never scientific notation);
     # calendar days become midnight timestamps, as in the ISO records layout
     out = df.select(*[
         F.col(f.name).cast(T.TimestampNTZType()).alias(f.name) if isinstance(f.dataType, T.DateType)
         else F.col(f.name) for f in df.schema.fields])
-    seq = out.select(F.monotonically_increasing_id().alias("_seq"), F.struct(*out.columns).alias("_row"))
-    rows = seq.agg(F.sort_array(F.collect_list(F.struct("_seq", "_row"))).alias("_rows"))
-    return rows.select(F.to_json(F.transform("_rows", lambda r: r["_row"]), JSON_OPTIONS).alias("value"))
+    rows = out.select(F.monotonically_increasing_id().alias("at"), F.to_json(F.struct(*out.columns), JSON_OPTIONS).alias("row"))
+    order = Window.orderBy("at")
+    lines = rows.select("at", F.concat(
+        F.when(F.lag("row").over(order).isNull(), "[").otherwise(","), "row",
+        F.when(F.lead("row").over(order).isNull(), "]").otherwise("")).alias("value"))
+    none = df.sparkSession.range(1).where(F.lit(0) == out.agg(F.count(F.lit(1))).scalar())
+    return lines.unionByName(none.select(F.lit(0).cast("bigint").alias("at"), F.lit("[]").alias("value"))).orderBy("at").select("value")
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """One JSON array file (inside ``path``, as Spark writes text)."""
-    json_array(df).coalesce(1).write.mode("overwrite").text(path)
+    """One JSON array file (inside ``path``, as Spark writes text): the
+    document is one ordered file, so one task writes it, row by row."""
+    json_lines(df).coalesce(1).write.mode("overwrite").text(path)
 
 
 def export_all(spark: SparkSession, exports: dict[str, DataFrame], out_dir: str,

@@ -7,8 +7,7 @@ CSV cell would hold it (blank cells are '' here and become NULL on ingest,
 like any other null token).
 
 Everything is a lazy DataFrame over the whole driver tables; the only joins
-are to ``nation`` / ``region`` (25 and 5 rows by definition, so broadcast is
-bounded) and one order-grain join of orders to customer.
+are to ``nation`` / ``region`` and one order-grain join of orders to customer.
 """
 
 from __future__ import annotations
@@ -23,17 +22,14 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
-_READ_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table (file listing and footer read once per session)."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    df = _READ_CACHE.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        _READ_CACHE[key] = df
-    return df
+# Two-letter codes of the driver's region names and event types (fixed values).
+REGION_STATES = {"AFRICA": "af", "AMERICA": "am", "ASIA": "as", "EUROPE": "eu", "MIDDLE EAST": "mi"}
+EVENT_STATES = {"click": "cl", "error": "er", "purchase": "pu", "signup": "si", "view": "vi"}
+OTHER_STATE = "xx"
 
 
 def _s(c: Column) -> Column:
@@ -49,21 +45,23 @@ def _ts_text(ts: Column) -> Column:
 
 
 def _zip5(n: Column) -> Column:
-    return F.lpad(_s(n), 5, "0")
+    """Five digits of the key; keys 100,000 apart share a prefix, as people
+    share a ZIP."""
+    return F.lpad(_s(n % 100000), 5, "0")
 
 
-def _state_of(region_name: Column) -> Column:
-    return F.lower(F.substring(region_name, 1, 2))
+def _coded(value: Column, codes: dict[str, str]) -> Column:
+    out = F.lit(OTHER_STATE)
+    for name, code in codes.items():
+        out = F.when(value == name, code).otherwise(out)
+    return out
 
 
 def _geo_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation x region, 25 rows: broadcast-safe by definition."""
     nation = read_driver(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_driver(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return F.broadcast(
-        nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-        .select("n_nationkey", "n_name", "r_name")
-    )
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+            .select("n_nationkey", "n_name", "r_name"))
 
 
 def customers_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +77,7 @@ def customers_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u"), _s(F.col("o_custkey"))).alias("customer_unique_id"),
         _zip5(F.col("o_custkey")).alias("customer_zip_code_prefix"),
         F.concat(F.lit(" "), F.col("n_name")).alias("customer_city"),
-        _state_of(F.col("r_name")).alias("customer_state"),
+        _coded(F.col("r_name"), REGION_STATES).alias("customer_state"),
     )
 
 
@@ -108,20 +106,22 @@ def orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_items_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item sequence numbers per order. (l_orderkey, l_linenumber) is not
-    unique in the driver data, so the number is a row_number over a total
-    order of the line's attributes - size-checked, so an order holding a
-    large share of all lines is numbered in slices, not in one task."""
+    unique in the driver data, so the number is the line's place in a total
+    order of its attributes (``operators.ranking``)."""
     li = read_driver(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_quantity", "l_shipdate", "l_discount", "l_tax")
+        "l_quantity", "l_shipdate", "l_discount", "l_tax", (F.col("l_partkey") % 1000).alias("part_slice"))
     # number the lines on the raw columns first; the text formatting below
     # then runs after the shuffle instead of inflating it
-    numbered = row_number_by(li, "l_orderkey", [
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-        "l_quantity", "l_shipdate", "l_discount", "l_tax"], "rn")
-    return numbered.select(
+    return item_cells(row_number_by(li, "l_orderkey", ["l_linenumber", "part_slice"], [
+        "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax"], "rn"), F.col("rn"))
+
+
+def item_cells(lines: DataFrame, number: Column) -> DataFrame:
+    """The text cells of order lines numbered by ``number``."""
+    return lines.select(
         F.concat(F.lit("o"), _s(F.col("l_orderkey"))).alias("order_id"),
-        _s(F.col("rn")).alias("order_item_id"),
+        _s(number).alias("order_item_id"),
         F.concat(F.lit("p"), _s(F.col("l_partkey"))).alias("product_id"),
         F.concat(F.lit("s"), _s(F.col("l_suppkey"))).alias("seller_id"),
         _ts_text(F.col("l_shipdate")).alias("shipping_limit_date"),
@@ -156,14 +156,15 @@ def order_payments_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_reviews_csv(spark: SparkSession, sf_dir: str, scores: int = 5) -> DataFrame:
+    """One review per event, scored 1 to ``scores``."""
     ev = read_driver(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     e = F.col("event_id")
     target = F.when(e % 7 == 0, e + 1).otherwise(e)
-    return ev.filter(F.col("event_type") != "error").select(
+    return ev.select(
         F.concat(F.lit("r"), _s(e)).alias("review_id"),
         F.concat(F.lit("o"), _s(target)).alias("order_id"),
-        _s(1 + F.floor(F.col("value")).cast("bigint") % 5).alias("review_score"),
+        _s(1 + F.floor(F.col("value")).cast("bigint") % scores).alias("review_score"),
         F.lit("").alias("review_comment_title"),
         F.when(e % 3 == 0, F.concat(F.lit("  "), F.col("event_type")))
         .when(e % 3 == 1, F.lit("")).alias("review_comment_message"),
@@ -196,19 +197,23 @@ def sellers_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("s"), _s(F.col("s_suppkey"))).alias("seller_id"),
         _zip5(F.col("s_suppkey") * 3).alias("seller_zip_code_prefix"),
         F.concat(F.col("n_name"), F.lit(" ")).alias("seller_city"),
-        _state_of(F.col("r_name")).alias("seller_state"),
+        _coded(F.col("r_name"), REGION_STATES).alias("seller_state"),
     )
 
 
-def geolocation_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geolocation_csv(spark: SparkSession, sf_dir: str, bad_zip_every: int | None = None) -> DataFrame:
+    """One point per event; with ``bad_zip_every`` the users divisible by it have a short ZIP."""
     ev = read_driver(spark, sf_dir, "events").select("user_id", "event_type", "value")
     v = _s(F.col("value").cast(T.DecimalType(12, 2)))
+    zip_code = _zip5(F.col("user_id"))
+    if bad_zip_every:
+        zip_code = F.when(F.col("user_id") % bad_zip_every == 0, "12").otherwise(zip_code)
     return ev.select(
-        _zip5(F.col("user_id")).alias("geolocation_zip_code_prefix"),
+        zip_code.alias("geolocation_zip_code_prefix"),
         F.concat(F.lit("-"), v).alias("geolocation_lat"),
         v.alias("geolocation_lng"),
         F.upper(F.col("event_type")).alias("geolocation_city"),
-        F.substring(F.col("event_type"), 1, 2).alias("geolocation_state"),
+        _coded(F.col("event_type"), EVENT_STATES).alias("geolocation_state"),
     )
 
 

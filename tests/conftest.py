@@ -11,10 +11,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ordermart.config import build_local_session, checkpoint_dir
+    from ordermart.config import build_local_session
 
     s = build_local_session("*", shuffle_partitions=8, app_name="ordermart-tests")
-    checkpoint_dir(s)
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ordermart-ckpt-"))
     yield s
     s.stop()
 

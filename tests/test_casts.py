@@ -11,6 +11,7 @@ from ordermart.functions import (
     text_to_decimal,
     text_to_int_rounded,
     text_to_int_strict,
+    text_to_timestamp,
 )
 
 
@@ -69,3 +70,25 @@ def test_month_start_is_a_date(spark):
     r = df.select(month_start(F.col("a").cast("timestamp_ntz")).alias("m"))
     assert isinstance(r.schema["m"].dataType, T.DateType)
     assert str(r.first()["m"]) == "2017-11-01"
+
+
+def test_int_through_numeric_rounds_once(spark):
+    assert _one(spark, text_to_int_rounded(F.col("x")), "2.49999999999") == 2
+    assert _one(spark, text_to_int_rounded(F.col("x")), "-2.4999999999999999999999999999") == -2
+    assert _one(spark, text_to_int_rounded(F.col("x")), "2147483647.4") == 2147483647
+    for text in ("2." + "4" * 29, "2147483648", "abc"):
+        with pytest.raises(Exception):
+            _one(spark, text_to_int_rounded(F.col("x")), text)
+    assert spark.createDataFrame([(None,)], "x string").select(text_to_int_rounded(F.col("x"))).first()[0] is None
+
+
+def test_timestamps_need_a_whole_date(spark):
+    import datetime as dt
+
+    for text, want in (("2017-01-31 10:00:00", dt.datetime(2017, 1, 31, 10)), ("2017-01-31", dt.datetime(2017, 1, 31)),
+                       ("2017-1-3T04:05:06.5", dt.datetime(2017, 1, 3, 4, 5, 6, 500000))):
+        assert _one(spark, text_to_timestamp(F.col("x")), text) == want
+    for text in ("2017", "2017-01", "", "10:00:00", "2017-13-01"):
+        with pytest.raises(Exception):
+            _one(spark, text_to_timestamp(F.col("x")), text)
+    assert spark.createDataFrame([(None,)], "x string").select(text_to_timestamp(F.col("x"))).first()[0] is None

@@ -66,3 +66,16 @@ def test_null_tokens(spark, tmp_dir):
            for r in csv_ingest.ingest(spark, tmp_dir, run_timestamp())["sellers"].collect()}
     assert all(got[f"s{i}"] is None for i in range(len(NULL_TOKENS)))
     assert got["s_ok"] == " NA"
+
+
+def test_every_file_of_a_folder_must_have_the_header(spark, tmp_dir):
+    small_sources(tmp_dir)
+    folder = os.path.join(tmp_dir, RAW_FILE_OF["sellers"])
+    os.remove(folder)
+    os.makedirs(folder)
+    write_csv(os.path.join(folder, "a.csv"), RAW_COLUMNS["sellers"], [["s1", "01037", "x", "SP"]])
+    write_csv(os.path.join(folder, "b.csv"), RAW_COLUMNS["sellers"], [["s2", "01037", "x", "SP"]])
+    assert csv_ingest.ingest(spark, tmp_dir, run_timestamp())["sellers"].count() == 2
+    write_csv(os.path.join(folder, "b.csv"), [c.upper() for c in RAW_COLUMNS["sellers"]], [["s2", "01037", "x", "SP"]])
+    with pytest.raises(Exception):
+        csv_ingest.ingest(spark, tmp_dir, run_timestamp())["sellers"].collect()

@@ -83,8 +83,12 @@ def test_failed_gate_keeps_previous_publication(spark, tmp_dir):
     # a review pointing at an unknown order breaks a FAIL check and a foreign key
     write_csv(os.path.join(src, RAW_FILE_OF["order_reviews"]), RAW_COLUMNS["order_reviews"],
               [["r9", "o404", "5", "", "", "2017-11-11 00:00:00", "2017-11-12 00:00:00"]])
-    with pytest.raises(pipeline.PipelineFailure):
-        pipeline.run_pipeline(spark, out, source_dir=src, export=False)
+    with pytest.raises(pipeline.PipelineFailure) as failure:
+        pipeline.run_pipeline(spark, out, source_dir=src, export=False, run_id="bad")
+    assert failure.value.stage == "staging constraints"
+    assert failure.value.details == [("staging.order_reviews", "FOREIGN KEY (order_id) -> staging.orders", 1)]
+    # the gate stopped the run before anything was built on the bad data
+    assert sorted(os.listdir(os.path.join(out, "_runs", "bad"))) == ["raw", "staging"]
     assert pipeline.published_run(spark, out) == first.run_id
 
 
@@ -125,7 +129,7 @@ def test_driver_binding_pipeline(spark, tmp_dir):
     counts = {t: table("raw", t).count() for t in ("customers", "orders", "order_items", "order_payments",
                                                     "order_reviews", "products", "sellers", "geolocation")}
     assert counts == {"customers": 1500, "orders": 1500, "order_items": 6000, "order_payments": 1648,
-                      "order_reviews": 799, "products": 200, "sellers": 10, "geolocation": 1000}
+                      "order_reviews": 1000, "products": 200, "sellers": 10, "geolocation": 1000}
     dc = table("analytics", "dim_customers").agg(
         F.count("*").alias("n"), F.max("lifetime_order_count").alias("mx"),
         F.count_if(F.col("lifetime_order_count") > 1).alias("rep")).first()
@@ -139,4 +143,80 @@ def test_driver_binding_pipeline(spark, tmp_dir):
     assert fo.filter("is_late").count() == 96
     assert fo.filter("item_count = 0").count() == 27
     multi = table("staging", "order_reviews").groupBy("order_id").count().filter("count > 1").count()
-    assert multi == 91
+    assert multi == 143
+
+
+def test_staging_gate_passes(spark, tmp_dir):
+    """Few passes over the tables: one aggregate a table, one shuffle a key."""
+    from ordermart.operators import constraints, quality
+    from ordermart.operators.ledger import Ledger
+
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    small_sources(src)
+    res = pipeline.run_pipeline(spark, os.path.join(tmp_dir, "mart"), source_dir=src, export=False)
+
+    def layer(name):
+        return {t: spark.read.parquet(f"{res.run_dir}/{name}/{t}") for t in os.listdir(f"{res.run_dir}/{name}")}
+
+    ledger = Ledger(quality.layered(raw=layer("raw"), staging=layer("staging")))
+    quality.staging_checks(ledger)
+    constraints.measures(ledger, ["staging"])
+    passes = len(ledger.plain) + len(ledger.facts) + 1
+    assert len(ledger.frame(spark).columns) == passes == 17
+
+
+def test_null_violation_fails_the_gate():
+    with pytest.raises(pipeline.PipelineFailure):
+        pipeline._gate("staging", [], [dict(table_name="t", constraint_name="c", violations=None, status="FAIL")])
+
+
+def test_lost_rows_fail_the_load(spark, tmp_dir):
+    df = spark.range(100).repartition(4)
+    _, seen, found = pipeline.written(df, f"{tmp_dir}/t")
+    assert (seen, found) == (100, 100)
+    part = next(f for f in os.listdir(f"{tmp_dir}/t") if f.startswith("part-"))
+    os.remove(f"{tmp_dir}/t/{part}")
+    left = spark.read.parquet(f"{tmp_dir}/t").count()
+    rows = pipeline.reconciliation(spark, [("t", seen, left), ("u", 1, 1)]).collect()
+    assert [r.status for r in rows] == ["FAIL", "PASS"] and left < 100
+
+
+def test_views_by_name_and_declared_types(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    small_sources(src)
+    out = os.path.join(tmp_dir, "mart")
+    pipeline.run_pipeline(spark, out, source_dir=src, export=False, database="mart_test")
+    assert spark.sql("SELECT revenue FROM mart_test.dashboard_summary").first()[0] == Decimal("48.51")
+    assert spark.table("mart_test.fact_orders").count() == 3
+    types = dict(spark.table("mart_test.fact_orders").dtypes)
+    assert types["payment_value"] == "decimal(14,2)" and types["average_review_score"] == "decimal(3,2)"
+    assert types["is_late"] == "boolean" and types["item_count"] == "int" and types["delivery_days"] == "decimal(10,2)"
+    assert types["order_purchase_timestamp"] == "timestamp_ntz"
+    monthly = dict(spark.table("mart_test.monthly_sales").dtypes)
+    assert monthly["order_month"] == "date" and monthly["late_delivery_rate"] == "decimal(7,4)"
+    products = dict(pipeline.read_published(spark, out, "staging", "products").dtypes)
+    assert products["product_name_length"] == "int" and products["product_weight_g"] == "decimal(12,2)"
+    geo = dict(pipeline.read_published(spark, out, "staging", "geolocation").dtypes)
+    assert geo["geolocation_lat"] == "decimal(10,7)"
+
+
+def test_export_of_many_and_of_no_rows(spark, tmp_dir):
+    import glob
+    import json
+
+    from pyspark.sql import functions as F
+
+    from ordermart.sources.export import write_json
+
+    def doc(path):
+        files = [f for f in glob.glob(f"{path}/part-*") if os.path.getsize(f)]
+        assert len(files) == 1
+        return json.load(open(files[0]))
+
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"), F.lit(None).cast("int").alias("n")).repartition(6)
+    write_json(df.orderBy("k"), f"{tmp_dir}/many")
+    assert doc(f"{tmp_dir}/many") == [{"k": i, "n": None} for i in range(5000)]
+    write_json(df.where("k < 0"), f"{tmp_dir}/none")
+    assert doc(f"{tmp_dir}/none") == []

@@ -1,49 +1,38 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ordermart.operators.ranking import row_number_by, row_number_sliced, row_number_window
+from ordermart.operators.ranking import row_number_by
 
-KEYS = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate",
-        "l_discount", "l_tax"]
+SLICES = ["l_linenumber", "part_slice"]
+KEYS = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate", "l_discount", "l_tax"]
 
 
 def _lineitem(spark):
-    return spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_orderkey", *KEYS)
+    return spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", *KEYS, (F.col("l_partkey") % 1000).alias("part_slice"))
 
 
-def _dense_and_ordered(df, group, order, rn):
-    w = Window.partitionBy(group).orderBy(*order, rn)
-    chk = df.withColumn("_exp", F.row_number().over(w))
-    return chk.filter(F.col("_exp") != F.col(rn)).count() == 0
+def _same_as_window(df, group):
+    w = Window.partitionBy(group).orderBy(*SLICES, *KEYS, "rn")
+    return row_number_by(df, group, SLICES, KEYS, "rn").withColumn("want", F.row_number().over(w)).where("rn <> want").count() == 0
 
 
-def test_sliced_equals_window(spark):
+def test_equals_the_plain_window(spark):
     li = _lineitem(spark)
-    a = row_number_window(li, "l_orderkey", KEYS, "rn")
-    b = row_number_sliced(li, "l_orderkey", KEYS, "rn")
-    assert b.count() == li.count()
-    assert _dense_and_ordered(b, "l_orderkey", KEYS, "rn")
-    # rows whose ordering key is unique get the very same number
-    uniq = li.groupBy("l_orderkey", *KEYS).count().filter("count = 1").drop("count")
-    cols = ["l_orderkey", *KEYS, "rn"]
-    a1 = a.join(uniq, ["l_orderkey", *KEYS], "left_semi").select(cols)
-    b1 = b.join(uniq, ["l_orderkey", *KEYS], "left_semi").select(cols)
-    assert a1.exceptAll(b1).count() == 0 and b1.exceptAll(a1).count() == 0
-
-
-def test_one_hot_group_is_split_across_tasks(spark):
-    li = _lineitem(spark).withColumn("g", F.lit(1))
-    order = ["l_orderkey", *KEYS]
-    out = row_number_by(li, "g", order, "rn", max_group_rows=100)   # forces the sliced path
-    r = out.agg(F.count("*").alias("n"), F.countDistinct("rn").alias("d"),
-                F.min("rn").alias("lo"), F.max("rn").alias("hi")).first()
-    assert (r["n"], r["d"], r["lo"], r["hi"]) == (60000, 60000, 1, 60000)
-    assert _dense_and_ordered(out, "g", order, "rn")
-    # the ordered rows really are spread over several slices
-    assert li.orderBy("g", *order).select(F.spark_partition_id().alias("p")).distinct().count() > 1
-
-
-def test_small_groups_use_the_window(spark):
-    li = _lineitem(spark)
-    plan = row_number_by(li, "l_orderkey", KEYS, "rn")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" in plan and "LogicalRDD" not in plan
+    assert _same_as_window(li, "l_orderkey")
+    assert row_number_by(li, "l_orderkey", SLICES, KEYS, "rn").count() == li.count()
+
+
+def test_hot_group_and_null_keys(spark):
+    li = _lineitem(spark).withColumns({
+        "g": F.when(F.col("l_orderkey") % 3 == 0, 1), "l_linenumber": F.when(F.col("l_linenumber") != 4, F.col("l_linenumber"))})
+    assert _same_as_window(li, "g")
+
+
+def test_no_window_sees_a_whole_group(spark):
+    out = row_number_by(_lineitem(spark), "l_orderkey", SLICES, KEYS, "rn")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 3
+    assert sum("row_number()" in w for w in windows) == 1  # inside the innermost pieces
+    assert all("sum(" in w for w in windows if "row_number()" not in w)  # the others see counts
