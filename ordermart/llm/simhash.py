@@ -264,9 +264,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     with the smallest doc_id. The doc_id names a row: rows that share one go
     or stay together, and rows without one always stay."""
     found = near_dedup(docs, shingle, radius)
-    heads = stored(found.where("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct(), "heads")
-    kept = docs.join(heads, F.col("doc_id").cast("bigint") == F.col("__head"), "left_semi")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    # the doc_ids that go are far fewer than those that stay, so the texts need
+    # no shuffle while Spark finds their list small enough to broadcast
+    gone = stored(found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("head"))
+                  .where("NOT head").select(F.col("doc_id").alias("__gone")), "near-copies")
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone"), "left_anti")
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
