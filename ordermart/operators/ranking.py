@@ -22,24 +22,22 @@ from pyspark.sql import functions as F
 def row_number_by(df: DataFrame, group: str, slices: list[str], order: list[str], out: str = "row_number") -> DataFrame:
     """``df`` with ``out``: the 1-based place of the row in its group, by
     ``slices`` and then ``order``, nulls first."""
-    keys = [group, *slices]
-    pieces = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = _before(pieces, group, slices)
-    left, right = df.alias("l"), before.select(*[F.col(k).alias(f"_{k}") for k in keys], "_before")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"_{k}")) for k in keys]
-    inside = Window.partitionBy(*[F.col(f"l.{k}") for k in keys]).orderBy(*[F.col(f"l.{k}") for k in order])
-    return left.join(right, same).select(
-        *[F.col(f"l.{c}") for c in df.columns], (F.col("_before") + F.row_number().over(inside)).alias(out))
-
-
-def _before(pieces: DataFrame, group: str, slices: list[str]) -> DataFrame:
-    """The pieces with ``_before``: rows of the group in earlier pieces."""
-    outer, last = [group, *slices[:-1]], slices[-1]
-    running = F.sum("_n").over(Window.partitionBy(*outer).orderBy(last))
-    placed = pieces.withColumn("_before", running - F.col("_n"))
-    if len(slices) == 1:
-        return placed
-    sums = _before(pieces.groupBy(*outer).agg(F.sum("_n").alias("_n")), group, slices[:-1])
-    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in outer], F.col("_before").alias("_outer"))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in outer]
-    return placed.join(sums, same).select(group, *slices, "_n", (F.col("_before") + F.col("_outer")).alias("_before"))
+    # a struct is one key of which NULL fields are equal: the window and the join share one exchange of the rows
+    rows = df.withColumn("_piece", F.struct(group, *slices))
+    counts = rows.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy("_piece").orderBy(*order)
+    numbered = rows.withColumn("_in_piece", F.row_number().over(inside))
+    return numbered.join(_before(counts, [group, *slices]), "_piece").select(
+        *df.columns, (F.col("_before") + F.col("_in_piece")).alias(out))
+
+
+def _before(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """(_piece, _before): rows of the group in earlier pieces, from (_piece, _n)."""
+    within = counts.withColumn("_outer", F.struct(*[F.col(f"_piece.{k}").alias(k) for k in keys[:-1]]))
+    running = F.sum("_n").over(Window.partitionBy("_outer").orderBy(F.col(f"_piece.{keys[-1]}")))
+    placed = within.withColumn("_earlier", running - F.col("_n"))
+    if len(keys) == 2:  # the outer piece is the whole group
+        return placed.select("_piece", F.col("_earlier").alias("_before"))
+    outer = within.groupBy(F.col("_outer").alias("_piece")).agg(F.sum("_n").alias("_n"))
+    sums = _before(outer, keys[:-1]).select(F.col("_piece").alias("_outer"), "_before")
+    return placed.join(sums, "_outer").select("_piece", (F.col("_earlier") + F.col("_before")).alias("_before"))

@@ -73,20 +73,24 @@ def stg_sellers(raw: DataFrame, staged_at) -> DataFrame:
     )
 
 
+NO_ZIP = "\0"
+
+
 def _most_frequent(points: DataFrame, value: str) -> DataFrame:
     """(zip, value): the value most often seen at a ZIP, the smallest of equally
     frequent ones, NULLs aside. Counted per (zip, value) first, so a hot ZIP is
     dealt by value and combined map side."""
     seen = points.where(F.col(value).isNotNull()).groupBy("zip", value).agg(F.count(F.lit(1)).alias("n"))
     best = seen.groupBy("zip").agg(F.min(F.struct((-F.col("n")).alias("n"), value)).alias("best"))
-    return best.select(F.col("zip").alias(f"{value}_zip"), F.col(f"best.{value}").alias(value))
+    return best.select("zip", F.col(f"best.{value}").alias(value))
 
 
 def stg_geolocation(raw: DataFrame, staged_at) -> DataFrame:
     """One representative row per ZIP prefix: mean coordinates, modal city and
     state (NULLs ignored, ties to the smallest value)."""
     g = raw.select(
-        _t("geolocation_zip_code_prefix").alias("zip"),
+        # a missing ZIP is a group too; a joinable stand-in, as joins pass over NULL
+        F.coalesce(_t("geolocation_zip_code_prefix"), F.lit(NO_ZIP)).alias("zip"),
         F.col("geolocation_lat").cast("decimal(28,18)").alias("lat"),
         F.col("geolocation_lng").cast("decimal(28,18)").alias("lng"),
         F.lower(_t("geolocation_city")).alias("city"),
@@ -100,9 +104,9 @@ def stg_geolocation(raw: DataFrame, staged_at) -> DataFrame:
         F.max("loaded_at").alias("source_loaded_at"),
     )
     for value in ("city", "state"):
-        out = out.join(_most_frequent(g, value), F.col("zip").eqNullSafe(F.col(f"{value}_zip")), "left")
+        out = out.join(_most_frequent(g, value), "zip", "left")
     return out.select(
-        F.col("zip").alias("geolocation_zip_code_prefix"),
+        F.nullif(F.col("zip"), F.lit(NO_ZIP)).alias("geolocation_zip_code_prefix"),
         "geolocation_lat", "geolocation_lng", F.col("city").alias("geolocation_city"), F.col("state").alias("geolocation_state"),
         "source_loaded_at", F.lit(staged_at).alias("staged_at"),
     )
