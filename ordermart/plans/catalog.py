@@ -18,7 +18,8 @@ from ordermart.functions import presentable
 from ordermart.operators import constraints, marts, quality, reports
 from ordermart.plans import pipeline
 from ordermart.plans.layers import Layers
-from ordermart.sources import dirty, fixtures
+from ordermart.sources import csv_ingest, dirty, fixtures
+from ordermart.sources.raw import run_timestamp, to_raw
 
 AUDIT_COLUMNS = ("loaded_at", "source_loaded_at", "staged_at", "created_at")
 
@@ -89,6 +90,16 @@ def _load_reconciliation(spark, d):
     return pipeline.reconciliation(spark, [(t, *counts[t]) for t in sorted(counts)])
 
 
+def _from_csv(name):
+    """A raw table as the loader reads it: its source file is written as CSV to
+    the shared folder and ingested from there."""
+    def run(spark, d):
+        source_dir = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+        csv_ingest.write_source(fixtures.source_frames(spark, d)[name], source_dir, name)
+        return _out(to_raw(csv_ingest.read_source(spark, source_dir, name), name, run_timestamp()))
+    return run
+
+
 def _with(fn, sources=fixtures):
     return lambda spark, d: _out(fn(_layers(spark, d, sources)))
 
@@ -105,6 +116,8 @@ def _exports(name):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # raw
     "raw_customers": _raw("customers"),
+    "csv_customers": _from_csv("customers"),
+    "csv_order_reviews": _from_csv("order_reviews"),
     "raw_translation_scan": _raw("product_category_translation"),
     "raw_null_tokens": _raw_null_tokens,
     "load_reconciliation": _load_reconciliation,

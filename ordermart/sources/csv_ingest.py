@@ -85,3 +85,11 @@ def ingest(spark: SparkSession, source_dir: str, loaded_at: _dt.datetime,
     arrive as many files; sources known to be single-line read split-parallel."""
     return {t: to_raw(df, t, loaded_at)
             for t, df in csv_sources(spark, source_dir, multiline_tables).items()}
+
+
+def write_source(df: DataFrame, source_dir: str, table: str) -> None:
+    """A source file's text cells as CSV files with the declared header, such
+    as ``read_source`` reads; blanks around a cell are kept."""
+    (df.select(*RAW_COLUMNS[table]).write.option("header", True).option("escape", '"').option("emptyValue", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(source_path(source_dir, table)))
