@@ -10,7 +10,7 @@ are themselves published more than once; other pages lose the runs that the
 suffix array covered and keep the unique ones.
 
 A host is cut into parts of bounded size by a hash of the page, so a host with
-a third of all pages is many tasks, each part with thousands of pages to
+a third of all pages is many tasks, each part with hundreds of pages to
 compare.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-MIN_RUN, PART_BYTES = 6, 4 << 20
+MIN_RUN, PART_BYTES = 6, 1 << 20
 
 # HTML element names and the class words of page furniture.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "object", "canvas"}
