@@ -34,15 +34,19 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
           "kbd", "label", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub",
           "sup", "time", "tt", "u", "var"}
-DROPPED = {"nav", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "head", "audio", "video", "map"}
+DROPPED = {"nav", "footer", "aside", "button", "select", "option", "dialog", "menu", "head", "audio", "video", "map"}
+HEAD = {"base", "basefont", "bgsound", "link", "meta", "title", "style", "script", "noscript", "template", "noframes"}
 MAIN = {"article", "main"}
-DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
+DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog",
                  "menu", "menubar", "toolbar"}
 DROPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner",
                  "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "cookie", "cookies",
                  "consent", "notice", "notices", "comment", "comments", "disqus", "newsletter", "subscribe", "popup", "modal",
                  "share", "social", "related", "widget"}
 HEADER_WORDS = {"header", "masthead"}
+COMMENT_WORDS = {"comment", "comments", "disqus"}
+#: "no-sidebar" or "has-nav" tells of a layout, it isn't a sidebar
+LAYOUT_WORDS = {"no", "non", "not", "has", "have", "with", "without", "hide"}
 
 MARKUP = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+(?:>|\Z)""", re.DOTALL)
@@ -50,30 +54,53 @@ ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
-def _drops(tag: str, attributes: str, in_main: bool) -> bool:
+def _class_words(attributes: str) -> set[str]:
+    """Words of an element's classes and id, without names of layouts."""
+    out: set[str] = set()
+    for name, value in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for one in value.strip("\"'").lower().split():
+                words = WORDS.findall(one)
+                if not LAYOUT_WORDS.intersection(words):
+                    out.update(words)
+    return out
+
+
+def _drops(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether an element is dropped with all in it, and whether it is dropped
+    unless it is or holds an article (rules of forms, classes and ids)."""
     if tag in DROPPED or (tag == "header" and not in_main):
-        return True
+        return True, False
     if not attributes.strip(" /"):
-        return False
+        return False, tag == "form"
+    soft = tag == "form"
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "role" and value in DROPPED_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html"):
-            words = set(WORDS.findall(value))
-            if words & DROPPED_WORDS or (not in_main and words & HEADER_WORDS):
-                return True
+            return True, False
         if name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
-    return False
+            return True, False
+        soft = soft or name == "role" and value == "form"
+    if not soft and tag not in ("body", "html"):
+        words = _class_words(attributes)
+        soft = bool(words & DROPPED_WORDS or (not in_main and words & HEADER_WORDS))
+    return False, soft
 
 
 def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
-    """(text, dropped, in an article) of each block of a page, in page order."""
-    out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, dropped, in an article, of the open elements
+    """(text, dropped, in an article) of each block of a page, in page order.
+
+    A form, class or id drops no element that is or holds an article or main;
+    an article inside one that is named a comment counts as its comment. Nor
+    does a form drop more than half of the text: it is then around the page."""
+    out: list[tuple[str, bool, bool, tuple]] = []
+    # tag, dropped, in an article, elements a form, class or id would drop, of the open elements
+    stack: list[tuple[str, bool, bool, tuple]] = []
     text: list[str] = []
-    state = (False, False)
+    start = state = (False, False, ())
+    forms: set[int] = set()
+    holds: set[int] = set()  # of those elements, the ones that hold an article
+    n_soft = 0
 
     def close_block():
         joined = " ".join("".join(text).split())
@@ -85,22 +112,30 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
         nonlocal state
         close_block()
         del stack[k:]
-        state = stack[-1][1:] if stack else (False, False)
+        state = stack[-1][1:] if stack else start
+
+    def add(piece: str):
+        # text ends the head, whose end tag may be omitted
+        if stack and stack[-1][0] == "head" and piece.strip():
+            pop_to(len(stack) - 1)
+        text.append(piece)
 
     at, n = 0, len(page)
     while at < n:
         m = MARKUP.search(page, at)
         if m is None:
-            text.append(html.unescape(page[at:]))
+            add(html.unescape(page[at:]))
             break
         if m.start() > at:
-            text.append(html.unescape(page[at:m.start()]))
+            add(html.unescape(page[at:m.start()]))
         at = m.end()
         if m[1] is not None:
-            text.append(m[1])
+            add(m[1])
         if m[3] is None:
             continue
         closing, tag, attributes = m[2], m[3].lower(), m[4]
+        if not closing and stack and stack[-1][0] == "head" and tag not in HEAD and tag not in ("head", "html"):
+            pop_to(len(stack) - 1)
         if tag == "br" or tag == "wbr":
             text.append(" " if tag == "br" else "")
         elif closing:
@@ -124,6 +159,8 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
         elif tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.IGNORECASE).search(page, at)
             at = end.start() if end else n
+        elif tag in ("html", "head", "body") and any(x[0] == tag or x[0] != "html" for x in stack):
+            pass  # a browser ignores these inside the page
         elif tag in VOID:
             if tag == "hr":
                 close_block()
@@ -137,15 +174,34 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
                         break
                     if stack[k][0] not in INLINE:
                         break
-            inside = state[1] or tag in MAIN or bool(re.search(r"""role\s*=\s*["']?main\b""", attributes, re.IGNORECASE))
-            dropped = state[0] or _drops(tag, attributes, inside)
-            if (dropped, inside) != state and tag in INLINE:
+            main = tag in MAIN or bool(re.search(r"""role\s*=\s*["']?main\b""", attributes, re.IGNORECASE))
+            inside = state[1] or main
+            hard, soft = _drops(tag, attributes, inside)
+            dropped, softs = state[0] or hard, state[2]
+            if main and not dropped and not (state[1] and COMMENT_WORDS & _class_words(attributes)):
+                holds.update(softs)
+                soft = False
+            if soft:
+                softs = (*softs, n_soft)
+                if tag == "form":
+                    forms.add(n_soft)
+                n_soft += 1
+            if (dropped, inside, softs) != state and tag in INLINE:
                 close_block()
             if not (attributes.rstrip().endswith("/") and tag in ("path", "g")):
-                stack.append((tag, dropped, inside))
-                state = (dropped, inside)
+                stack.append((tag, dropped, inside, softs))
+                state = (dropped, inside, softs)
     close_block()
-    return out
+    if forms - holds:
+        explicit = any(inside and not hard for _, hard, inside, _ in out)
+        total, of_form = 0, dict.fromkeys(forms, 0)
+        for joined, hard, inside, softs in out:
+            if not hard and inside >= explicit:
+                total += len(joined)
+                for k in forms.intersection(softs):
+                    of_form[k] += len(joined)
+        holds.update(k for k, size in of_form.items() if size and 2 * size > total)
+    return [(joined, hard or not holds.issuperset(softs), inside) for joined, hard, inside, softs in out]
 
 
 def repeated(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:

@@ -33,6 +33,23 @@ def test_blocks(body, want):
     assert text(SHELL.format(body)) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<html><head><title>T</title><meta charset=utf-8><body><p>a</p></body></html>", "a"),
+    ("<!DOCTYPE html><html><head><title>T</title><link rel=x><div><article><p>a</p></article></div>", "a"),
+    ("<head><style>p{}</style>bare text<p>b", "bare text\n\nb"),
+    ("<body><div class='no-sidebar'><nav>n</nav><article><p>a</p></article></div></body>", "a"),
+    ("<body><div class='has-nav'><p>no article is marked</p></div></body>", "no article is marked"),
+    ("<body><div id=share-page><div class='promo wide'><main><p>a</p></main></div></div></body>", "a"),
+    ("<body><article class='post social'><p>a</p><div class='social'>s</div></article></body>", "a"),
+    ("<body><main id='share-price'><div class=related><article class=sponsored><p>a</p></article></div></main></body>", "a"),
+    ("<body><form id=f><div class=menu>m</div><article><p>a</p><form><p>b</p></form></article></form></body>", "a"),
+    ("<body><form action=/><nav>n</nav><p>the text of the whole page</p></form><p>end</p></body>", "the text of the whole page\n\nend"),
+    ("<body><article><p>a</p><ol class=comments><li><article class=comment><p>c</p></article></ol></article></body>", "a"),
+])
+def test_no_rule_drops_an_article(page, want):
+    assert text(page) == want
+
+
 def test_odd_markup_never_fails():
     for page in (None, "", "<", "<p", "<!--", "<script>", "</p>", "a<b", "<a title=\"x>y", "&", "&#x110000;", "<article", "x" * 200000,
                  "<p>" * 20000 + "deep", "<div>" * 3000 + "t"):
