@@ -6,8 +6,9 @@ finds the runs of tokens that repeat across distinct pages: menus, adverts,
 notices and footers of the site. Blocks in elements that never hold the
 article (navigation, footers, forms, adverts, comments, ...) are dropped. Of
 what is left, a page with an explicit article keeps that whole, since articles
-are themselves published more than once; other pages lose the runs that the
-suffix array covered and keep the unique ones.
+are themselves published more than once; other pages lose the blocks that lie
+(nearly) wholly in runs of many pages with different bodies. Other blocks stay
+whole, also those that copies and near copies of the page repeat.
 
 A host is cut into parts of bounded size by a hash of the page, so a host with
 a third of all pages is many tasks, each part with hundreds of pages to
@@ -21,12 +22,18 @@ import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
 MIN_RUN, PART_BYTES = 6, 1 << 20
+#: a block goes if this share of it lies in runs that pages with so many bodies share
+WHOLE, BODIES = 0.9, 4
+#: base of the rolling hash and the multipliers of its finishing mix (odd 64-bit constants)
+BASE, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+NO_BODY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # HTML element names and the class words of page furniture.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "object", "canvas"}
@@ -204,16 +211,15 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
     return [(joined, hard or not holds.issuperset(softs), inside) for joined, hard, inside, softs in out]
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
-    """Which tokens lie in a run of ``run`` or more tokens that occurs on two
-    or more pages. ``page`` ascends; runs do not cross pages.
+def groups_of(tokens: np.ndarray, page: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the runs of ``run`` tokens, equal runs in one group after the
+    other, and where each group begins. ``page`` ascends; runs do not cross pages.
 
     The suffix array is built by prefix doubling and needs no more than ``run``
     tokens of order: suffixes of equal rank then share their first ``run``."""
     n = len(tokens)
-    covered = np.zeros(n, bool)
     if n < run:
-        return covered
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     rank, length = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1, 1
     ends = np.searchsorted(page, page, "right")  # where each token's page ends
     place = np.arange(n)
@@ -224,44 +230,102 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
         length += step
     suffixes = np.argsort(rank, kind="stable")
     suffixes = suffixes[place[suffixes] + run <= ends[suffixes]]
-    if not len(suffixes):
-        return covered
     group = rank[suffixes]
-    first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    size = np.diff(np.append(first, len(group)))
-    pages = page[suffixes]
-    spread = np.minimum.reduceat(pages, first) != np.maximum.reduceat(pages, first)
+    return suffixes, np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else suffixes
+
+
+def distinct(groups: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """How many distinct values each of ``n`` groups has."""
+    order = np.lexsort((values, groups))
+    groups, values = groups[order], values[order]
+    new = np.append(True, (groups[1:] != groups[:-1]) | (values[1:] != values[:-1]))[:len(groups)]
+    return np.bincount(groups[new], minlength=n)
+
+
+def cover(starts: np.ndarray, run: int, n: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in a run that begins at one of ``starts``."""
     marks = np.zeros(n + 1, np.int64)
-    starts = suffixes[np.repeat(spread, size)]
     np.add.at(marks, starts, 1)
     np.add.at(marks, starts + run, -1)
     return np.cumsum(marks[:-1]) > 0
 
 
+def repeated(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
+    """Which tokens lie in a run of ``run`` or more tokens that occurs on two
+    or more pages. ``page`` ascends; runs do not cross pages."""
+    suffixes, first = groups_of(tokens, page, run)
+    size = np.diff(np.append(first, len(suffixes)))
+    spread = distinct(np.repeat(np.arange(len(first)), size), page[suffixes], len(first)) > 1
+    return cover(suffixes[np.repeat(spread, size)], run, len(tokens))
+
+
+def widely_spread(pages, bodies):
+    """Whether a run on so many pages with so many bodies is the site's. Copies
+    and near copies of an article are many pages with few bodies."""
+    return (bodies >= BODIES) & (4 * bodies >= pages)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(33)) * MIX1
+    h = (h ^ h >> np.uint64(33)) * MIX2
+    return h ^ h >> np.uint64(33)
+
+
+class Pages:
+    """Parsed pages: their blocks, which of these may be text, the token
+    stream, and the 64-bit key of the run that begins at each token."""
+
+    def __init__(self, htmls, run: int, host: str = ""):
+        self.blocks, self.words, self.explicit, kept = [], [], [], []
+        index: dict[str, int] = {}
+        for x in htmls:
+            blocks = blocks_of(x) if isinstance(x, str) else []
+            explicit = any(inside and not dropped for _, dropped, inside in blocks)
+            self.explicit.append(explicit)
+            self.blocks.append([(text, not dropped and inside >= explicit) for text, dropped, inside in blocks])
+            self.words.append([b[0].split(" ") for b in blocks])
+            kept += [k for (_, k), ws in zip(self.blocks[-1], self.words[-1], strict=True) for _ in ws]
+        self.tokens = np.array([index.setdefault(w, len(index)) for blocks in self.words for b in blocks for w in b], np.int64)
+        self.page = np.repeat(np.arange(len(self.blocks)), [sum(map(len, blocks)) for blocks in self.words])
+        n = len(self.tokens)
+        #: starts of whole runs, and their keys
+        self.starts = np.flatnonzero(np.arange(n) + run <= np.searchsorted(self.page, self.page, "right"))
+        known = np.array([xxhash.xxh64_intdigest(w) for w in index], np.uint64)
+        keys = np.full(len(self.starts), xxhash.xxh64_intdigest(host), np.uint64)
+        for k in range(run):
+            keys = keys * BASE + known[self.tokens[self.starts + k]]
+        self.keys = _mixed(keys)
+        # a page's body is told by the least of its text's runs, which near copies mostly share
+        least = np.full(len(self.blocks), NO_BODY, np.uint64)
+        own = np.array(kept, bool)[self.starts]
+        np.minimum.at(least, self.page[self.starts[own]], self.keys[own])
+        self.body = (_mixed(least) >> np.uint64(40)).astype(np.int64)
+
+
 def extract_part(rows: pd.DataFrame, run: int = MIN_RUN) -> pd.DataFrame:
     """Main texts of the pages of one part of a host."""
-    pages = [blocks_of(x) if isinstance(x, str) else [] for x in rows["html"]]
-    words = [[b[0].split(" ") for b in blocks] for blocks in pages]
-    index: dict[str, int] = {}
-    tokens = np.array([index.setdefault(w, len(index)) for blocks in words for b in blocks for w in b], np.int64)
-    page = np.repeat(np.arange(len(pages)), [sum(map(len, blocks)) for blocks in words])
-    covered = repeated(tokens, page, run)
+    pages = Pages(rows["html"], run)
+    n = len(pages.tokens)
+    suffixes, first = groups_of(pages.tokens, pages.page, run)
+    size = np.diff(np.append(first, len(suffixes)))
+    group, at = np.repeat(np.arange(len(first)), size), pages.page[suffixes]
+    n_pages, n_bodies = distinct(group, at, len(first)), distinct(group, pages.body[at], len(first))
+    covered = cover(suffixes[(n_pages > 1)[group]], run, n)
+    wide = cover(suffixes[widely_spread(n_pages, n_bodies)[group]], run, n)
+    before = np.append(0, np.cumsum(wide))
     texts, removed, at = [], [], 0
-    for blocks, split in zip(pages, words, strict=True):
-        explicit = any(inside and not dropped for _, dropped, inside in blocks)
-        kept, unique, before = [], [], at
-        for (text, dropped, inside), block in zip(blocks, split, strict=True):
-            own = covered[at:at + len(block)]
+    for blocks, words, explicit in zip(pages.blocks, pages.words, pages.explicit, strict=True):
+        kept, own, begin = [], [], at
+        for (text, keep), block in zip(blocks, words, strict=True):
+            gone = before[at + len(block)] - before[at]
             at += len(block)
-            if dropped or (explicit and not inside):
-                continue
-            kept.append(text)
-            left = " ".join(w for w, gone in zip(block, own.tolist(), strict=True) if not gone)
-            if left:
-                unique.append(left)
-        # a page without article whose every run is repeated is a copy, not boilerplate
-        texts.append("\n\n".join(kept if explicit or not unique else unique))
-        removed.append(int(covered[before:at].sum()))
+            if keep:
+                kept.append(text)
+                if explicit or gone < WHOLE * len(block):
+                    own.append(text)
+        # a page of nothing else keeps it
+        texts.append("\n\n".join(own or kept))
+        removed.append(int(covered[begin:at].sum()))
     return pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": texts,
                          "n_chars": [len(t) for t in texts], "repeated_tokens": removed})
 

@@ -93,6 +93,38 @@ def test_repeated_runs_go_where_no_article_is_marked(spark):
         assert r.text == f"{r.page_id} has words of its own, {r.page_id ** 2} of them" and r.repeated_tokens == 10
 
 
+NOTICE = "Please read our house rules before you write to us"
+
+
+def own_text(i, n=30):
+    r = np.random.default_rng(i)
+    return " ".join(f"w{x}" for x in r.integers(0, 10**6, n))
+
+
+def texts_of(spark, htmls, **options):
+    rows = [(i, f"https://h.example.com/{i}", x) for i, x in enumerate(htmls)]
+    out = ht.main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string"), **options).collect()
+    return {r.page_id: r.text for r in out}
+
+
+def test_near_copies_keep_their_body(spark):
+    def page(date, body):
+        return f"<body><div>{NOTICE}</div><div>Printed on {date}</div><div>{body}</div><div>{body[::-1]}</div></body>"
+
+    bodies = [(f"{1 + i} May 2024", own_text(99)) for i in range(12)]  # near copies: one body, another date
+    bodies += [(f"day {i}", own_text(i)) for i in range(12)] + [("day 3", own_text(3))] * 3  # and exact copies
+    got = texts_of(spark, [page(*b) for b in bodies])
+    for i, (date, body) in enumerate(bodies):
+        assert got[i] == f"Printed on {date}\n\n{body}\n\n{body[::-1]}"
+
+
+def test_passages_of_a_block_stay_in_it(spark):
+    quote = "so it was said by one and all of them that day"
+    htmls = [f"<div>{own_text(i)} {quote} {own_text(i + 50)}</div>" for i in range(10)]
+    got = texts_of(spark, htmls)
+    assert all(f"<div>{got[i]}</div>" == x for i, x in enumerate(htmls))
+
+
 def test_copies_of_a_whole_page_stay(spark):
     rows = [(i, "https://h.example.com/x", "<p>the very same words on every page</p>") for i in range(4)]
     rows += [(9, None, "<article>a</article>"), (10, "odd url", None), (None, None, None), (9, None, "<article>a</article>")]
