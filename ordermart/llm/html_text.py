@@ -5,10 +5,10 @@ host's pages, all their blocks included, are concatenated and a suffix array
 finds the runs of tokens that repeat across distinct pages: menus, adverts,
 notices and footers of the site. Blocks in elements that never hold the
 article (navigation, footers, forms, adverts, comments, ...) are dropped. Of
-what is left, a page with an explicit article keeps that whole, since articles
-are themselves published more than once; other pages lose the blocks that lie
-(nearly) wholly in runs of many pages with different bodies. Other blocks stay
-whole, also those that copies and near copies of the page repeat.
+what is left (the article where a page marks one, else all), the blocks go that
+lie (nearly) wholly in runs of many pages with different bodies; inside a marked
+article only those of at least half of the host's pages. Other blocks stay whole,
+also those that copies and near copies of the page repeat.
 
 A host is cut into parts of bounded size by a hash of the page, so a host with
 a third of all pages is many tasks, each part with hundreds of pages to
@@ -312,16 +312,18 @@ def extract_part(rows: pd.DataFrame, run: int = MIN_RUN) -> pd.DataFrame:
     n_pages, n_bodies = distinct(group, at, len(first)), distinct(group, pages.body[at], len(first))
     covered = cover(suffixes[(n_pages > 1)[group]], run, n)
     wide = cover(suffixes[widely_spread(n_pages, n_bodies)[group]], run, n)
-    before = np.append(0, np.cumsum(wide))
+    # an article is taken at its mark unless at least half of the host's pages share the block
+    most = cover(suffixes[(widely_spread(n_pages, n_bodies) & (2 * n_pages >= len(rows)))[group]], run, n)
+    sums = [np.append(0, np.cumsum(x)) for x in (wide, most)]
     texts, removed, at = [], [], 0
     for blocks, words, explicit in zip(pages.blocks, pages.words, pages.explicit, strict=True):
-        kept, own, begin = [], [], at
+        kept, own, begin, before = [], [], at, sums[explicit]
         for (text, keep), block in zip(blocks, words, strict=True):
             gone = before[at + len(block)] - before[at]
             at += len(block)
             if keep:
                 kept.append(text)
-                if explicit or gone < WHOLE * len(block):
+                if gone < WHOLE * len(block):
                     own.append(text)
         # a page of nothing else keeps it
         texts.append("\n\n".join(own or kept))

@@ -118,6 +118,14 @@ def test_near_copies_keep_their_body(spark):
         assert got[i] == f"Printed on {date}\n\n{body}\n\n{body[::-1]}"
 
 
+def test_notices_go_from_inside_articles(spark):
+    quote = "a line that only some of the pages hold in common"
+    htmls = [f"<article><h1>{i}</h1><div>{NOTICE}</div><p>{own_text(i)}</p>{f'<p>{quote}</p>' if i < 9 else ''}</article>"
+             for i in range(24)]
+    got = texts_of(spark, htmls)
+    assert all(got[i] == f"{i}\n\n{own_text(i)}" + (f"\n\n{quote}" if i < 9 else "") for i in range(24))
+
+
 def test_passages_of_a_block_stay_in_it(spark):
     quote = "so it was said by one and all of them that day"
     htmls = [f"<div>{own_text(i)} {quote} {own_text(i + 50)}</div>" for i in range(10)]
