@@ -6,13 +6,15 @@ finds the runs of tokens that repeat across distinct pages: menus, adverts,
 notices and footers of the site. Blocks in elements that never hold the
 article (navigation, footers, forms, adverts, comments, ...) are dropped. Of
 what is left (the article where a page marks one, else all), the blocks go that
-lie (nearly) wholly in runs of many pages with different bodies; inside a marked
-article only those of at least half of the host's pages. Other blocks stay whole,
-also those that copies and near copies of the page repeat.
+lie (nearly) wholly in runs of many pages, on pages whose other text is a good part
+and far less common; inside a marked article only those of at least half of the
+host's pages. Other blocks stay whole, also those that copies and near copies of
+the page repeat.
 
 A host is cut into parts of bounded size by a hash of the page, so a host with
-a third of all pages is many tasks, each part with hundreds of pages to
-compare.
+a third of all pages is many tasks, each with a suffix array of its own. The
+runs that a host of several parts repeats are counted over all its parts by
+their keys and joined to the parts, so the result does not depend on the cut.
 """
 
 from __future__ import annotations
@@ -22,18 +24,19 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import pieces_of, stored
 
 MIN_RUN, PART_BYTES = 6, 1 << 20
-#: a block goes if this share of it lies in runs that pages with so many bodies share
-WHOLE, BODIES = 0.9, 4
+#: a block goes if this share of it lies in runs of at least so many pages and this share of the host's (inside a marked
+#: article: the second), and this share of the page's text in runs of at most half as many pages
+WHOLE, PAGES, OF_HOST, OWN = 0.9, 4, (0.1, 0.5), 0.25
 #: base of the rolling hash and the multipliers of its finishing mix (odd 64-bit constants)
 BASE, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
-NO_BODY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # HTML element names and the class words of page furniture.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "object", "canvas"}
@@ -259,10 +262,13 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int) -> np.ndarray:
     return cover(suffixes[np.repeat(spread, size)], run, len(tokens))
 
 
-def widely_spread(pages, bodies):
-    """Whether a run on so many pages with so many bodies is the site's. Copies
-    and near copies of an article are many pages with few bodies."""
-    return (bodies >= BODIES) & (4 * bodies >= pages)
+def levels(counts: np.ndarray, run: int) -> np.ndarray:
+    """For each token the largest count of the runs it lies in, at least 1;
+    ``counts`` are those of the runs that begin at each token."""
+    out = np.maximum(counts, 1)
+    for k in range(1, min(run, len(counts))):
+        out[k:] = np.maximum(out[k:], counts[:len(counts) - k])
+    return out
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -275,8 +281,8 @@ class Pages:
     """Parsed pages: their blocks, which of these may be text, the token
     stream, and the 64-bit key of the run that begins at each token."""
 
-    def __init__(self, htmls, run: int, host: str = ""):
-        self.blocks, self.words, self.explicit, kept = [], [], [], []
+    def __init__(self, htmls, run: int, hosts: np.ndarray):
+        self.blocks, self.words, self.explicit = [], [], []
         index: dict[str, int] = {}
         for x in htmls:
             blocks = blocks_of(x) if isinstance(x, str) else []
@@ -284,50 +290,51 @@ class Pages:
             self.explicit.append(explicit)
             self.blocks.append([(text, not dropped and inside >= explicit) for text, dropped, inside in blocks])
             self.words.append([b[0].split(" ") for b in blocks])
-            kept += [k for (_, k), ws in zip(self.blocks[-1], self.words[-1], strict=True) for _ in ws]
         self.tokens = np.array([index.setdefault(w, len(index)) for blocks in self.words for b in blocks for w in b], np.int64)
         self.page = np.repeat(np.arange(len(self.blocks)), [sum(map(len, blocks)) for blocks in self.words])
         n = len(self.tokens)
         #: starts of whole runs, and their keys
         self.starts = np.flatnonzero(np.arange(n) + run <= np.searchsorted(self.page, self.page, "right"))
         known = np.array([xxhash.xxh64_intdigest(w) for w in index], np.uint64)
-        keys = np.full(len(self.starts), xxhash.xxh64_intdigest(host), np.uint64)
+        keys = hosts.astype(np.int64).view(np.uint64)[self.page[self.starts]]
         for k in range(run):
             keys = keys * BASE + known[self.tokens[self.starts + k]]
         self.keys = _mixed(keys)
-        # a page's body is told by the least of its text's runs, which near copies mostly share
-        least = np.full(len(self.blocks), NO_BODY, np.uint64)
-        own = np.array(kept, bool)[self.starts]
-        np.minimum.at(least, self.page[self.starts[own]], self.keys[own])
-        self.body = (_mixed(least) >> np.uint64(40)).astype(np.int64)
 
 
-def extract_part(rows: pd.DataFrame, run: int = MIN_RUN) -> pd.DataFrame:
-    """Main texts of the pages of one part of a host."""
-    pages = Pages(rows["html"], run)
-    n = len(pages.tokens)
+def extract_part(rows: pd.DataFrame, run: int = MIN_RUN, shared: pd.DataFrame | None = None) -> pd.DataFrame:
+    """Main texts of the pages of one part of a host. ``shared``: the part's
+    runs (key, n_pages) that a host of several parts repeats. Rows of one id are
+    one page to the counts; without ids each row is a page."""
+    ids = rows["id"].to_numpy() if "id" in rows else np.arange(len(rows))
+    pages = Pages(rows["html"], run, rows["seed"].to_numpy() if "seed" in rows else np.zeros(len(rows), np.int64))
     suffixes, first = groups_of(pages.tokens, pages.page, run)
-    size = np.diff(np.append(first, len(suffixes)))
-    group, at = np.repeat(np.arange(len(first)), size), pages.page[suffixes]
-    n_pages, n_bodies = distinct(group, at, len(first)), distinct(group, pages.body[at], len(first))
-    covered = cover(suffixes[(n_pages > 1)[group]], run, n)
-    wide = cover(suffixes[widely_spread(n_pages, n_bodies)[group]], run, n)
-    # an article is taken at its mark unless at least half of the host's pages share the block
-    most = cover(suffixes[(widely_spread(n_pages, n_bodies) & (2 * n_pages >= len(rows)))[group]], run, n)
-    sums = [np.append(0, np.cumsum(x)) for x in (wide, most)]
+    group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(suffixes))))
+    n_pages = np.zeros(len(pages.tokens), np.int64)  # of the run that begins at a token
+    n_pages[suffixes] = distinct(group, ids[pages.page[suffixes]], len(first))[group]
+    if shared is not None and len(shared):
+        shared = shared.sort_values("key")
+        known, keys = shared["key"].to_numpy(), pages.keys.view(np.int64)
+        place = np.searchsorted(known, keys).clip(max=len(known) - 1)
+        hit = known[place] == keys
+        n_pages[pages.starts[hit]] = shared["n_pages"].to_numpy()[place[hit]]
+    of_host = (rows["host_pages"].max() if "host_pages" in rows else 0) or len(np.unique(ids))
+    level = levels(n_pages, run)
     texts, removed, at = [], [], 0
     for blocks, words, explicit in zip(pages.blocks, pages.words, pages.explicit, strict=True):
-        kept, own, begin, before = [], [], at, sums[explicit]
+        kept, begin = [], at
         for (text, keep), block in zip(blocks, words, strict=True):
-            gone = before[at + len(block)] - before[at]
-            at += len(block)
             if keep:
-                kept.append(text)
-                if gone < WHOLE * len(block):
-                    own.append(text)
-        # a page of nothing else keeps it
-        texts.append("\n\n".join(own or kept))
-        removed.append(int(covered[begin:at].sum()))
+                kept.append((text, np.sort(level[at:at + len(block)])))
+            at += len(block)
+        own, least = [], max(PAGES, OF_HOST[explicit] * of_host)
+        rest = np.sort(np.concatenate([x for _, x in kept])) if kept else level[:0]
+        for text, of_block in kept:
+            of_block = of_block[int((1 - WHOLE) * len(of_block))]
+            if of_block < least or np.searchsorted(rest, of_block // 2, "right") < OWN * len(rest):
+                own.append(text)
+        texts.append("\n\n".join(own or [text for text, _ in kept]))
+        removed.append(int((level[begin:at] > 1).sum()))
     return pd.DataFrame({"page_id": rows["page_id"], "url": rows["url"], "text": texts,
                          "n_chars": [len(t) for t in texts], "repeated_tokens": removed})
 
@@ -337,25 +344,72 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
 
 
+def shared_runs(rows: DataFrame, run: int) -> DataFrame:
+    """group, key and n_pages of the runs that two or more pages of a
+    host share, for each group (part) that holds one of these pages.
+
+    ``rows``: group, seed (of the host), id (of the page) and html. A run is a
+    row for each of its pages, so that no key has more than one row a page."""
+
+    def read(batches):
+        for batch in batches:
+            for part in pieces_of(batch, "html", 8 << 20):
+                groups, seeds, ids = (np.asarray(part.column(c)) for c in ("group", "seed", "id"))
+                rows = np.unique(ids, return_index=True)[1]  # repeated rows are one page
+                pages = Pages([part.column("html")[k].as_py() for k in rows.tolist()], run, seeds[rows])
+                at = rows[pages.page[pages.starts]]
+                yield pa.RecordBatch.from_arrays([pa.array(pages.keys.view(np.int64)), pa.array(ids[at]), pa.array(groups[at])],
+                                                 names=["key", "page", "group"])
+
+    found = rows.select("group", "seed", "id", "html").mapInArrow(read, "key bigint, page bigint, group bigint")
+    of_key = Window.partitionBy("key")
+    return (found.withColumn("before", F.lag("page").over(of_key.orderBy("page")))
+            .withColumn("n_pages", F.count_if(F.col("before").isNull() | (F.col("before") != F.col("page"))).over(of_key))
+            .where("n_pages > 1").select("key", "group", "n_pages").dropDuplicates(["key", "group"]))
+
+
 def main_texts(pages: DataFrame, run: int = MIN_RUN, part_bytes: int = PART_BYTES) -> DataFrame:
     """page_id, url, text, n_chars and repeated_tokens (tokens of the page in
     runs that its host repeats) of every page.
 
     Null or empty html: empty text. Null or odd URLs form one host. Broken and
-    unclosed markup is read as a browser would, nothing fails. Pages repeated
-    with one page_id are extracted each. A part holds about ``part_bytes`` of
-    a host's html, or one longer page. An empty table gives no rows. Other
+    unclosed markup is read as a browser would, nothing fails. Rows repeated
+    with one page_id, url and html are extracted each, and are one page to the
+    counts. A part holds about ``part_bytes`` of a host's html, or one longer
+    page; the result does not depend on it. An empty table gives no rows. Other
     columns are not read.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
-    sizes = stored(rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"))
-                   .select(F.col("host").alias("__host"), F.ceil(F.coalesce(F.col("bytes"), F.lit(0)) / part_bytes).alias("parts")), "hosts")
-    part = F.pmod(F.xxhash64("page_id", "url"), F.greatest(F.col("parts"), F.lit(1)))
-    dealt = rows.join(sizes, F.col("host") == F.col("__host")).withColumn("part", part)
-    return dealt.groupBy("host", "part").applyInPandas(
-        lambda key, group: extract_part(group, run),
-        "page_id bigint, url string, text string, n_chars bigint, repeated_tokens bigint")
+    rows = rows.withColumns({"seed": F.xxhash64("host"), "id": F.xxhash64("page_id", "url", "html")})
+    # hosts of several parts, at most one row for each part_bytes of html
+    sizes = stored(rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"), F.count_distinct("id").alias("host_pages"))
+                   .where(F.col("bytes") > part_bytes)
+                   .select(F.col("host").alias("__host"), F.ceil(F.col("bytes") / part_bytes).alias("parts"), "host_pages"), "hosts")
+    group = F.xxhash64("host", F.pmod("id", F.coalesce("parts", F.lit(1))))
+    dealt = rows.join(F.broadcast(sizes), F.col("host") == F.col("__host"), "left").withColumn("group", group)
+    # parts that repeated rows make too large, at most one row for each part_bytes of html
+    heavy = stored(dealt.where("parts IS NOT NULL").groupBy("group").agg(F.sum(F.octet_length("html")).alias("bytes"))
+                   .where(F.col("bytes") > 4 * part_bytes)
+                   .select(F.col("group").alias("__group"), F.ceil(F.col("bytes") / part_bytes).alias("salts")), "heavy")
+
+    def salted(df: DataFrame, salt) -> DataFrame:
+        return df.join(F.broadcast(heavy), F.col("group") == F.col("__group"), "left").withColumn("salt", salt)
+
+    salts = F.coalesce("salts", F.lit(1))
+    shared = salted(shared_runs(dealt.where("parts IS NOT NULL"), run), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    # any deal of a part's rows will do, each salt gets all its shared runs
+    dealt = salted(dealt, F.pmod(F.monotonically_increasing_id(), salts))
+
+    def extract(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):  # no row was dealt this salt
+            return pd.DataFrame({name: np.empty(0, kind) for name, kind in (
+                ("page_id", np.int64), ("url", object), ("text", object), ("n_chars", np.int64), ("repeated_tokens", np.int64))})
+        return extract_part(rows.fillna({"host_pages": 0}), run, shared)
+
+    return (dealt.select("group", "salt", "page_id", "url", "html", "seed", "id", "host_pages").groupBy("group", "salt")
+            .cogroup(shared.select("group", "salt", "key", "n_pages").groupBy("group", "salt"))
+            .applyInPandas(extract, "page_id bigint, url string, text string, n_chars bigint, repeated_tokens bigint"))
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:

@@ -118,6 +118,20 @@ def test_near_copies_keep_their_body(spark):
         assert got[i] == f"Printed on {date}\n\n{body}\n\n{body[::-1]}"
 
 
+def test_parts_do_not_change_the_result(spark):
+    # pairs of pages that share a run, a notice, near copies, repeated rows and null ones
+    htmls = [f"<p>{own_text(i)}</p><div>{own_text(1000 + i // 2, 8)}</div><div>{NOTICE}</div>" for i in range(40)]
+    htmls += [f"<p>No {i}</p><p>{own_text(2000)}</p><div>{NOTICE}</div>" for i in range(10)]
+    rows = [(i, "https://h.example.com/x", x) for i, x in enumerate(htmls)] + [(0, "https://h.example.com/x", htmls[0])] * 60
+    rows += [(None, None, f"<p>{own_text(3000)}</p>")] * 40 + [(7, None, f"<p>{own_text(3000)}</p>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole, cut = (sorted((str(tuple(r)) for r in ht.main_texts(pages, part_bytes=b).collect())) for b in (1 << 20, 600))
+    assert cut == whole and len(cut) == len(rows)
+    by_id = {r.page_id: r for r in ht.main_texts(pages, part_bytes=600).where("url IS NOT NULL").collect()}
+    for i in range(40):
+        assert by_id[i].repeated_tokens == 8 + len(NOTICE.split()) and NOTICE not in by_id[i].text
+
+
 def test_notices_go_from_inside_articles(spark):
     quote = "a line that only some of the pages hold in common"
     htmls = [f"<article><h1>{i}</h1><div>{NOTICE}</div><p>{own_text(i)}</p>{f'<p>{quote}</p>' if i < 9 else ''}</article>"
