@@ -19,7 +19,7 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import pieces_of
 
-K, WINDOW = 16, 64
+K, WINDOW = 8, 8
 #: base of the rolling hash and the multipliers of its finishing mix (odd 64-bit constants)
 BASE, MIX1, MIX2 = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 

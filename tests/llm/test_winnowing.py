@@ -49,6 +49,18 @@ def test_match_guarantee():
         assert set(wn.winnow(a)[0].tolist()) & set(wn.winnow(b)[0].tolist())
 
 
+def test_short_documents_are_nearer_to_their_edited_text():
+    r = random.Random(3)
+
+    def noise(n):
+        return "".join(r.choice("abcdefghijklmnopqrst ") for _ in range(n))
+
+    for n in range(30, 120):
+        text, following = noise(n), noise(n)
+        own, other, after = (set(wn.winnow(t)[0].tolist()) for t in (text, wn.edited(text, following), following))
+        assert len(own & other) / len(own | other) > len(own & after) / len(own | after)
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
     out = []
