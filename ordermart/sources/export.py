@@ -9,11 +9,14 @@ is written as a JSON number. Nothing is collected to the driver or in a task.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermart.config import shared_dir
+
 EXPORT_FILES = {
     "dashboard_summary": "dashboard_summary",
     "monthly_sales": "monthly_sales",
@@ -39,11 +42,16 @@ def json_lines(df: DataFrame) -> DataFrame:
         F.col(f.name).cast(T.TimestampNTZType()).alias(f.name) if isinstance(f.dataType, T.DateType)
         else F.col(f.name) for f in df.schema.fields])
     rows = out.select(F.monotonically_increasing_id().alias("at"), F.to_json(F.struct(*out.columns), JSON_OPTIONS).alias("row"))
-    order = Window.orderBy("at")
-    lines = rows.select("at", F.concat(
-        F.when(F.lag("row").over(order).isNull(), "[").otherwise(","), "row",
-        F.when(F.lead("row").over(order).isNull(), "]").otherwise("")).alias("value"))
-    none = df.sparkSession.range(1).where(F.lit(0) == out.agg(F.count(F.lit(1))).scalar())
+    # written once: places are then the same for the brackets and for the rows
+    path = f"{shared_dir(df.sparkSession)}/export-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(path)
+    # the brackets go by the first and last place, so no window sees all rows
+    ends = rows.agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    lines = rows.crossJoin(F.broadcast(ends)).select("at", F.concat(
+        F.when(F.col("at") == F.col("first"), "[").otherwise(","), "row",
+        F.when(F.col("at") == F.col("last"), "]").otherwise("")).alias("value"))
+    none = df.sparkSession.range(1).where(F.lit(0) == rows.agg(F.count(F.lit(1))).scalar())
     return lines.unionByName(none.select(F.lit(0).cast("bigint").alias("at"), F.lit("[]").alias("value"))).orderBy("at").select("value")
 
 

@@ -220,3 +220,13 @@ def test_export_of_many_and_of_no_rows(spark, tmp_dir):
     assert doc(f"{tmp_dir}/many") == [{"k": i, "n": None} for i in range(5000)]
     write_json(df.where("k < 0"), f"{tmp_dir}/none")
     assert doc(f"{tmp_dir}/none") == []
+
+
+def test_export_sees_no_rows_of_all_in_a_window(spark):
+    from ordermart.sources.export import json_lines
+
+    df = spark.range(3000).selectExpr("id AS k").repartition(6).orderBy("k")
+    lines = json_lines(df)
+    assert "Window" not in lines._jdf.queryExecution().executedPlan().toString()
+    values = [r.value for r in lines.collect()]
+    assert values[0] == '[{"k":0}' and values[1] == ',{"k":1}' and values[-1] == ',{"k":2999}]'
