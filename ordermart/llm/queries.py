@@ -11,10 +11,12 @@ from .sharding import op8_sharding
 from .simhash import op10_simhash
 from .token_counts import op2_token_counts
 from .toxicity import op4_toxicity
+from .whitening import op12_whitening
 from .winnowing import op9_winnowing
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_token_counts, op3_exact_dedup, op4_toxicity, op5_mixing, op6_packing,
-    op7_html_text, op8_sharding, op9_winnowing, op10_simhash)}
+    op7_html_text, op8_sharding, op9_winnowing, op10_simhash,
+    op12_whitening)}
 
 ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op3_exact_dedup": OP3_SQL}
