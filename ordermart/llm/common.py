@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ordermart.config import shared_dir
 
-#: second seed of the 128-bit hash pairs
+#: put before the text in the second half of the 128-bit hash pairs
 SALT = "second-half"
 
 
@@ -50,8 +50,11 @@ def numbered(df: DataFrame, order: list, name: str, column: str = "ordinal") ->
 
 
 def text_key(text) -> list:
-    """Two 64-bit hashes of a text, as one 128-bit identity."""
-    return [F.xxhash64(text), F.xxhash64(text, F.lit(SALT))]
+    """Two 64-bit hashes of a text, as one 128-bit identity. Spark seeds the hash
+    of a column with that of the column before it: the salt comes first, so the
+    second half reads the text from a seed of its own. After the text it would
+    be a function of the first half."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(SALT), text)]
 
 
 def pieces_of(batch: pa.RecordBatch, column: str, max_bytes: int = 16 << 20):

@@ -20,6 +20,8 @@ from pyspark.sql.functions import pandas_udf
 from .common import pieces_of
 
 K, WINDOW = 8, 8
+#: bytes of text in a slice; its fingerprints are several times as large
+SLICE = 2 << 20
 #: base of the rolling hash and the multipliers of its finishing mix (odd 64-bit constants)
 BASE, MIX1, MIX2 = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -102,31 +104,33 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - m] + following[:m]
 
 
+COMPARED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+                      ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+
+
 def _compare(batches, k: int, window: int):
     """Rows come in blocks, by descending doc_id; each row's next document is
-    the row after it, and a block's last row (``lead``) is only that."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-                        ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-                        ("near_edited", pa.float64()), ("near_next", pa.float64())])
-    held = None
+    the row after it, and a block's last row (``lead``) is only that. A slice
+    of texts and one text before it are in memory at a time."""
+    held = None  # doc_id, text and hashes of the row before, if it waits for its next document
     for batch in batches:
-        for part in pieces_of(batch, "text"):
-            rows = []
-            for doc, text, lead in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(),
-                                       part.column("lead").to_pylist(), strict=True):
-                text = text or ""
+        for part in pieces_of(batch, "text", SLICE):
+            columns: list[list] = [[] for _ in COMPARED]
+            ids, leads, texts = part.column("doc_id"), part.column("lead"), part.column("text")
+            for i in range(part.num_rows):
+                text = texts[i].as_py() or ""
                 own = winnow(text, k, window)[0]
                 if held is not None:
-                    before, previous, kept = held
+                    doc, previous, kept = held
                     changed = edited(previous, text)
                     other = winnow(changed, k, window)[0]
-                    rows.append({"doc_id": before, "n_chars": len(previous),
-                                 "edited_sha256": hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
-                                 "fingerprint": digest(kept), "edited_fingerprint": digest(other),
-                                 "near_edited": likeness(kept, other), "near_next": likeness(kept, own)})
-                held = None if lead else (doc, text, own)
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    row = (doc, len(previous), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
+                           digest(kept), digest(other), likeness(kept, other), likeness(kept, own))
+                    for column, value in zip(columns, row, strict=True):
+                        column.append(value)
+                held = None if leads[i].as_py() else (ids[i].as_py(), text, own)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COMPARED, strict=True)], schema=COMPARED)
 
 
 def compare_next(docs: DataFrame, blocks: int | None = None, k: int = K, window: int = WINDOW) -> DataFrame:
@@ -135,9 +139,12 @@ def compare_next(docs: DataFrame, blocks: int | None = None, k: int = K, window:
 
     doc_ids are cut into ``blocks`` at quantiles; a block also gets the first row
     of the block below, so every pair meets in one task and the texts are
-    shuffled once. Null text: empty. Rows with equal doc_ids follow each other
-    by text; null doc_ids come last. The only row of a table is its own next;
-    an empty table gives no rows.
+    shuffled once. A doc_id (or null) of more rows than a block has is cut on
+    by the hash of the text. Null text: empty. Rows with equal doc_ids follow
+    each other by the hash of their text; null doc_ids come last. Rows repeated
+    with one doc_id and text are one block, read in a stream. Very long texts
+    are read whole. The only row of a table is its own next; an empty table
+    gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -145,30 +152,43 @@ def compare_next(docs: DataFrame, blocks: int | None = None, k: int = K, window:
     # several blocks a task, so that the hash of the block deals them evenly
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = blocks or 8 * partitions
+    ids = narrow.groupBy("doc_id").agg(F.count("*").alias("n"))
+    size = ids.agg(F.sum("n")).first()[0] or 0
+    # at most ``blocks`` ids have more rows than a block: block of its own, in parts
+    large = {r["doc_id"]: -(-r["n"] * blocks // size) for r in ids.where(F.col("n") * blocks > size).collect()} if size else {}
     known = narrow.select("doc_id").where("doc_id IS NOT NULL")
     cuts = known.agg(F.percentile_approx("doc_id", [i / blocks for i in range(1, blocks)], 10000)).first()[0] or []
-    cuts = np.unique(np.array(cuts, np.int64))
-
-    @pandas_udf("int")
-    def block(ids: pd.Series) -> pd.Series:
-        # descending: the largest doc_ids are block 0, null ones the last
-        at = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64), "right")
-        return pd.Series(np.where(ids.isna(), len(cuts) + 1, at).astype(np.int32))
-
-    placed = narrow.withColumn("block", block("doc_id"))
-    # the head of a block, the row that follows the block above: one row a block
-    heads = placed.groupBy("block").agg(F.max("doc_id").alias("doc_id"))
+    alone = [x for i in large if i is not None for x in (i, min(i + 1, (1 << 63) - 1))]
+    cuts = np.unique(np.array([*cuts, *alone], np.int64))
+
+    @pandas_udf("bigint")
+    def block(ids: pd.Series, none: pd.Series, hashes: pd.Series) -> pd.Series:
+        # descending: the largest doc_ids are block 0, null ones the last; the parts of a block by ascending hash
+        at = len(cuts) - np.searchsorted(cuts, ids.to_numpy(np.int64), "right")
+        at = np.where(none, len(cuts) + 1, at).astype(np.int64) << 32
+        for doc_id, parts in large.items():
+            own = (none if doc_id is None else (ids == doc_id) & ~none).to_numpy(bool)
+            share = (hashes[own].to_numpy(np.int64).astype(np.float64) + 2.0 ** 63) / 2.0 ** 64
+            at[own] += np.minimum((share * parts).astype(np.int64), parts - 1)
+        return pd.Series(at)
+
+    hashed = narrow.withColumn("hash", F.xxhash64("text"))
+    placed = hashed.withColumn("block", block(F.coalesce("doc_id", F.lit(0)), F.isnull("doc_id"), "hash"))
+    # the head of a block, the row that follows the block above: one row a block, at most three times ``blocks``
+    first = F.min(F.struct(F.bitwise_not("doc_id").alias("down"), "hash"))
+    heads = placed.groupBy("block").agg(first.alias("first"))
     around = Window.orderBy("block")
-    heads = heads.select(F.col("block").alias("b"), F.col("doc_id").alias("d"),
+    heads = heads.select(F.col("block").alias("b"), F.bitwise_not("first.down").alias("d"), F.col("first.hash").alias("h"),
                          F.coalesce(F.lag("block").over(around), F.lit(-1)).alias("above"))
     last = heads.agg(F.max("b")).first()[0]
     above = F.when(F.col("above") >= 0, F.col("above")).otherwise(F.lit(-1 if last is None else last))
-    texts = placed.join(F.broadcast(heads), (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    lead = texts.groupBy(above.cast("int").alias("block"), "doc_id").agg(F.min("text").alias("text"))
-    rows = placed.select("block", "doc_id", "text", F.lit(False).alias("lead")).unionByName(
-        lead.select("block", "doc_id", "text", F.lit(True).alias("lead")))
+    texts = placed.join(F.broadcast(heads), (F.col("block") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("d"))
+                        & (F.col("hash") == F.col("h")))
+    lead = texts.groupBy(above.cast("bigint").alias("block"), "doc_id", "hash").agg(F.min("text").alias("text"))
+    rows = placed.select("block", "doc_id", "hash", "text", F.lit(False).alias("lead")).unionByName(
+        lead.select("block", "doc_id", "hash", "text", F.lit(True).alias("lead")))
     return (rows.repartition(partitions, "block")
-            .sortWithinPartitions("block", "lead", F.col("doc_id").desc_nulls_last(), "text")
+            .sortWithinPartitions("block", "lead", F.col("doc_id").desc_nulls_last(), "hash", "text")
             .select("doc_id", "text", "lead")
             .mapInArrow(lambda it: _compare(it, k, window),
                         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "

@@ -40,3 +40,16 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         common.shared_dir(Session())
+
+
+def test_the_halves_of_a_text_key_are_independent(spark):
+    """Not the salt hashed from the first half as its seed, for any text."""
+    import xxhash
+
+    texts = ["", "a", "one line", "x" * 500]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", *[h.alias(f"h{i}") for i, h in enumerate(common.text_key(F.col("t")))]).collect()
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for r in rows:
+        assert r.h0 == signed(xxhash.xxh64_intdigest(r.t, 42))
+        assert r.h1 != signed(xxhash.xxh64_intdigest(common.SALT, r.h0 % (1 << 64)))
+        assert r.h1 == signed(xxhash.xxh64_intdigest(r.t, xxhash.xxh64_intdigest(common.SALT, 42)))

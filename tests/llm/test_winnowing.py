@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+import xxhash
 from helpers import docs_of, odd_rows, with_extra
 
 from ordermart.llm import winnowing as wn
@@ -62,7 +63,11 @@ def test_short_documents_are_nearer_to_their_edited_text():
 
 
 def brute(rows):
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    def hashed(text):
+        h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashed(r[1])))
     out = []
     for i, (doc, text, *_) in enumerate(order):
         text, after = text or "", order[(i + 1) % len(order)][1] or ""
@@ -86,6 +91,16 @@ def test_query_is_brute_force(spark):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [7, None])
+def test_a_hot_doc_id_is_many_blocks(spark, hot):
+    r = random.Random(5)
+    rows = [(hot if i % 3 else i, " ".join(r.choice(["ab", "cd", "ef"]) for _ in range(r.randrange(30))), "en", "s") for i in range(300)]
+    rows += [(1 << 62, "x", "en", "s"), (-(1 << 63), "y", "en", "s"), ((1 << 63) - 1, "z", "en", "s")]
+    docs = docs_of(spark, rows)
+    got = sorted((tuple(x) for x in wn.compare_next(docs, 12).collect()), key=str)
+    assert got == brute(rows)
+
+
 def test_single_and_empty(spark):
     assert wn.compare_next(docs_of(spark, [])).count() == 0
     row = wn.compare_next(docs_of(spark, [(5, "a text of its own", "en", "s")])).first()
