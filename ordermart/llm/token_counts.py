@@ -28,6 +28,8 @@ from .common import coded_words, pieces_of
 SPACE = r"[\x09-\x0D\x20]+"
 #: Zipf-Mandelbrot offset of the rank, and the unit of the integer costs
 OFFSET, UNIT = 2.7, 10_000
+#: the cost where no piece ends; words so few that each is finished by itself
+NONE, FEW = np.iinfo(np.int64).max // 4, 4
 
 
 class Vocabulary:
@@ -49,6 +51,7 @@ class Vocabulary:
         self.to = np.array([edges[k] for k in self.keys.tolist()], np.int64)
         self.cost = np.full(states, -1, np.int64)
         self.cost[list(cost)] = list(cost.values())
+        self.edges, self.costs = edges, self.cost.tolist()
 
     @classmethod
     def named(cls, name: str):
@@ -65,6 +68,31 @@ class Vocabulary:
         return np.where(self.keys[at] == key, self.to[at], -1)
 
 
+def _grown(x: np.ndarray, n: int) -> np.ndarray:
+    """``x`` with room for n items; doubled, so that all growing together is linear."""
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
+
+
+def _finished(word: bytes, costs: list[int], tokens: list[int], vocabulary: Vocabulary) -> int:
+    """Tokens of a word (with its blank) whose first prefixes are scored: the
+    rest of a path that no other word shares, a byte at a time."""
+    edges, piece = vocabulary.edges, vocabulary.costs
+    for end in range(len(costs), len(word) + 1):
+        best, least, state, at = None, 0, 0, end
+        while at:
+            state = edges.get(state << 8 | word[at - 1])
+            if state is None:
+                break
+            at -= 1
+            if piece[state] >= 0:
+                c, t = costs[at] + piece[state], tokens[at] + 1
+                if best is None or c < best or (c == best and t < least):
+                    best, least = c, t
+        costs.append(NONE if best is None else best)
+        tokens.append(least)
+    return tokens[-1]
+
+
 def counted(words: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
     """Tokens of each distinct pre-token (given without its blank)."""
     if not len(words):
@@ -76,16 +104,14 @@ def counted(words: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
     lengths = np.diff(offsets)
     # the nodes of one depth at a time: a sorted word opens a new node where it leaves the word before it
-    none = np.iinfo(np.int64).max // 4
-    parents, letters = np.array([-1, 0]), np.array([0, 32])  # the root, and the blank before every pre-token
-    cost, tokens = np.array([0, none]), np.array([0, 0])
+    parents, letters = np.array([-1, 0]), np.array([0, 32], np.uint8)  # the root, and the blank before every pre-token
+    cost, tokens = np.array([0, NONE]), np.array([0, 0])
     nodes, counts = 2, np.zeros(len(words), np.int64)
 
     def score(first: int, up: np.ndarray, byte: np.ndarray):
         """Forward cost and token count of the nodes from ``first`` on."""
-        nonlocal cost, tokens
-        best, least = np.full(len(up), none), np.zeros(len(up), np.int64)
-        who, state, above, b = np.arange(len(up)), np.zeros(len(up), np.int64), up, byte
+        best, least = np.full(len(up), NONE), np.zeros(len(up), np.int64)
+        who, state, above, b = np.arange(len(up)), np.zeros(len(up), np.int64), up, byte.astype(np.int64)
         while len(who):
             state = vocabulary.step(state, b)
             on = state >= 0
@@ -96,9 +122,8 @@ def counted(words: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
             best[who[better]], least[who[better]] = c[better], t[better]
             go = above > 0
             who, state, above = who[go], state[go], above[go]
-            b, above = letters[above], parents[above]
-        cost = np.concatenate([cost[:first], best])
-        tokens = np.concatenate([tokens[:first], least])
+            b, above = letters[above].astype(np.int64), parents[above]
+        cost[first:first + len(up)], tokens[first:first + len(up)] = best, least
 
     score(1, parents[1:], letters[1:])
     active, node, depth = np.arange(len(words)), np.ones(len(words), np.int64), 0
@@ -106,20 +131,26 @@ def counted(words: pa.Array, vocabulary: Vocabulary) -> np.ndarray:
         done = lengths[active] == depth
         counts[active[done]] = tokens[node[active[done]]]
         active = active[~done]
-        if not len(active):
+        if len(active) <= FEW:
             break
-        byte = data[offsets[active] + depth].astype(np.int64)
+        byte = data[offsets[active] + depth]
         above = node[active]
         new = np.ones(len(active), bool)
         new[1:] = (above[1:] != above[:-1]) | (byte[1:] != byte[:-1])
-        number = nodes + np.cumsum(new) - 1
-        node[active] = number
+        node[active] = nodes + np.cumsum(new) - 1
         up, b = above[new], byte[new]
-        first = nodes
-        nodes += len(up)
-        parents, letters = np.concatenate([parents, up]), np.concatenate([letters, b])
+        first, nodes = nodes, nodes + len(up)
+        parents, letters, cost, tokens = (_grown(x, nodes) for x in (parents, letters, cost, tokens))
+        parents[first:nodes], letters[first:nodes] = up, b
         score(first, up, b)
         depth += 1
+    for k in active.tolist():  # the few long words: what the trie has of them, then on alone
+        path, at = [], int(node[k])
+        while at >= 0:
+            path.append(at)
+            at = int(parents[at])
+        path.reverse()
+        counts[k] = _finished(b" " + words[k].as_py(), cost[path].tolist(), tokens[path].tolist(), vocabulary)
     out = np.empty(len(words), np.int64)
     out[order] = counts
     return out
@@ -129,8 +160,8 @@ def token_counts(docs: DataFrame, vocabulary: str = "byte_bpe_50k") -> DataFrame
     """doc_id, n_words (pre-tokens) and n_tokens of every whole text.
 
     Null, empty and blank texts have no pre-tokens: 0 and 0. Bytes that no
-    longer piece covers are pieces themselves, so every text is covered. Null
-    and repeated doc_ids pass through. An empty table gives no rows. Other
+    longer piece covers are pieces themselves, so every text is covered. A very
+    long pre-token costs time in proportion to its bytes. Null and repeated doc_ids pass through. An empty table gives no rows. Other
     columns are not read.
     """
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))

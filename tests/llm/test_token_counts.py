@@ -52,3 +52,25 @@ def test_documents(spark):
                                           for w in words)))
     assert got == sorted(want, key=str)
     assert tc.token_counts(docs_of(spark, [])).count() == 0
+
+
+def test_texts_without_white_space_take_linear_time():
+    """Eight times the bytes in about eight times the time; no blank in megabytes."""
+    import time
+
+    known = tc.Vocabulary(pieces())
+    r = np.random.default_rng(6)
+    seconds = []
+    for n in (1 << 17, 1 << 20):
+        words = ["".join(map(chr, r.integers(0x4E00, 0x9FFF, n // 3))), "Zm9v" * (n // 8)]
+        t = time.perf_counter()
+        got = tc.counted(pa.array(words), known)
+        seconds.append(time.perf_counter() - t)
+        assert (got > n // 40).all()
+    assert seconds[1] < 24 * seconds[0]
+
+
+def test_long_words_equal_brute_force():
+    known = pieces()
+    words = [w * 40 for w in ("base64/+", "日本語テキスト", "ab", "--=", "Straße", "xyz")] + ["a" * 700, "a" * 699 + "b"]
+    assert tc.counted(pa.array(words), tc.Vocabulary(known)).tolist() == [cheapest(w.encode(), known) for w in words]
