@@ -6,10 +6,9 @@ with doubled quotes, CR/LF or LF line ends. Every cell is read as text (ZIP
 prefixes keep their leading zeros) and the CSV null tokens become NULL.
 
 Files are read with an explicit all-string schema, FAILFAST (a short or
-malformed row aborts the load instead of being padded), and split-parallel;
-only tables whose cells may hold quoted line breaks (review text) are read
-in multi-line mode, which Spark cannot split inside a file (so each such
-file is one task: at scale, deliver them as many files).
+malformed row aborts the load instead of being padded), and split-parallel.
+Tables whose cells may hold quoted line breaks (review text) are put together
+from text lines first (``csv_records``), so that one large file is many tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.schemas import RAW_COLUMNS, RAW_FILE_OF, raw_text_schema
+from ordermart.sources.csv_records import parsed
 from ordermart.sources.raw import to_raw
 
 MULTILINE_TABLES = frozenset({"order_reviews"})
@@ -58,6 +58,8 @@ def read_source(spark: SparkSession, source_dir: str, table: str,
     """One source file as text cells (header validated first)."""
     path = source_path(source_dir, table)
     validate_header(spark, path, table)
+    if table in multiline_tables:
+        return parsed(spark, path, raw_text_schema(table))
     return (spark.read.schema(raw_text_schema(table))
             .option("header", True)
             .option("enforceSchema", False)
@@ -65,7 +67,6 @@ def read_source(spark: SparkSession, source_dir: str, table: str,
             .option("quote", '"')
             .option("escape", '"')
             .option("encoding", "UTF-8")
-            .option("multiLine", table in multiline_tables)
             .csv(path))
 
 
@@ -80,9 +81,7 @@ def ingest(spark: SparkSession, source_dir: str, loaded_at: _dt.datetime,
     """Raw tables (text + null tokens mapped + lineage) from CSV files.
 
     ``multiline_tables`` names the sources whose quoted cells may contain
-    line breaks. Such a file is read by one task (a record boundary cannot be
-    found from the middle of the file), so at scale those sources should
-    arrive as many files; sources known to be single-line read split-parallel."""
+    line breaks; the others are read a line a record."""
     return {t: to_raw(df, t, loaded_at)
             for t, df in csv_sources(spark, source_dir, multiline_tables).items()}
 
