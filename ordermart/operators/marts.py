@@ -19,7 +19,7 @@ data, so Spark's size-checked auto broadcast (and AQE at run time) decides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,31 @@ def customer_order_rank(customers: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def customer_order_history(customers: DataFrame, orders: DataFrame, ranks: int = 3) -> DataFrame:
+    """The ``ranks`` latest orders of each customer, numbered from the latest,
+    with the location recorded on each.
+
+    Spark ranks inside the tasks of the join first (WindowGroupLimit), so a
+    customer with a third of all orders sends ``ranks`` rows of each task over
+    the exchange."""
+    latest = Window.partitionBy("customer_unique_id").orderBy(F.desc("order_purchase_timestamp"), F.desc("order_id"))
+    ranked = customer_orders(customers, orders).withColumn("order_rank", F.row_number().over(latest))
+    return ranked.where(F.col("order_rank") <= ranks).select(
+        "customer_unique_id", "order_rank", "order_id", "order_purchase_timestamp",
+        "customer_zip_code_prefix", "customer_city", "customer_state")
+
+
+def orders_of(fact_orders: DataFrame, customer_unique_id: str | Column) -> DataFrame:
+    """Lookup of one customer's orders: the stored table's Bloom filters leave
+    out row groups without the customer."""
+    return fact_orders.where(F.col("customer_unique_id") == customer_unique_id)
+
+
+def items_of(fact_order_items: DataFrame, seller_id: str | Column) -> DataFrame:
+    """Lookup of one seller's items, as ``orders_of``."""
+    return fact_order_items.where(F.col("seller_id") == seller_id)
+
+
 def dim_products(products: DataFrame, created_at) -> DataFrame:
     return products.select(
         "product_id", "product_category_name", "product_category_name_original",

@@ -37,24 +37,32 @@ def monthly_sales(fact_orders: DataFrame) -> DataFrame:
             ))
 
 
-def _items_with_orders(fact_order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def _sold(fact_order_items: DataFrame, fact_orders: DataFrame, dimension: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """Sales by columns of a dimension, no status filter.
+
+    Aggregated before the star join: rows of an order and ``key`` become one
+    where the items already are by order, then one row per order and group,
+    whose number is the number of distinct orders. The score of an order counts
+    once per item: points and rated items are summed, and divided at the end."""
     o = fact_orders.select("order_id", "average_review_score")
-    return fact_order_items.select("order_id", "product_id", "seller_id", "price").join(o, "order_id")
+    per_key = (fact_order_items.select("order_id", key, "price").join(o, "order_id").groupBy("order_id", key)
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("worth"), F.sum("average_review_score").alias("points"),
+                    F.count("average_review_score").alias("rated")))
+    per_order = per_key.join(dimension.select(*dict.fromkeys([key, *by])), key)
+    if key not in by:
+        per_order = per_order.groupBy(*by, "order_id").agg(*[F.sum(c).alias(c) for c in ("n", "worth", "points", "rated")])
+    mean = F.try_divide(F.sum("points").cast("decimal(24,2)"), F.sum("rated").cast("decimal(20,0)"))
+    return per_order.groupBy(*by).agg(
+        F.sum("n").alias("items_sold"),
+        F.count(F.lit(1)).alias("order_count"),
+        F.sum("worth").cast(MONEY_REPORT).alias("product_revenue"),
+        mean.cast(REVIEW_AVG).alias("average_review_score"),
+    )
 
 
 def category_performance(fact_order_items: DataFrame, dim_products: DataFrame,
                          fact_orders: DataFrame) -> DataFrame:
-    """No status filter. COUNT(DISTINCT order_id) next to plain aggregates is
-    planned by Spark as a two-level aggregate (by category+order, then by
-    category), both levels partial - no Expand, no per-category sort."""
-    p = dim_products.select("product_id", "product_category_name")
-    j = _items_with_orders(fact_order_items, fact_orders).join(p, "product_id")
-    return j.groupBy("product_category_name").agg(
-        F.count(F.lit(1)).alias("items_sold"),
-        F.countDistinct("order_id").alias("order_count"),
-        F.sum("price").cast(MONEY_REPORT).alias("product_revenue"),
-        decimal_avg(F.col("average_review_score"), REVIEW_AVG).alias("average_review_score"),
-    )
+    return _sold(fact_order_items, fact_orders, dim_products, "product_id", ["product_category_name"])
 
 
 def state_performance(fact_orders: DataFrame) -> DataFrame:
@@ -69,14 +77,10 @@ def state_performance(fact_orders: DataFrame) -> DataFrame:
 
 def seller_performance(fact_order_items: DataFrame, dim_sellers: DataFrame,
                        fact_orders: DataFrame) -> DataFrame:
-    s = dim_sellers.select("seller_id", "seller_city", "seller_state")
-    j = _items_with_orders(fact_order_items, fact_orders).join(s, "seller_id")
-    return j.groupBy("seller_id", "seller_city", "seller_state").agg(
-        F.countDistinct("order_id").alias("order_count"),
-        F.count(F.lit(1)).alias("items_sold"),
-        F.sum("price").cast(MONEY_REPORT).alias("product_revenue"),
-        decimal_avg(F.col("average_review_score"), REVIEW_AVG).alias("average_review_score"),
-    )
+    """Per (order, seller) rows are the distinct orders already; columns in the order the export has them."""
+    out = _sold(fact_order_items, fact_orders, dim_sellers, "seller_id", ["seller_id", "seller_city", "seller_state"])
+    return out.select("seller_id", "seller_city", "seller_state", "order_count", "items_sold", "product_revenue",
+                      "average_review_score")
 
 
 def dashboard_summary(fact_orders: DataFrame) -> DataFrame:

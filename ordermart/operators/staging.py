@@ -76,15 +76,6 @@ def stg_sellers(raw: DataFrame, staged_at) -> DataFrame:
 NO_ZIP = "\0"
 
 
-def _most_frequent(points: DataFrame, value: str) -> DataFrame:
-    """(zip, value): the value most often seen at a ZIP, the smallest of equally
-    frequent ones, NULLs aside. Counted per (zip, value) first, so a hot ZIP is
-    dealt by value and combined map side."""
-    seen = points.where(F.col(value).isNotNull()).groupBy("zip", value).agg(F.count(F.lit(1)).alias("n"))
-    best = seen.groupBy("zip").agg(F.min(F.struct((-F.col("n")).alias("n"), value)).alias("best"))
-    return best.select("zip", F.col(f"best.{value}").alias(value))
-
-
 def stg_geolocation(raw: DataFrame, staged_at) -> DataFrame:
     """One representative row per ZIP prefix: mean coordinates, modal city and
     state (NULLs ignored, ties to the smallest value)."""
@@ -97,14 +88,21 @@ def stg_geolocation(raw: DataFrame, staged_at) -> DataFrame:
         F.upper(_t("geolocation_state")).alias("state"),
         F.col("loaded_at"),
     )
-    # inputs already carry 18 fractional digits: avg is (32,22), exact enough
-    out = g.groupBy("zip").agg(
-        F.avg("lat").cast(COORD).alias("geolocation_lat"),
-        F.avg("lng").cast(COORD).alias("geolocation_lng"),
-        F.max("loaded_at").alias("source_loaded_at"),
-    )
-    for value in ("city", "state"):
-        out = out.join(_most_frequent(g, value), "zip", "left")
+    # one pass: each ZIP, its cities and its states as grouping sets, so a hot ZIP is combined map side and dealt by value
+    sets = g.groupingSets([["zip"], ["zip", "city"], ["zip", "state"]], "zip", "city", "state").agg(
+        F.grouping_id().alias("set"), F.count(F.lit(1)).alias("n"),
+        # inputs already carry 18 fractional digits: avg is (32,22), exact enough
+        F.avg("lat").cast(COORD).alias("lat"), F.avg("lng").cast(COORD).alias("lng"), F.max("loaded_at").alias("loaded_at"))
+    # the bits of a set tell the columns left out: city is 2, state is 1
+    whole, by_city, by_state = (F.col("set") == k for k in (3, 1, 2))
+
+    def most_frequent(of, value):
+        """The value most often seen, the smallest of equally frequent ones, NULLs aside."""
+        return F.min(F.when(of & F.col(value).isNotNull(), F.struct((-F.col("n")).alias("n"), value)))[value].alias(value)
+
+    out = sets.groupBy("zip").agg(
+        F.max(F.when(whole, F.col("lat"))).alias("geolocation_lat"), F.max(F.when(whole, F.col("lng"))).alias("geolocation_lng"),
+        F.max("loaded_at").alias("source_loaded_at"), most_frequent(by_city, "city"), most_frequent(by_state, "state"))
     return out.select(
         F.nullif(F.col("zip"), F.lit(NO_ZIP)).alias("geolocation_zip_code_prefix"),
         "geolocation_lat", "geolocation_lng", F.col("city").alias("geolocation_city"), F.col("state").alias("geolocation_state"),

@@ -100,6 +100,14 @@ def _from_csv(name):
     return run
 
 
+def _orders_of_customer(spark, d):
+    """The orders of the customer with the most, looked up by key in the stored fact."""
+    an, path = _layers(spark, d).analytics, f"{shared_dir(spark)}/fact-orders-{uuid.uuid4().hex}"
+    stored = pipeline.write_table(an["fact_orders"], path, pipeline.SORT_KEYS["fact_orders"], pipeline.BLOOM_KEYS["fact_orders"])
+    most = stored.groupBy("customer_unique_id").count().orderBy(F.desc("count"), "customer_unique_id").first()
+    return _out(marts.orders_of(stored, most["customer_unique_id"] if most else ""))
+
+
 def _with(fn, sources=fixtures):
     return lambda spark, d: _out(fn(_layers(spark, d, sources)))
 
@@ -145,6 +153,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staging_quality": _with(lambda ly: ly.staging_quality()),
     # marts
     "customer_order_rank": _with(lambda ly: marts.customer_order_rank(ly.staging["customers"], ly.staging["orders"])),
+    "customer_order_history": _with(lambda ly: marts.customer_order_history(ly.staging["customers"], ly.staging["orders"])),
+    "orders_of_customer": _orders_of_customer,
     "order_item_totals": _with(lambda ly: marts.order_item_totals(ly.staging["order_items"])),
     "order_payment_totals": _with(lambda ly: marts.order_payment_totals(ly.staging["order_payments"])),
     "order_review_totals": _with(lambda ly: marts.order_review_totals(ly.staging["order_reviews"])),

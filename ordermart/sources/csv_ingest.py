@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ordermart.schemas import RAW_COLUMNS, RAW_FILE_OF, raw_text_schema
-from ordermart.sources.csv_records import parsed
+from ordermart.sources.csv_records import parsed, record_counts
 from ordermart.sources.raw import to_raw
 
 MULTILINE_TABLES = frozenset({"order_reviews"})
@@ -70,6 +70,11 @@ def read_source(spark: SparkSession, source_dir: str, table: str,
             .csv(path))
 
 
+def record_count(spark: SparkSession, source_dir: str, table: str) -> int:
+    """Data records of a source with quoted line breaks, counted from its lines."""
+    return record_counts(spark, source_path(source_dir, table)).agg({"records": "sum"}).first()[0] or 0
+
+
 def csv_sources(spark: SparkSession, source_dir: str,
                 multiline_tables=MULTILINE_TABLES) -> dict[str, DataFrame]:
     """All nine source files, validated up front (all-or-nothing load)."""
