@@ -12,9 +12,10 @@ host's pages. Other blocks stay whole, also those that copies and near copies of
 the page repeat.
 
 A host is cut into parts of bounded size by a hash of the page, so a host with
-a third of all pages is many tasks, each with a suffix array of its own. The
-runs that a host of several parts repeats are counted over all its parts by
-their keys and joined to the parts, so the result does not depend on the cut.
+a third of all pages is many tasks, each with a suffix array of its own. Runs
+of a host of several parts are counted over all its parts by their keys, those
+that may be common at least, and joined to the parts, so the result does not
+depend on the cut.
 """
 
 from __future__ import annotations
@@ -368,50 +369,135 @@ def shared_runs(rows: DataFrame, run: int) -> DataFrame:
             .where("n_pages > 1").select("key", "group", "n_pages").dropDuplicates(["key", "group"]))
 
 
-def main_texts(pages: DataFrame, run: int = MIN_RUN, part_bytes: int = PART_BYTES) -> DataFrame:
-    """page_id, url, text, n_chars and repeated_tokens (tokens of the page in
-    runs that its host repeats) of every page.
+def _part_pages(rows: pd.DataFrame, run: int) -> tuple[Pages, np.ndarray, np.ndarray]:
+    """The distinct pages of a part: parsed, their ids, and which are rows repeated."""
+    once = rows.drop_duplicates("id")
+    return Pages(once["html"], run, once["seed"].to_numpy()), once["id"].to_numpy(), once["again"].to_numpy(bool)
+
+
+def common_here(rows: pd.DataFrame, run: int) -> np.ndarray:
+    """Keys of the runs of a part that may be common on its host.
+
+    A run is common from half of the pages on that a block of it must be on to
+    go. What is common on a host is as common on the pages of one of its parts at
+    least, so only these few runs are counted over all parts. Rows repeated may
+    lie in several parts: all their runs are candidates."""
+    pages, _, again = _part_pages(rows, run)
+    of_host = int(rows["host_pages"].max())
+    share = max(PAGES, OF_HOST[0] * of_host) / 2 / of_host
+    keys, group = np.unique(pages.keys, return_inverse=True)
+    at = pages.page[pages.starts]
+    single = ~again[at]
+    n = distinct(group[single], at[single], len(keys))
+    found = n >= max(share * (~again).sum(), 1)
+    found[group[~single]] = True
+    return keys[found].view(np.int64)
+
+
+def counts_here(rows: pd.DataFrame, keys: np.ndarray, run: int) -> pd.DataFrame:
+    """key, page (the id of a page whose rows are repeated, else null) and n
+    (distinct pages) of the runs ``keys`` in a part."""
+    pages, ids, again = _part_pages(rows, run)
+    keys = np.sort(keys)
+    place = np.searchsorted(keys, pages.keys.view(np.int64)).clip(max=max(len(keys) - 1, 0))
+    hit = keys[place] == pages.keys.view(np.int64) if len(keys) else np.zeros(len(place), bool)
+    group, at = place[hit], pages.page[pages.starts[hit]]
+    single = ~again[at]
+    n = distinct(group[single], at[single], len(keys))
+    pairs = np.unique(np.stack([group[~single], at[~single]]), axis=1) if (~single).any() else np.empty((2, 0), np.int64)
+    out = pd.DataFrame({"key": keys[n > 0], "n": n[n > 0]})
+    out["page"] = pd.array([None] * len(out), "Int64")
+    more = pd.DataFrame({"key": keys[pairs[0]], "n": np.ones(pairs.shape[1], np.int64), "page": pd.array(ids[pairs[1]], "Int64")})
+    return pd.concat([out, more])[["key", "page", "n"]] if len(more) else out[["key", "page", "n"]]
+
+
+def common_runs(dealt: DataFrame, parts: DataFrame, run: int) -> DataFrame:
+    """group, salt, key and n_pages: the exact number of pages of the host on
+    which each run is that may be common, for every part of the host.
+
+    ``dealt`` is read here as it is for the extraction, dealt to the same parts:
+    Spark exchanges the pages once for all readings."""
+    few = "seed bigint, key bigint"
+
+    def find(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["host_pages"].isna().all():  # one part has its whole host
+            return pd.DataFrame({"seed": np.empty(0, np.int64), "key": np.empty(0, np.int64)})
+        keys = common_here(rows, run)
+        return pd.DataFrame({"seed": np.full(len(keys), rows["seed"].iloc[0]), "key": keys})
+
+    def count(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(asked):
+            return pd.DataFrame({"seed": np.empty(0, np.int64), "key": np.empty(0, np.int64), "page": pd.array([], "Int64"),
+                                 "n": np.empty(0, np.int64)})
+        out = counts_here(rows, asked["key"].to_numpy(), run)
+        out.insert(0, "seed", rows["seed"].iloc[0])
+        return out
+
+    asked = dealt.groupBy("group", "salt").applyInPandas(find, few).distinct().join(parts, "seed").select("group", "salt", "key")
+    each = (dealt.groupBy("group", "salt").cogroup(asked.groupBy("group", "salt"))
+            .applyInPandas(count, f"{few}, page bigint, n bigint"))
+    pages = each.groupBy("seed", "key", "page").agg(F.when(F.col("page").isNull(), F.sum("n")).otherwise(1).alias("n"))
+    total = pages.groupBy("seed", "key").agg(F.sum("n").alias("n_pages")).where("n_pages > 1")
+    return total.join(parts, "seed").select("group", "salt", "key", "n_pages")
+
+
+def main_texts(pages: DataFrame, run: int = MIN_RUN, part_bytes: int = PART_BYTES, coverage: bool = True) -> DataFrame:
+    """page_id, url, text, n_chars and, with ``coverage``, repeated_tokens
+    (tokens of the page in runs that its host repeats) of every page.
+
+    The text needs the counts of common runs only, and they are few; the
+    coverage needs those of all runs, a row for each token of the large hosts.
 
     Null or empty html: empty text. Null or odd URLs form one host. Broken and
     unclosed markup is read as a browser would, nothing fails. Rows repeated
     with one page_id, url and html are extracted each, and are one page to the
-    counts. A part holds about ``part_bytes`` of a host's html, or one longer
-    page; the result does not depend on it. An empty table gives no rows. Other
-    columns are not read.
+    counts. Very long pages are read whole. A part holds about ``part_bytes`` of
+    a host's html, or one longer page; the result does not depend on it. An
+    empty table gives no rows. Other columns are not read.
     """
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
     rows = rows.withColumns({"seed": F.xxhash64("host"), "id": F.xxhash64("page_id", "url", "html")})
     # hosts of several parts, at most one row for each part_bytes of html
-    sizes = stored(rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"), F.count_distinct("id").alias("host_pages"))
+    sizes = stored(rows.groupBy("host", "seed").agg(F.sum(F.octet_length("html")).alias("bytes"), F.count_distinct("id").alias("host_pages"))
                    .where(F.col("bytes") > part_bytes)
-                   .select(F.col("host").alias("__host"), F.ceil(F.col("bytes") / part_bytes).alias("parts"), "host_pages"), "hosts")
+                   .select(F.col("host").alias("__host"), F.col("seed").alias("__seed"), F.ceil(F.col("bytes") / part_bytes).alias("parts"),
+                           "host_pages"), "hosts")
     group = F.xxhash64("host", F.pmod("id", F.coalesce("parts", F.lit(1))))
-    dealt = rows.join(F.broadcast(sizes), F.col("host") == F.col("__host"), "left").withColumn("group", group)
+    placed = rows.join(sizes.drop("__seed"), F.col("host") == F.col("__host"), "left").withColumn("group", group)
     # parts that repeated rows make too large, at most one row for each part_bytes of html
-    heavy = stored(dealt.where("parts IS NOT NULL").groupBy("group").agg(F.sum(F.octet_length("html")).alias("bytes"))
+    heavy = stored(placed.where("parts IS NOT NULL").groupBy("group").agg(F.sum(F.octet_length("html")).alias("bytes"))
                    .where(F.col("bytes") > 4 * part_bytes)
                    .select(F.col("group").alias("__group"), F.ceil(F.col("bytes") / part_bytes).alias("salts")), "heavy")
+    repeats = stored(rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("__id")), "repeated-pages")
 
     def salted(df: DataFrame, salt) -> DataFrame:
-        return df.join(F.broadcast(heavy), F.col("group") == F.col("__group"), "left").withColumn("salt", salt)
+        return df.join(heavy, F.col("group") == F.col("__group"), "left").withColumn("salt", salt)
 
     salts = F.coalesce("salts", F.lit(1))
-    shared = salted(shared_runs(dealt.where("parts IS NOT NULL"), run), F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    every_salt = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
     # any deal of a part's rows will do, each salt gets all its shared runs
-    dealt = salted(dealt, F.pmod(F.monotonically_increasing_id(), salts))
+    dealt = (salted(placed.join(repeats, F.col("id") == F.col("__id"), "left"), F.pmod(F.monotonically_increasing_id(), salts))
+             .select("group", "salt", "page_id", "url", "html", "seed", "id", "host_pages", F.col("__id").isNotNull().alias("again")))
+    if coverage:
+        shared = salted(shared_runs(placed.where("parts IS NOT NULL"), run), every_salt).select("group", "salt", "key", "n_pages")
+    else:
+        numbers = sizes.select(F.col("__host").alias("host"), F.col("__seed").alias("seed"),
+                               F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+        parts = salted(numbers.select("seed", F.xxhash64("host", "part").alias("group")), every_salt).select("seed", "group", "salt")
+        shared = common_runs(dealt, stored(parts, "parts"), run)
+    kind = "page_id bigint, url string, text string, n_chars bigint" + ", repeated_tokens bigint" * coverage
+    names = ["page_id", "url", "text", "n_chars", "repeated_tokens"][:4 + coverage]
 
     def extract(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):  # no row was dealt this salt
             return pd.DataFrame({name: np.empty(0, kind) for name, kind in (
-                ("page_id", np.int64), ("url", object), ("text", object), ("n_chars", np.int64), ("repeated_tokens", np.int64))})
-        return extract_part(rows.fillna({"host_pages": 0}), run, shared)
+                ("page_id", np.int64), ("url", object), ("text", object), ("n_chars", np.int64), ("repeated_tokens", np.int64))})[names]
+        return extract_part(rows.fillna({"host_pages": 0}), run, shared)[names]
 
-    return (dealt.select("group", "salt", "page_id", "url", "html", "seed", "id", "host_pages").groupBy("group", "salt")
-            .cogroup(shared.select("group", "salt", "key", "n_pages").groupBy("group", "salt"))
-            .applyInPandas(extract, "page_id bigint, url string, text string, n_chars bigint, repeated_tokens bigint"))
+    return (dealt.groupBy("group", "salt").cogroup(shared.groupBy("group", "salt")).applyInPandas(extract, kind))
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
-    return main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"), coverage=False)

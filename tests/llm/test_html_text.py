@@ -171,3 +171,26 @@ def test_driver_pages_have_their_article(spark):
         inner = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.DOTALL)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<br>|</?b>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n\n".join(b for b in blocks if b)
+
+
+def test_common_runs_decide_as_all_counts_do(spark):
+    """A notice on every page of a hot host, rarer lines, near copies, repeated rows: the texts of all cuts and of both ways to count."""
+    htmls = [f"<p>{own_text(i)}</p><div>{own_text(1000 + i // 2, 8)}</div><div>{NOTICE}</div>" + f"<div>{own_text(77, 9)}</div>" * (i % 5 == 0)
+             + f"<div>{own_text(78, 9)}</div>" * (i % 20 == 0) for i in range(80)]
+    htmls += [f"<p>No {i}</p><p>{own_text(2000)}</p><div>{NOTICE}</div>" for i in range(10)]
+    rows = [(i, "https://h.example.com/x", x) for i, x in enumerate(htmls)] + [(0, "https://h.example.com/x", htmls[0])] * 60
+    rows += [(500 + i, f"https://o{i % 3}.example.com/", x) for i, x in enumerate(htmls[:30])] + [(None, None, None), (9, None, "")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+
+    def texts(**options):
+        return sorted(str((r.page_id, r.url, r.text, r.n_chars)) for r in ht.main_texts(pages, **options).collect())
+
+    whole = texts(coverage=True)
+    assert whole == texts(coverage=False) == texts(coverage=False, part_bytes=600) == texts(coverage=False, part_bytes=4000)
+    assert not any(NOTICE in x for x in whole) and len(whole) == len(rows)
+
+
+def test_pages_are_exchanged_once(spark):
+    out = ht.main_texts(spark.createDataFrame(page_rows(60), "page_id bigint, url string, html string").repartition(3), part_bytes=2000, coverage=False)
+    out.collect()
+    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
