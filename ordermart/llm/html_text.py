@@ -26,7 +26,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +38,8 @@ MIN_RUN, PART_BYTES = 6, 1 << 20
 WHOLE, PAGES, OF_HOST, OWN = 0.9, 4, (0.1, 0.5), 0.25
 #: base of the rolling hash and the multipliers of its finishing mix (odd 64-bit constants)
 BASE, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+#: a random number for each byte value
+BYTES = np.random.default_rng(64).integers(0, 1 << 64, 256, np.uint64)
 
 # HTML element names and the class words of page furniture.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "object", "canvas"}
@@ -63,6 +65,7 @@ MARKUP = re.compile(r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^
                     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z][^>]*+(?:>|\Z)""", re.DOTALL)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 WORDS = re.compile(r"[a-z]+|[0-9]+")
+ROLE_MAIN = re.compile(r"""role\s*=\s*["']?main\b""", re.IGNORECASE)
 
 
 def _class_words(attributes: str) -> set[str]:
@@ -185,7 +188,7 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
                         break
                     if stack[k][0] not in INLINE:
                         break
-            main = tag in MAIN or bool(re.search(r"""role\s*=\s*["']?main\b""", attributes, re.IGNORECASE))
+            main = tag in MAIN or bool(attributes and ROLE_MAIN.search(attributes))
             inside = state[1] or main
             hard, soft = _drops(tag, attributes, inside)
             dropped, softs = state[0] or hard, state[2]
@@ -278,25 +281,42 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(33)
 
 
+def token_hashes(tokens: pa.Array) -> np.ndarray:
+    """64-bit hash of each string: a number per byte value, times a power for its place."""
+    ends = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:tokens.offset + len(tokens) + 1].astype(np.int64)
+    if not len(tokens) or ends[-1] == ends[0]:
+        return np.zeros(len(tokens), np.uint64)
+    data, sizes = np.frombuffer(tokens.buffers()[2], np.uint8)[ends[0]:ends[-1]], np.diff(ends)
+    powers = np.cumprod(np.full(int(sizes.max()), BASE, np.uint64))
+    terms = BYTES[data] * powers[np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], sizes)]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])[ends - ends[0]]
+    return _mixed(sums[1:] - sums[:-1])
+
+
 class Pages:
     """Parsed pages: their blocks, which of these may be text, the token
     stream, and the 64-bit key of the run that begins at each token."""
 
     def __init__(self, htmls, run: int, hosts: np.ndarray):
-        self.blocks, self.words, self.explicit = [], [], []
-        index: dict[str, int] = {}
+        self.blocks, self.explicit = [], []
+        texts: list[str] = []
         for x in htmls:
             blocks = blocks_of(x) if isinstance(x, str) else []
             explicit = any(inside and not dropped for _, dropped, inside in blocks)
             self.explicit.append(explicit)
             self.blocks.append([(text, not dropped and inside >= explicit) for text, dropped, inside in blocks])
-            self.words.append([b[0].split(" ") for b in blocks])
-        self.tokens = np.array([index.setdefault(w, len(index)) for blocks in self.words for b in blocks for w in b], np.int64)
-        self.page = np.repeat(np.arange(len(self.blocks)), [sum(map(len, blocks)) for blocks in self.words])
+            texts += [b[0] for b in blocks]
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        self.tokens = np.asarray(coded.indices).astype(np.int64)
+        #: tokens of each block, of all pages in a sequence
+        self.sizes = np.asarray(pc.list_value_length(lists)).astype(np.int64)
+        of_page = np.repeat(np.arange(len(self.blocks)), [len(b) for b in self.blocks])
+        self.page = np.repeat(of_page, self.sizes)
         n = len(self.tokens)
         #: starts of whole runs, and their keys
         self.starts = np.flatnonzero(np.arange(n) + run <= np.searchsorted(self.page, self.page, "right"))
-        known = np.array([xxhash.xxh64_intdigest(w) for w in index], np.uint64)
+        known = token_hashes(coded.dictionary)
         keys = hosts.astype(np.int64).view(np.uint64)[self.page[self.starts]]
         for k in range(run):
             keys = keys * BASE + known[self.tokens[self.starts + k]]
@@ -321,13 +341,13 @@ def extract_part(rows: pd.DataFrame, run: int = MIN_RUN, shared: pd.DataFrame |
         n_pages[pages.starts[hit]] = shared["n_pages"].to_numpy()[place[hit]]
     of_host = (rows["host_pages"].max() if "host_pages" in rows else 0) or len(np.unique(ids))
     level = levels(n_pages, run)
-    texts, removed, at = [], [], 0
-    for blocks, words, explicit in zip(pages.blocks, pages.words, pages.explicit, strict=True):
+    texts, removed, at, sizes = [], [], 0, iter(pages.sizes.tolist())
+    for blocks, explicit in zip(pages.blocks, pages.explicit, strict=True):
         kept, begin = [], at
-        for (text, keep), block in zip(blocks, words, strict=True):
+        for (text, keep), size in zip(blocks, sizes):
             if keep:
-                kept.append((text, np.sort(level[at:at + len(block)])))
-            at += len(block)
+                kept.append((text, np.sort(level[at:at + size])))
+            at += size
         own, least = [], max(PAGES, OF_HOST[explicit] * of_host)
         rest = np.sort(np.concatenate([x for _, x in kept])) if kept else level[:0]
         for text, of_block in kept:

@@ -194,3 +194,13 @@ def test_pages_are_exchanged_once(spark):
     out = ht.main_texts(spark.createDataFrame(page_rows(60), "page_id bigint, url string, html string").repartition(3), part_bytes=2000, coverage=False)
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_token_hashes_follow_the_string():
+    import pyarrow as pa
+
+    words = [f"w{i}" for i in range(5000)] + ["", "é", "日本", "ab", "ba", "a" * 3000, "a" * 2999]
+    h = ht.token_hashes(pa.array(words))
+    assert len(set(h.tolist())) == len(words)
+    assert (ht.token_hashes(pa.array(["x", *words[::-1]]).slice(1)) == h[::-1]).all()
+    assert ht.token_hashes(pa.array([], pa.string())).tolist() == []
