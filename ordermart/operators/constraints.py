@@ -6,17 +6,19 @@ violating rows, and the pipeline refuses to publish when any is non-zero. The
 counts are measures of a ``Ledger``, shared with the quality checks of the same
 gate: NOT NULL and CHECK counts join the table's one aggregate (a CHECK passes
 on NULL, as in SQL), primary and foreign keys join the one shuffle of their key
-domain.
+domain. Which keys are at fault is asked only of constraints found broken
+(``constraint_evidence``), so a gate that passes pays nothing for it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Collection, Iterable, Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordermart.operators.ledger import Ledger, Measure
+from ordermart.operators.ledger import Ledger, Measure, key_text
 from ordermart.operators.quality import layered
 from ordermart.schemas import ORDER_STATUSES, STATE_PATTERN, TABLE_KEYS, ZIP_PATTERN
 
@@ -53,22 +55,74 @@ def _domain(table: str, key: tuple[str, ...]) -> str:
     return prefix + (key[0] if len(key) == 1 else f"{table} key")
 
 
+def row_rules(table: str) -> list[tuple[str, Column]]:
+    """(constraint, violated) of the constraints a row breaks on its own."""
+    out = [(f"NOT NULL ({c})", F.col(c).isNull()) for c in TABLE_KEYS[table][1]]
+    return out + [(f"CHECK ({n})", ~F.coalesce(p, F.lit(True))) for n, p in checks_of(table)]
+
+
+def key_rules(table: str) -> list[tuple[str, str, Callable[[Ledger], Measure]]]:
+    """(constraint, key domain, registration with a ledger) of the primary key
+    and the foreign keys; a NULL foreign key satisfies the constraint."""
+    key, _, foreign = TABLE_KEYS[table]
+    own = _domain(table, key)
+    out = [(f"PRIMARY KEY ({', '.join(key)})", own, lambda ledger: ledger.surplus(own, table, *key))]
+    for c, parent, pc in foreign:
+        out.append((f"FOREIGN KEY ({c}) -> {parent}", _domain(table, (c,)),
+                    lambda ledger, c=c, parent=parent, pc=pc: ledger.orphans(_domain(table, (c,)), table, c, parent, pc, nulls=False)))
+    return out
+
+
 def measures(ledger: Ledger, layers: Iterable[str]) -> list[tuple[str, str, Measure]]:
     """(table, constraint, violations) of every declared constraint of the
     layers."""
     out = []
-    for table, (key, not_null, foreign) in TABLE_KEYS.items():
+    for table in TABLE_KEYS:
         if table.split(".")[0] not in layers:
             continue
-        out.append((table, f"PRIMARY KEY ({', '.join(key)})", ledger.surplus(_domain(table, key), table, *key)))
-        out += [(table, f"NOT NULL ({c})", ledger.where(table, F.col(c).isNull())) for c in not_null]
-        out += [(table, f"CHECK ({n})", ledger.where(table, ~F.coalesce(p, F.lit(True)))) for n, p in checks_of(table)]
-        # a NULL foreign key satisfies the constraint
-        out += [(table, f"FOREIGN KEY ({c}) -> {parent}",
-                 ledger.orphans(_domain(table, (c,)), table, c, parent, pc, nulls=False)) for c, parent, pc in foreign]
+        (primary, _, surplus), *foreign = key_rules(table)
+        out.append((table, primary, surplus(ledger)))
+        out += [(table, n, ledger.where(table, violated)) for n, violated in row_rules(table)]
+        out += [(table, n, orphans(ledger)) for n, _, orphans in foreign]
     return out
 
 
+def violating_keys(tables: Mapping[str, DataFrame], layers: Iterable[str],
+                   only: Collection[tuple[str, str]] | None = None) -> DataFrame:
+    """(table_name, constraint_name, key, violations): every key at fault and
+    its rows. One pass over a table for all its row rules, one shuffle per key
+    domain; ``only`` names the (table, constraint) that are looked into.
+
+    The key is the row's primary key, or the value no parent row has."""
+    ledger, labels, parts = Ledger(tables), {}, []
+    for table in TABLE_KEYS:
+        if table.split(".")[0] not in layers:
+            continue
+        rules = [(n, violated) for n, violated in row_rules(table) if only is None or (table, n) in only]
+        if rules:
+            broken = F.filter(F.array(*[F.when(violated, F.lit(n)) for n, violated in rules]), lambda n: n.isNotNull())
+            parts.append(tables[table].select(key_text(*TABLE_KEYS[table][0]).alias("key"), F.explode(broken).alias("constraint_name"))
+                         .select(F.lit(table).alias("table_name"), "constraint_name", "key", F.lit(1).cast("bigint").alias("violations")))
+        for n, domain, register in key_rules(table):
+            if only is None or (table, n) in only:
+                register(ledger)
+                labels.setdefault(domain, []).append((table, n))
+    parts += [ledger.violating_keys(domain, own) for domain, own in labels.items()]
+    return reduce(DataFrame.union, parts).groupBy("table_name", "constraint_name", "key").agg(F.sum("violations").alias("violations"))
+
+
+def constraint_evidence(tables: Mapping[str, DataFrame], layers: Iterable[str],
+                        only: Collection[tuple[str, str]] | None = None, least: int = 3) -> DataFrame:
+    """The ``least`` smallest keys that break each constraint: (table_name,
+    constraint_name, key_rank, key, violations); none for one that holds.
+
+    Keys are counted map side, and Spark limits the ranking inside the tasks, so
+    a constraint that a third of all rows break sends ``least`` rows a task."""
+    by_key = Window.partitionBy("table_name", "constraint_name").orderBy("key")
+    return (violating_keys(tables, layers, only).withColumn("key_rank", F.row_number().over(by_key))
+            .where(F.col("key_rank") <= least).select("table_name", "constraint_name", "key_rank", "key", "violations"))
+
+
 def constraint_violations(spark: SparkSession, **layers) -> DataFrame:
     """(table_name, constraint_name, violations), one row per constraint."""
     ledger = Ledger(layered(**layers))

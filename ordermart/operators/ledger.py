@@ -24,6 +24,11 @@ from pyspark.sql import functions as F
 Measure = Callable[[], Column]
 
 
+def key_text(*columns: str) -> Column:
+    """A key as text: its parts with a comma between them, NULL as such."""
+    return F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
+
+
 class Ledger:
     def __init__(self, tables: Mapping[str, DataFrame]):
         self.tables = tables
@@ -89,7 +94,9 @@ class Ledger:
         counts = [F.count_if(F.col("t") == i).alias(f"m{i}") for i in range(len(tagged))]
         return reduce(DataFrame.union, tagged).agg(F.struct(*counts)).scalar()
 
-    def _domain(self, domain: str) -> Column:
+    def _counts(self, domain: str) -> tuple[DataFrame, list[str], dict[str, int]]:
+        """A row per key of the domain (columns k0, k1, ...) with the rows each
+        carrier has of it (n0, n1, ... in the order of the carriers)."""
         carriers = self.carriers[domain]
         at = {t: i for i, t in enumerate(carriers)}
         width = len(next(iter(carriers.values())))
@@ -98,6 +105,20 @@ class Ledger:
                   for t, columns in carriers.items()]
         each = reduce(DataFrame.union, tagged).groupBy(*keys).agg(
             *[F.count_if(F.col("t") == i).alias(f"n{i}") for i in at.values()])
+        return each, keys, at
+
+    @staticmethod
+    def _violating(fact: tuple, keys: list[str], at: Mapping[str, int]) -> Column:
+        """Rows of one key that a surplus or orphans fact counts."""
+        kind, n = fact[0], F.col(f"n{at[fact[1]]}")
+        whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+        if kind == "surplus":
+            return F.when(~whole, n).otherwise(F.greatest(n - 1, F.lit(0)))
+        lost = F.col(f"n{at[fact[2]]}") == 0
+        return F.when(~whole | lost if kind == "orphans" else whole & lost, n).otherwise(0)
+
+    def _domain(self, domain: str) -> Column:
+        each, keys, at = self._counts(domain)
         whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
         def total(fact: tuple) -> Column:
@@ -106,17 +127,22 @@ class Ledger:
                 return F.count_if(n > 1)
             if kind == "distinct":
                 return F.count_if(whole & (n > 0))
-            if kind == "surplus":
-                return F.sum(F.when(~whole, n).otherwise(F.greatest(n - 1, F.lit(0))))
-            parent = F.col(f"n{at[fact[2]]}")
-            if kind == "orphans":
-                return F.sum(F.when(~whole | (parent == 0), n).otherwise(0))
-            return F.sum(F.when(whole & (parent == 0), n).otherwise(0))
+            return F.sum(self._violating(fact, keys, at))
 
         # an empty union has no keys: the sums over nothing are zero
         facts = [F.coalesce(total(f), F.lit(0)).alias(f"m{i}") for i, f in enumerate(self.facts[domain])]
         return each.agg(F.struct(*facts)).scalar()
 
+    def violating_keys(self, domain: str, labels: list[tuple[str, str]]) -> DataFrame:
+        """(table_name, constraint_name, key, violations): the keys that the
+        domain's facts, all of them surplus or orphans, find at fault. ``labels``
+        name the facts, in the order they were registered."""
+        each, keys, at = self._counts(domain)
+        found = [F.struct(F.lit(t).alias("table_name"), F.lit(n).alias("constraint_name"), key_text(*keys).alias("key"),
+                          self._violating(fact, keys, at).cast("bigint").alias("violations"))
+                 for (t, n), fact in zip(labels, self.facts[domain], strict=True)]
+        return each.select(F.inline(F.filter(F.array(*found), lambda f: f["violations"] > 0)))
+
     def frame(self, spark: SparkSession) -> DataFrame:
         """One row, a struct column per pass; measures are columns of it."""
         columns = [self.tables[t].agg(F.struct(*[v.alias(f"m{i}") for i, v in enumerate(values)])).scalar().alias(f"plain:{t}")

@@ -137,6 +137,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_orphans_dirty": _with(lambda ly: quality.raw_orphans(ly.raw), dirty),
     "constraint_violations_dirty": _with(lambda ly: constraints.constraint_violations(
         ly.spark, staging=ly.staging, analytics=ly.analytics), dirty),
+    "constraint_evidence_dirty": _with(lambda ly: constraints.constraint_evidence(
+        quality.layered(staging=ly.staging, analytics=ly.analytics), ("staging", "analytics")), dirty),
     "staging_quality_dirty": _with(lambda ly: ly.staging_quality(), dirty),
     # staging
     "stg_customers": _stg("customers"),

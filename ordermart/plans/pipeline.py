@@ -44,10 +44,13 @@ BLOOM_KEYS = {
 
 
 class PipelineFailure(RuntimeError):
-    def __init__(self, stage: str, details: list):
-        super().__init__(f"{stage} failed: {details}")
+    def __init__(self, stage: str, details: list, evidence: list | None = None):
+        """``evidence``: rows of ``constraints.constraint_evidence``."""
+        at = "".join(f"\n  {e['table_name']} {e['constraint_name']}: key ({e['key']}), {e['violations']} rows" for e in evidence or [])
+        super().__init__(f"{stage} failed: {details}{at}")
         self.stage = stage
         self.details = details
+        self.evidence = evidence or []
 
 
 @dataclass
@@ -138,10 +141,14 @@ def run_gate(spark: SparkSession, ledger: Ledger, checks: list, items: list, cou
     return sorted(chk, key=lambda d: d["check_order"]), viol
 
 
-def _gate(stage: str, checks: list, violations: list) -> None:
+def _gate(stage: str, checks: list, violations: list, ledger: Ledger | None = None) -> None:
+    """Raises on a failed check or constraint; a broken constraint names the
+    smallest keys at fault, looked up in the tables of the gate's ledger."""
     bad = [(r["table_name"], r["constraint_name"], r["violations"]) for r in violations if r["status"] == quality.FAIL]
     if bad:
-        raise PipelineFailure(f"{stage} constraints", bad)
+        found = [] if ledger is None else constraints.constraint_evidence(
+            ledger.tables, [stage], {(t, c) for t, c, _ in bad}).orderBy("table_name", "constraint_name", "key_rank").collect()
+        raise PipelineFailure(f"{stage} constraints", bad, [r.asDict() for r in found])
     failed = [(r["name"], r["actual"]) for r in checks if r["status"] == quality.FAIL]
     if failed:
         raise PipelineFailure(f"{stage} checks", failed)
@@ -194,7 +201,7 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
     res.staging_checks, res.violations = run_gate(
         spark, ledger, quality.staging_checks(ledger), constraints.measures(ledger, ["staging"]))
     lap("staging_gate")
-    _gate("staging", res.staging_checks, res.violations)
+    _gate("staging", res.staging_checks, res.violations, ledger)
 
     # 3. analytics and its gate
     an = _write_layer(dict(marts.build_analytics(stg, run_ts)), f"{base}/analytics")
@@ -205,7 +212,7 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
         spark, ledger, quality.analytics_checks(ledger), constraints.measures(ledger, ["analytics"]), Decimal)
     res.violations += violations
     lap("analytics_gate")
-    _gate("analytics", res.analytics_checks, violations)
+    _gate("analytics", res.analytics_checks, violations, ledger)
 
     # 4. files first, then one committed append makes the run visible
     if export:

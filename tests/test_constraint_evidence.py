@@ -1,0 +1,55 @@
+"""Keys at fault, as the ledger and the row rules name them."""
+
+from pyspark.sql import functions as F
+
+from ordermart.operators.constraints import constraint_evidence
+from ordermart.schemas import TABLE_KEYS
+
+COLUMNS = {"staging.orders": ("order_id", *TABLE_KEYS["staging.orders"][1]),
+           "staging.customers": ("customer_id", *TABLE_KEYS["staging.customers"][1])}
+
+
+def _tables(spark, orders, customers):
+    def frame(table, rows):
+        df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in rows_columns[table]))
+        return df.select(*[F.col(c) if c in df.columns else F.lit("01234" if "zip" in c else "SP" if "state" in c else "x").alias(c)
+                           for c in COLUMNS[table]])
+
+    rows_columns = {"staging.orders": ("order_id", "customer_id", "order_status"), "staging.customers": ("customer_id",)}
+    return {"staging.orders": frame("staging.orders", orders), "staging.customers": frame("staging.customers", customers)}
+
+
+ORDERS = {("staging.orders", n) for n in ("PRIMARY KEY (order_id)", "NOT NULL (customer_id)", "CHECK (order_status accepted)",
+                                          "FOREIGN KEY (customer_id) -> staging.customers")}
+
+
+def _found(tables, **options):
+    rows = constraint_evidence(tables, ["staging"], ORDERS, **options).collect()
+    return {(r.constraint_name.split(" (")[0], r.key_rank): (r.key, r.violations) for r in rows}
+
+
+def test_smallest_keys_of_each_broken_constraint(spark):
+    orders = [("o1", "c1", "shipped"), ("o1", "c1", "shipped"), ("o1", "c1", "lost"), (None, "c1", "shipped"), ("o3", None, None),
+              ("o4", "c9", "lost"), ("o5", "c9", "shipped"), ("o6", "c8", "shipped")]
+    tables = _tables(spark, orders, [("c1",), (None,)])
+    assert _found(tables) == {
+        ("PRIMARY KEY", 1): ("NULL", 1), ("PRIMARY KEY", 2): ("o1", 2),
+        ("NOT NULL", 1): ("o3", 1),                     # a NULL status passes its check
+        ("CHECK", 1): ("o1", 1), ("CHECK", 2): ("o4", 1),
+        ("FOREIGN KEY", 1): ("c8", 1), ("FOREIGN KEY", 2): ("c9", 2)}
+    assert _found(tables, least=1).keys() == {(c, 1) for c in ("PRIMARY KEY", "NOT NULL", "CHECK", "FOREIGN KEY")}
+
+
+def test_sound_and_empty_tables_have_no_evidence(spark):
+    assert _found(_tables(spark, [("o1", "c1", "shipped")], [("c1",)])) == {}
+    assert _found(_tables(spark, [], [])) == {}
+
+
+def test_a_key_with_most_rows_is_limited_in_the_tasks(spark):
+    orders = [(f"o{i:04}", "gone", "lost") for i in range(900)] + [("o0000", "c1", "shipped")] * 300
+    tables = _tables(spark, orders, [("c1",)])
+    found = _found(tables)
+    assert found["FOREIGN KEY", 1] == ("gone", 900) and found["PRIMARY KEY", 1] == ("o0000", 300)
+    assert [found["CHECK", k][0] for k in (1, 2, 3)] == ["o0000", "o0001", "o0002"]
+    plan = constraint_evidence(tables, ["staging"], ORDERS)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

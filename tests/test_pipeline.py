@@ -87,6 +87,9 @@ def test_failed_gate_keeps_previous_publication(spark, tmp_dir):
         pipeline.run_pipeline(spark, out, source_dir=src, export=False, run_id="bad")
     assert failure.value.stage == "staging constraints"
     assert failure.value.details == [("staging.order_reviews", "FOREIGN KEY (order_id) -> staging.orders", 1)]
+    assert failure.value.evidence == [dict(table_name="staging.order_reviews", constraint_name="FOREIGN KEY (order_id) -> staging.orders",
+                                           key_rank=1, key="o404", violations=1)]
+    assert "key (o404)" in str(failure.value)
     # the gate stopped the run before anything was built on the bad data
     assert sorted(os.listdir(os.path.join(out, "_runs", "bad"))) == ["raw", "staging"]
     assert pipeline.published_run(spark, out) == first.run_id
