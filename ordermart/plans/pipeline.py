@@ -7,7 +7,8 @@ written layer, never from the sources) and lets every check scan compact
 Parquet instead of recomputing the models. A run becomes visible only when all
 gates pass: one row is then appended to ``<out>/_published`` (an append is
 committed atomically per file), and readers resolve the newest published run.
-A failed run leaves the previously published run untouched.
+A failed run leaves the previously published run untouched; with ``resume`` a
+rerun under its run_id takes over the stages that were done (``stages.py``).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from ordermart.config import ensure_session_conf
 from ordermart.operators import constraints, marts, quality, reports, staging
 from ordermart.operators.ledger import Ledger
+from ordermart.plans.stages import Stages, fingerprint
 from ordermart.sources import csv_ingest, fixtures
 from ordermart.sources.export import export_all
 from ordermart.sources.raw import raw_from_sources, run_timestamp
@@ -61,6 +63,7 @@ class PipelineResult:
     analytics_checks: list = field(default_factory=list)
     violations: list = field(default_factory=list)
     exports: dict = field(default_factory=dict)
+    reused: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
 
 
@@ -78,13 +81,17 @@ def written(df: DataFrame, path: str, sort_by: tuple[str, ...] = (), bloom: tupl
     return stored, obs.get["rows"], stored.count()  # the last from the footers
 
 
-def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] = (), bloom: tuple[str, ...] = ()) -> DataFrame:
-    """Write a layer table and return it re-read from storage; every row the
-    writer saw must be there."""
+def write_counted(df: DataFrame, path: str, sort_by: tuple[str, ...] = (), bloom: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """Write a layer table; returns it re-read from storage and its rows: every
+    row the writer saw must be there."""
     stored, seen, found = written(df, path, sort_by, bloom)
     if seen != found:
         raise PipelineFailure("load", [f"row-count mismatch for {path}: source={seen} stored={found}"])
-    return stored
+    return stored, found
+
+
+def write_table(df: DataFrame, path: str, sort_by: tuple[str, ...] = (), bloom: tuple[str, ...] = ()) -> DataFrame:
+    return write_counted(df, path, sort_by, bloom)[0]
 
 
 def reconciliation(spark: SparkSession, counts: list[tuple[str, int, int]]) -> DataFrame:
@@ -108,9 +115,9 @@ def concurrently(tasks: dict, max_workers: int = 8) -> dict:
         return {k: f.result() for k, f in futures.items()}
 
 
-def _write_layer(tables, base: str) -> dict[str, DataFrame]:
+def _write_layer(tables, base: str) -> dict[str, tuple[DataFrame, int]]:
     return concurrently({
-        t: (lambda t=t, df=df: write_table(df, f"{base}/{t}", SORT_KEYS.get(t, ()), BLOOM_KEYS.get(t, ())))
+        t: (lambda t=t, df=df: write_counted(df, f"{base}/{t}", SORT_KEYS.get(t, ()), BLOOM_KEYS.get(t, ())))
         for t, df in tables.items()
     })
 
@@ -156,18 +163,25 @@ def _gate(stage: str, checks: list, violations: list, ledger: Ledger | None = No
 
 def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None = None,
                  sf_dir: str | None = None, run_id: str | None = None,
-                 export: bool = True, database: str | None = None) -> PipelineResult:
+                 export: bool = True, database: str | None = None, resume: bool = False) -> PipelineResult:
     """Run every stage; raise ``PipelineFailure`` on a failed gate, before the
     next stage starts.
 
     Input is either a folder of the nine CSV files (``source_dir``) or the
     driver tables bound to them (``sf_dir``). With ``database`` the published
-    tables and views can also be read by name there."""
+    tables and views can also be read by name there. With ``resume`` the stages
+    that a stopped run of this ``run_id`` had done over the same input files are
+    taken over (``PipelineResult.reused``)."""
     import time
 
+    if source_dir is None and sf_dir is None:
+        raise ValueError("source_dir or sf_dir is required")
+    if resume and run_id is None:
+        raise ValueError("resume needs the run_id of the run that stopped")
+
     ensure_session_conf(spark)
     run_ts = run_timestamp()
-    run_id = run_id or f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    known, run_id = run_id is not None, run_id or f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     out_dir = out_dir.rstrip("/")
     base = f"{out_dir}/_runs/{run_id}"
     res = PipelineResult(run_id, base)
@@ -179,40 +193,53 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
         res.timings[name] = round(now - clock, 3)
         clock = now
 
+    stages = Stages(spark, f"{out_dir}/_stages/{run_id}", fingerprint(spark, source_dir or sf_dir), known, resume)
+    res.reused = stages.reused
+
     # 1. load (validate every file before writing any table)
-    if source_dir is not None:
-        raw_frames = csv_ingest.ingest(spark, source_dir, run_ts)
-    elif sf_dir is not None:
-        raw_frames = raw_from_sources(fixtures.source_frames(spark, sf_dir), run_ts)
-    else:
-        raise ValueError("source_dir or sf_dir is required")
-    raw = _write_layer({t: raw_frames[t] for t in raw_frames}, f"{base}/raw")
-    if source_dir is not None:  # records counted before any cell was parsed
-        for t in sorted(csv_ingest.MULTILINE_TABLES):
-            counted, loaded = csv_ingest.record_count(spark, source_dir, t), raw[t].count()
-            if counted != loaded:
-                raise PipelineFailure("load", [f"{t}: {counted} records in the source, {loaded} rows loaded"])
+    def load():
+        frames = (csv_ingest.ingest(spark, source_dir, run_ts) if source_dir is not None
+                  else raw_from_sources(fixtures.source_frames(spark, sf_dir), run_ts))
+        stored = _write_layer({t: frames[t] for t in frames}, f"{base}/raw")
+        if source_dir is not None:  # records counted before any cell was parsed
+            for t in sorted(csv_ingest.MULTILINE_TABLES):
+                counted, loaded = csv_ingest.record_count(spark, source_dir, t), stored[t][1]
+                if counted != loaded:
+                    raise PipelineFailure("load", [f"{t}: {counted} records in the source, {loaded} rows loaded"])
+        return stored
+
+    raw = stages.layer("load", f"{base}/raw", load)
     lap("load")
 
     # 2. staging and its gate
-    stg = _write_layer(dict(staging.build_staging(raw, run_ts)), f"{base}/staging")
+    stg = stages.layer("staging", f"{base}/staging", lambda: _write_layer(dict(staging.build_staging(raw, run_ts)), f"{base}/staging"))
     lap("staging")
-    ledger = Ledger(quality.layered(raw=raw, staging=stg))
-    res.staging_checks, res.violations = run_gate(
-        spark, ledger, quality.staging_checks(ledger), constraints.measures(ledger, ["staging"]))
-    lap("staging_gate")
-    _gate("staging", res.staging_checks, res.violations, ledger)
+
+    def staging_gate():
+        ledger = Ledger(quality.layered(raw=raw, staging=stg))
+        found = run_gate(spark, ledger, quality.staging_checks(ledger), constraints.measures(ledger, ["staging"]))
+        res.staging_checks, res.violations = found
+        lap("staging_gate")
+        _gate("staging", *found, ledger)
+        return found
+
+    res.staging_checks, res.violations = stages.gate("staging gate", staging_gate, int)
 
     # 3. analytics and its gate
-    an = _write_layer(dict(marts.build_analytics(stg, run_ts)), f"{base}/analytics")
-    views = _write_layer(dict(reports.build_reports(an)), f"{base}/views")
+    an = stages.layer("analytics", f"{base}/analytics", lambda: _write_layer(dict(marts.build_analytics(stg, run_ts)), f"{base}/analytics"))
+    views = stages.layer("views", f"{base}/views", lambda: _write_layer(dict(reports.build_reports(an)), f"{base}/views"))
     lap("analytics")
-    ledger = Ledger(quality.layered(staging=stg, analytics=an, views=views))
-    res.analytics_checks, violations = run_gate(
-        spark, ledger, quality.analytics_checks(ledger), constraints.measures(ledger, ["analytics"]), Decimal)
-    res.violations += violations
-    lap("analytics_gate")
-    _gate("analytics", res.analytics_checks, violations, ledger)
+
+    def analytics_gate():
+        ledger = Ledger(quality.layered(staging=stg, analytics=an, views=views))
+        found = run_gate(spark, ledger, quality.analytics_checks(ledger), constraints.measures(ledger, ["analytics"]), Decimal)
+        res.analytics_checks = found[0]
+        lap("analytics_gate")
+        _gate("analytics", *found, ledger)
+        return found
+
+    res.analytics_checks, violations = stages.gate("analytics gate", analytics_gate, Decimal)
+    res.violations = [*res.violations, *violations]
 
     # 4. files first, then one committed append makes the run visible
     if export:

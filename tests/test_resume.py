@@ -1,0 +1,67 @@
+"""A stopped run goes on from its last whole stage."""
+
+import os
+from decimal import Decimal
+
+import pytest
+
+from csv_files import small_sources, write_csv
+from ordermart.plans import pipeline
+from ordermart.schemas import RAW_COLUMNS, RAW_FILE_OF
+
+ALL = ["load", "staging", "staging gate", "analytics", "views", "analytics gate"]
+
+
+@pytest.fixture()
+def source(tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    os.makedirs(src)
+    return src, small_sources(src), os.path.join(tmp_dir, "mart")
+
+
+def _fails(*_):
+    raise RuntimeError("the machine is gone")
+
+
+def _run(spark, source, **options):
+    return pipeline.run_pipeline(spark, source[2], source_dir=source[0], export=False, run_id="r", **options)
+
+
+def test_a_run_killed_after_staging_goes_on_with_analytics(spark, source, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(pipeline.marts, "build_analytics", _fails)
+        with pytest.raises(RuntimeError):
+            _run(spark, source)
+    assert pipeline.published_run(spark, source[2]) is None
+    with monkeypatch.context() as m:
+        m.setattr(pipeline.csv_ingest, "ingest", _fails)
+        m.setattr(pipeline.staging, "build_staging", _fails)
+        res = _run(spark, source, resume=True)
+    assert res.reused == ALL[:3] and len(res.staging_checks) == 28 and len(res.analytics_checks) == 19
+    assert all(type(r["actual"]) is int for r in res.staging_checks)
+    assert pipeline.read_published(spark, source[2], "views", "monthly_sales").first()["revenue"] == Decimal("48.51")
+    again = _run(spark, source, resume=True)
+    assert again.reused == ALL
+    assert [again.staging_checks, again.analytics_checks, again.violations] == [res.staging_checks, res.analytics_checks, res.violations]
+
+    # a table that lost rows is built again, with all that follows it
+    lost = os.path.join(res.run_dir, "staging", "sellers")
+    for f in os.listdir(lost):
+        if f.startswith("part-"):
+            os.remove(os.path.join(lost, f))
+    assert _run(spark, source, resume=True).reused == ["load"]
+
+
+def test_changed_input_and_failed_gates_run_again(spark, source):
+    src, rows, _ = source
+    reviews = os.path.join(src, RAW_FILE_OF["order_reviews"])
+    write_csv(reviews, RAW_COLUMNS["order_reviews"], [["r9", "o404", "5", "", "", "2017-11-11 00:00:00", "2017-11-12 00:00:00"]])
+    for _ in range(2):  # the second takes over load and staging, not the gate
+        with pytest.raises(pipeline.PipelineFailure) as failure:
+            _run(spark, source, resume=True)
+        assert failure.value.stage == "staging constraints"
+    write_csv(reviews, RAW_COLUMNS["order_reviews"], rows["order_reviews"])
+    assert _run(spark, source, resume=True).reused == []
+    assert pipeline.published_run(spark, source[2]) == "r"
+    with pytest.raises(ValueError):
+        pipeline.run_pipeline(spark, source[2], source_dir=src, resume=True)
