@@ -55,3 +55,44 @@ def test_files_prune_on_several_dimensions(spark, tmp_dir):
     assert stored.count() == docs.count()
     boxes = stored.groupBy("shard").agg(F.count_distinct("lang").alias("l"), F.count_distinct("source").alias("s")).collect()
     assert sum(b.l for b in boxes) / 16 < 2.5 and sum(b.s for b in boxes) / 16 < 15
+
+
+def cell_of(index, dims=3, bits=sd.BITS):
+    """The curve the other way, a point at a time: index to coordinates."""
+    x = [sum((index >> (b * dims + dims - 1 - i) & 1) << b for b in range(bits)) for i in range(dims)]
+    top = x[-1] >> 1
+    for i in range(dims - 1, 0, -1):
+        x[i] ^= x[i - 1]
+    x[0] ^= top
+    for b in range(1, bits):
+        low = (1 << b) - 1
+        for i in reversed(range(dims)):
+            if x[i] >> b & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[i]) & low
+                x[0], x[i] = x[0] ^ swap, x[i] ^ swap
+    return x
+
+
+def test_whole_table_equals_brute_force(spark):
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "lang", "source").toPandas()
+    got = {r.doc_id: r for r in sd.op8_sharding(spark, path).collect()}
+    assert len(got) == len(docs)
+
+    def grid(column):
+        values = sorted(docs[column].dropna().unique()) + ([None] if docs[column].isna().any() else [])
+        return {v: (k << sd.BITS) // len(values) for k, v in enumerate(values)}
+
+    langs, sources, order = grid("lang"), grid("source"), []
+    for d in docs.itertuples():
+        data = (d.text or "").encode()
+        r, size = got[d.doc_id], len(data) + 1
+        step = (size + 1) ** 8  # eight steps per doubling, in whole numbers
+        assert (r["size"], r.text_crc32) == (size, zlib.crc32(data))
+        assert cell_of(r.hilbert) == [langs[d.lang], sources[d.source], min(step.bit_length() - 1, (1 << sd.BITS) - 1)]
+        order.append((r.hilbert, r.text_crc32, d.doc_id))
+    for k, (_, _, doc_id) in enumerate(sorted(order)):
+        shard = k * 16 // len(order)
+        assert (got[doc_id].shard, got[doc_id].slot) == (shard, k - -(-shard * len(order) // 16))
