@@ -5,15 +5,15 @@ Every layer is written under ``<out>/_runs/<run_id>/`` and re-read, which
 cuts lineage at each layer boundary (a lost executor recomputes from the last
 written layer, never from the sources) and lets every check scan compact
 Parquet instead of recomputing the models. A run becomes visible only when all
-gates pass: one row is then appended to ``<out>/_published`` (an append is
-committed atomically per file), and readers resolve the newest published run.
+gates pass: it is then published as a new version (``publication.py``), and
+readers resolve the newest, or the one they name.
 A failed run leaves the previously published run untouched; with ``resume`` a
 rerun under its run_id takes over the stages that were done (``stages.py``).
+A run_id that a version shows can only be resumed, never run anew.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import uuid
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ordermart.config import ensure_session_conf
 from ordermart.operators import constraints, marts, quality, reports, staging
 from ordermart.operators.ledger import Ledger
+from ordermart.plans.publication import PublicationError, publish, resolve, versions
 from ordermart.plans.stages import Stages, fingerprint
 from ordermart.sources import csv_ingest, fixtures
 from ordermart.sources.export import export_all
@@ -63,6 +64,7 @@ class PipelineResult:
     analytics_checks: list = field(default_factory=list)
     violations: list = field(default_factory=list)
     exports: dict = field(default_factory=dict)
+    version: int | None = None
     reused: list = field(default_factory=list)
     timings: dict = field(default_factory=dict)
 
@@ -193,6 +195,8 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
         res.timings[name] = round(now - clock, 3)
         clock = now
 
+    if known and not resume and any(v.run_id == run_id for v in versions(spark, out_dir)):
+        raise PublicationError(f"run {run_id} of {out_dir} is published; it can be resumed, or run anew under another id")
     stages = Stages(spark, f"{out_dir}/_stages/{run_id}", fingerprint(spark, source_dir or sf_dir), known, resume)
     res.reused = stages.reused
 
@@ -241,54 +245,42 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
     res.analytics_checks, violations = stages.gate("analytics gate", analytics_gate, Decimal)
     res.violations = [*res.violations, *violations]
 
-    # 4. files first, then one committed append makes the run visible
+    # 4. files first, then the manifest makes the run visible
     if export:
         res.exports = export_all(spark, reports.export_queries(views), f"{base}/export")
         lap("export")
-    publish(spark, out_dir, run_id, run_ts)
+    res.version = publish(spark, out_dir, run_id, run_ts, stages.rows).version
     if database:
         register(spark, out_dir, database)
     lap("publish")
     return res
 
 
-def publish(spark: SparkSession, out_dir: str, run_id: str, run_ts: _dt.datetime) -> None:
-    spark.range(1).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(run_ts).cast("timestamp").alias("run_ts"),
-        F.current_timestamp().alias("published_at"),
-    ).coalesce(1).write.mode("append").json(f"{out_dir}/_published")
-
-
 def published_run(spark: SparkSession, out_dir: str) -> str | None:
     """The newest published run id (None before the first successful run)."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        rows = (spark.read.schema("run_id string, run_ts timestamp, published_at timestamp")
-                .json(f"{out_dir.rstrip('/')}/_published")
-                .orderBy(F.col("published_at").desc(), F.col("run_id").desc()).limit(1).collect())
-    except AnalysisException:
-        return None
-    return rows[0]["run_id"] if rows else None
+    newest = resolve(spark, out_dir)
+    return newest.run_id if newest else None
 
 
-def read_published(spark: SparkSession, out_dir: str, layer: str, table: str) -> DataFrame:
-    run_id = published_run(spark, out_dir)
-    if run_id is None:
+def published(spark: SparkSession, out_dir: str, version: int | None = None):
+    """The newest version or the one named, to read its tables from: they stay
+    those of one run while others are published."""
+    found = resolve(spark, out_dir, version)
+    if found is None:
         raise FileNotFoundError(f"nothing published under {out_dir}")
-    return spark.read.parquet(f"{out_dir.rstrip('/')}/_runs/{run_id}/{layer}/{table}")
+    return found
+
+
+def read_published(spark: SparkSession, out_dir: str, layer: str, table: str, version: int | None = None) -> DataFrame:
+    return published(spark, out_dir, version).read(layer, table)
 
 
 def register(spark: SparkSession, out_dir: str, database: str = "analytics") -> None:
     """Views of the newest published run, by name: the marts and the reports as
     ``database.<name>``, in the session's catalog. Each is replaced in one
     step; a reader sees the run before or the run after."""
-    run_id = published_run(spark, out_dir)
-    if run_id is None:
-        raise FileNotFoundError(f"nothing published under {out_dir}")
+    base = published(spark, out_dir).base
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    base = f"{out_dir.rstrip('/')}/_runs/{run_id}"
     for layer, tables in (("analytics", marts.TABLES), ("views", reports.VIEWS)):
         for t in tables:
             spark.sql(f"CREATE OR REPLACE VIEW {database}.{t} AS SELECT * FROM parquet.`{base}/{layer}/{t}`")

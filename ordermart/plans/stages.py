@@ -42,6 +42,7 @@ class Stages:
         """``known``: an earlier run may have left a log; ``resume``: its stages count."""
         self.spark, self.path, self.after, self.resume = spark, path, inputs, resume
         self.reused: list[str] = []
+        self.rows: dict[str, int] = {}  # of every stored table, by folder/table
         rows = self._log() if known else []
         self.step = max((r["step"] for r in rows), default=0)
         self.newest = {r["stage"]: r for r in sorted(rows, key=lambda r: r["step"])}
@@ -62,16 +63,17 @@ class Stages:
         what an earlier run stored, or None if that is no longer whole."""
         row = self.newest.get(stage)
         if row and self.resume and row["state"] == "done" and row["after"] == self.after:
-            value = take(json.loads(row["found"]))
+            self.found = json.loads(row["found"])
+            value = take(self.found)
             if value is not None:
                 self.after = row["id"]
                 self.reused.append(stage)
                 return value
         if row:  # its tables are about to be overwritten: the old row counts no more
             self._append(stage, "begun", "", None)
-        value, found = build()
+        value, self.found = build()
         id = uuid.uuid4().hex
-        self._append(stage, "done", id, found)
+        self._append(stage, "done", id, self.found)
         self.after = id
         return value
 
@@ -88,7 +90,9 @@ class Stages:
                 return None
             return tables if all(tables[t].count() == n for t, n in rows.items()) else None
 
-        return self.run(stage, build, take)
+        tables = self.run(stage, build, take)
+        self.rows |= {f"{base.rsplit('/', 1)[1]}/{t}": n for t, n in self.found.items()}
+        return tables
 
     def gate(self, stage: str, check: Callable[[], list], number: Callable):
         """A stage that only finds: lists of rows whose ``actual`` is ``number``
