@@ -96,10 +96,26 @@ def _from_csv(name):
     def run(spark, d):
         source_dir = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
         csv_ingest.write_source(fixtures.source_frames(spark, d)[name], source_dir, name)
-        return _out(to_raw(csv_ingest.read_source(spark, source_dir, name), name, run_timestamp()))
+        raw = to_raw(csv_ingest.read_files(spark, source_dir, name), name, run_timestamp())
+        # the writer's names of the part files are its own
+        return _out(raw.withColumn("source_file", F.substring_index("source_file", "/", 1)))
     return run
 
 
+def _file_reconciliation(spark, d):
+    """Orders and reviews delivered as files of a year each, loaded, and counted
+    per file on both sides; a row per delivery, FAIL if one of its files is."""
+    base, parts = f"{shared_dir(spark)}/deliveries-{uuid.uuid4().hex}", []
+    for t, day in (("orders", "order_purchase_timestamp"), ("order_reviews", "review_creation_date")):
+        csv_ingest.write_source(fixtures.source_frames(spark, d)[t], base, t, F.substr(F.col(day), F.lit(1), F.lit(4)))
+        raw = pipeline.write_table(to_raw(csv_ingest.read_files(spark, base, t), t, run_timestamp()), f"{base}/raw/{t}")
+        parts.append(csv_ingest.reconcile_files(spark, base, t, raw)
+                     .groupBy(F.lit(t).alias("table_name"), F.regexp_extract("source_file", "/delivery=([^/]*)/", 1).alias("delivery"))
+                     .agg(F.sum("source_records").alias("source_records"), F.sum("loaded_rows").alias("loaded_rows"),
+                          F.when(F.bool_and(F.col("status") == "PASS"), "PASS").otherwise("FAIL").alias("status")))
+    return parts[0].unionByName(parts[1])
+
+
 def _orders_of_customer(spark, d):
     """The orders of the customer with the most, looked up by key in the stored fact."""
     an, path = _layers(spark, d).analytics, f"{shared_dir(spark)}/fact-orders-{uuid.uuid4().hex}"
@@ -129,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_translation_scan": _raw("product_category_translation"),
     "raw_null_tokens": _raw_null_tokens,
     "load_reconciliation": _load_reconciliation,
+    "file_reconciliation": _file_reconciliation,
     "raw_row_counts": _with(lambda ly: quality.raw_row_counts(ly.raw)),
     "raw_key_profile": _with(lambda ly: quality.raw_key_profile(ly.raw)),
     "raw_orphans": _with(lambda ly: quality.raw_orphans(ly.raw)),

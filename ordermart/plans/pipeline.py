@@ -207,9 +207,11 @@ def run_pipeline(spark: SparkSession, out_dir: str, *, source_dir: str | None =
         stored = _write_layer({t: frames[t] for t in frames}, f"{base}/raw")
         if source_dir is not None:  # records counted before any cell was parsed
             for t in sorted(csv_ingest.MULTILINE_TABLES):
-                counted, loaded = csv_ingest.record_count(spark, source_dir, t), stored[t][1]
-                if counted != loaded:
-                    raise PipelineFailure("load", [f"{t}: {counted} records in the source, {loaded} rows loaded"])
+                lost = csv_ingest.reconcile_files(spark, source_dir, t, stored[t][0]).where("status = 'FAIL'")
+                worst = lost.orderBy("source_file").limit(10).collect()
+                if worst:
+                    raise PipelineFailure("load", [f"{r['source_file']}: {r['source_records']} records in the source, "
+                                                   f"{r['loaded_rows']} rows loaded" for r in worst])
         return stored
 
     raw = stages.layer("load", f"{base}/raw", load)

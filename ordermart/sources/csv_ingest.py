@@ -17,10 +17,11 @@ import csv
 import datetime as _dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermart.schemas import RAW_COLUMNS, RAW_FILE_OF, raw_text_schema
-from ordermart.sources.csv_records import parsed, record_counts
+from ordermart.sources.csv_records import ALL_FILES, line_counts, parsed, record_counts
 from ordermart.sources.raw import to_raw
 
 MULTILINE_TABLES = frozenset({"order_reviews"})
@@ -37,7 +38,7 @@ def source_path(source_dir: str, table: str) -> str:
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """The header row of a CSV file (reads only the first line)."""
     try:
-        first = spark.read.text(path).limit(1).collect()
+        first = spark.read.options(**ALL_FILES).text(path).limit(1).collect()
     except AnalysisException as e:
         raise FileNotFoundError(f"Source file not found: {path}") from e
     if not first:
@@ -53,32 +54,62 @@ def validate_header(spark: SparkSession, path: str, table: str) -> None:
         raise SourceError(f"Unexpected columns in {path}. Expected {expected}, got {actual}")
 
 
-def read_source(spark: SparkSession, source_dir: str, table: str,
-                multiline_tables=MULTILINE_TABLES) -> DataFrame:
-    """One source file as text cells (header validated first)."""
+def source_file(table: str, file: Column) -> Column:
+    """The lineage of a row: the declared file name and, where a folder of files
+    lies under that name, the path of the row's file below it."""
+    return F.substr(file, F.instr(file, f"/{RAW_FILE_OF[table]}") + 1)
+
+
+def read_files(spark: SparkSession, source_dir: str, table: str,
+               multiline_tables=MULTILINE_TABLES) -> DataFrame:
+    """A source's text cells (header validated first) and source_file."""
     path = source_path(source_dir, table)
     validate_header(spark, path, table)
     if table in multiline_tables:
-        return parsed(spark, path, raw_text_schema(table))
-    return (spark.read.schema(raw_text_schema(table))
-            .option("header", True)
-            .option("enforceSchema", False)
-            .option("mode", "FAILFAST")
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("encoding", "UTF-8")
-            .csv(path))
+        found = parsed(spark, path, raw_text_schema(table))
+    else:
+        found = (spark.read.schema(raw_text_schema(table)).options(**ALL_FILES)
+                 .option("header", True)
+                 .option("enforceSchema", False)
+                 .option("mode", "FAILFAST")
+                 .option("quote", '"')
+                 .option("escape", '"')
+                 .option("encoding", "UTF-8")
+                 .csv(path)
+                 .withColumn("file", F.col("_metadata.file_path")))
+    return found.select(*RAW_COLUMNS[table], source_file(table, F.col("file")).alias("source_file"))
+
+
+def read_source(spark: SparkSession, source_dir: str, table: str,
+                multiline_tables=MULTILINE_TABLES) -> DataFrame:
+    """The cells alone."""
+    return read_files(spark, source_dir, table, multiline_tables).select(*RAW_COLUMNS[table])
+
+
+def file_records(spark: SparkSession, source_dir: str, table: str,
+                 multiline_tables=MULTILINE_TABLES) -> DataFrame:
+    """source_file and source_records (data records, counted from the text lines
+    before any cell is parsed)."""
+    counts = record_counts if table in multiline_tables else line_counts
+    found = counts(spark, source_path(source_dir, table))
+    return found.select(source_file(table, F.col("file")).alias("source_file"), F.col("records").alias("source_records"))
 
 
-def record_count(spark: SparkSession, source_dir: str, table: str) -> int:
-    """Data records of a source with quoted line breaks, counted from its lines."""
-    return record_counts(spark, source_path(source_dir, table)).agg({"records": "sum"}).first()[0] or 0
+def reconcile_files(spark: SparkSession, source_dir: str, table: str, raw: DataFrame,
+                    multiline_tables=MULTILINE_TABLES) -> DataFrame:
+    """source_file, source_records, loaded_rows and status of every file that has
+    records or from which rows were loaded."""
+    loaded = raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("loaded_rows"))
+    both = file_records(spark, source_dir, table, multiline_tables).join(loaded, "source_file", "full")
+    counts = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("source_records", "loaded_rows")]
+    status = F.when(F.col("source_records") == F.col("loaded_rows"), "PASS").otherwise("FAIL")
+    return both.select("source_file", *counts).where("source_records > 0 OR loaded_rows > 0").withColumn("status", status)
 
 
 def csv_sources(spark: SparkSession, source_dir: str,
                 multiline_tables=MULTILINE_TABLES) -> dict[str, DataFrame]:
     """All nine source files, validated up front (all-or-nothing load)."""
-    return {t: read_source(spark, source_dir, t, multiline_tables) for t in RAW_COLUMNS}
+    return {t: read_files(spark, source_dir, t, multiline_tables) for t in RAW_COLUMNS}
 
 
 def ingest(spark: SparkSession, source_dir: str, loaded_at: _dt.datetime,
@@ -91,9 +122,13 @@ def ingest(spark: SparkSession, source_dir: str, loaded_at: _dt.datetime,
             for t, df in csv_sources(spark, source_dir, multiline_tables).items()}
 
 
-def write_source(df: DataFrame, source_dir: str, table: str) -> None:
+def write_source(df: DataFrame, source_dir: str, table: str, delivery: Column | None = None) -> None:
     """A source file's text cells as CSV files with the declared header, such
-    as ``read_source`` reads; blanks around a cell are kept."""
-    (df.select(*RAW_COLUMNS[table]).write.option("header", True).option("escape", '"').option("emptyValue", "")
+    as ``read_source`` reads; blanks around a cell are kept. With ``delivery``
+    the files lie in a folder for each of its values."""
+    cells = [F.col(c) for c in RAW_COLUMNS[table]]
+    parts = [] if delivery is None else [delivery.alias("delivery")]
+    (df.select(*cells, *parts).write.partitionBy(*["delivery" for _ in parts])
+     .option("header", True).option("escape", '"').option("emptyValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(source_path(source_dir, table)))

@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BOM = "﻿"
+# every file below a folder is data; a subfolder's name adds no column (were some
+# named key=value, the files beside them would be left out)
+ALL_FILES = {"recursiveFileLookup": "true"}
 CSV = {"mode": "FAILFAST", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """file, block (first byte of the split), at (order of the lines in the
     split), value (a line, its CR kept) and quotes."""
-    return (spark.read.option("lineSep", "\n").text(path)
+    return (spark.read.options(**ALL_FILES).option("lineSep", "\n").text(path)
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                     F.monotonically_increasing_id().alias("at"), "value")
             .withColumn("quotes", F.expr("length(value) - length(replace(value, '\"', ''))")))
@@ -82,18 +85,32 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("file", "block", "record", F.regexp_replace(text, "\r$", "").alias("text"))
 
 
-def data_records(spark: SparkSession, path: str) -> DataFrame:
-    """``records`` without each file's header and without blank lines."""
-    header = (F.col("block") == 0) & (F.col("record") == 1)
-    return records(spark, path).where(~header & (F.col("text") != ""))
+def data_records(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
+    """``records`` without each file's header and without blank lines. With
+    ``header`` every file's first record must be just these names."""
+    first = (F.col("block") == 0) & (F.col("record") == 1)
+    dropped = F.lit(False)
+    if header is not None:
+        names = F.regexp_replace("text", f'["{BOM}]', "")
+        wrong = F.raise_error(F.concat(F.lit("Unexpected columns in "), F.col("file"), F.lit(": "), names)).cast("boolean")
+        dropped = F.when(names == ",".join(header), False).otherwise(wrong)
+    return records(spark, path).where(F.when(first, dropped).otherwise(F.col("text") != ""))
 
 
 def parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The cells of all data records of the file, or folder of files, as text."""
-    cells = data_records(spark, path).select(F.from_csv("text", schema.simpleString()[len("struct<"):-1].replace(":", " "), CSV).alias("cells"))
-    return cells.select("cells.*")
+    """The cells of all data records of the file, or folder of files, as text,
+    and file."""
+    ddl = schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    found = data_records(spark, path, schema.fieldNames())
+    return found.select(F.from_csv("text", ddl, CSV).alias("cells"), "file").select("cells.*", "file")
 
 
 def record_counts(spark: SparkSession, path: str) -> DataFrame:
     """file and records (data records, counted before any cell is parsed)."""
     return data_records(spark, path).groupBy("file").agg(F.count(F.lit(1)).alias("records"))
+
+
+def line_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The same of files that hold a record a line."""
+    found = spark.read.options(**ALL_FILES).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    return found.where(F.col("value").rlike(r"[^\x00-\x20]")).groupBy("file").agg((F.count(F.lit(1)) - 1).alias("records"))

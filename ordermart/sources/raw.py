@@ -33,11 +33,12 @@ def run_timestamp() -> _dt.datetime:
 
 
 def to_raw(df: DataFrame, table: str, loaded_at: _dt.datetime) -> DataFrame:
-    """Declared columns in declared order, null tokens mapped, lineage added."""
+    """Declared columns in declared order, null tokens mapped, lineage added:
+    the input's own source_file where it has one, else the declared name."""
     cols = [null_tokens_to_null(c).alias(c) for c in RAW_COLUMNS[table]]
     return df.select(
         *cols,
-        F.lit(RAW_FILE_OF[table]).alias("source_file"),
+        (F.col("source_file") if "source_file" in df.columns else F.lit(RAW_FILE_OF[table])).alias("source_file"),
         F.lit(loaded_at).cast(T.TimestampType()).alias("loaded_at"),
     )
 
