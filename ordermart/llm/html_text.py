@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import pieces_of, stored
 
 MIN_RUN, PART_BYTES = 6, 1 << 20
+#: an element of a doubtful word is prose from so many words on, and so many for each link in it
+PROSE, LINK_WORDS = 24, 12
 #: a block goes if this share of it lies in runs of at least so many pages and this share of the host's (inside a marked
 #: article: the second), and this share of the page's text in runs of at most half as many pages
 WHOLE, PAGES, OF_HOST, OWN = 0.9, 4, (0.1, 0.5), 0.25
@@ -56,6 +58,8 @@ DROPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
                  "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "sidebar", "cookie", "cookies",
                  "consent", "notice", "notices", "comment", "comments", "disqus", "newsletter", "subscribe", "popup", "modal",
                  "share", "social", "related", "widget"}
+#: words that also name parts of an article (related work, market share, social policy)
+DOUBTFUL_WORDS = {"related", "share", "social"}
 HEADER_WORDS = {"header", "masthead"}
 COMMENT_WORDS = {"comment", "comments", "disqus"}
 #: "no-sidebar" or "has-nav" tells of a layout, it isn't a sidebar
@@ -80,25 +84,27 @@ def _class_words(attributes: str) -> set[str]:
     return out
 
 
-def _drops(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
-    """Whether an element is dropped with all in it, and whether it is dropped
-    unless it is or holds an article (rules of forms, classes and ids)."""
+def _drops(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is dropped with all in it, whether it is dropped
+    unless it is or holds an article (rules of forms, classes and ids), and
+    whether only doubtful words tell so."""
     if tag in DROPPED or (tag == "header" and not in_main):
-        return True, False
+        return True, False, False
     if not attributes.strip(" /"):
-        return False, tag == "form"
+        return False, tag == "form", False
     soft = tag == "form"
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "role" and value in DROPPED_ROLES:
-            return True, False
+            return True, False, False
         if name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none", value)):
-            return True, False
+            return True, False, False
         soft = soft or name == "role" and value == "form"
-    if not soft and tag not in ("body", "html"):
-        words = _class_words(attributes)
-        soft = bool(words & DROPPED_WORDS or (not in_main and words & HEADER_WORDS))
-    return False, soft
+    if soft or tag in ("body", "html"):
+        return False, soft, False
+    words = _class_words(attributes)
+    named = words & (DROPPED_WORDS if in_main else DROPPED_WORDS | HEADER_WORDS)
+    return False, bool(named), bool(named) and named <= DOUBTFUL_WORDS
 
 
 def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
@@ -106,13 +112,16 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
 
     A form, class or id drops no element that is or holds an article or main;
     an article inside one that is named a comment counts as its comment. Nor
-    does a form drop more than half of the text: it is then around the page."""
+    does a form drop more than half of the text: it is then around the page.
+    Nor does a doubtful word drop prose: what the host repeats of it goes by the
+    suffix array, unique runs stay."""
     out: list[tuple[str, bool, bool, tuple]] = []
     # tag, dropped, in an article, elements a form, class or id would drop, of the open elements
     stack: list[tuple[str, bool, bool, tuple]] = []
     text: list[str] = []
     start = state = (False, False, ())
     forms: set[int] = set()
+    doubtful: dict[int, int] = {}  # of those elements, links in each that only doubtful words would drop
     holds: set[int] = set()  # of those elements, the ones that hold an article
     n_soft = 0
 
@@ -190,7 +199,10 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
                         break
             main = tag in MAIN or bool(attributes and ROLE_MAIN.search(attributes))
             inside = state[1] or main
-            hard, soft = _drops(tag, attributes, inside)
+            hard, soft, doubt = _drops(tag, attributes, inside)
+            if tag == "a" and doubtful:
+                for k in doubtful.keys() & set(state[2]):
+                    doubtful[k] += 1
             dropped, softs = state[0] or hard, state[2]
             if main and not dropped and not (state[1] and COMMENT_WORDS & _class_words(attributes)):
                 holds.update(softs)
@@ -199,6 +211,8 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
                 softs = (*softs, n_soft)
                 if tag == "form":
                     forms.add(n_soft)
+                if doubt:
+                    doubtful[n_soft] = 0
                 n_soft += 1
             if (dropped, inside, softs) != state and tag in INLINE:
                 close_block()
@@ -206,6 +220,13 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
                 stack.append((tag, dropped, inside, softs))
                 state = (dropped, inside, softs)
     close_block()
+    if doubtful:
+        words = dict.fromkeys(doubtful, 0)
+        for joined, hard, _, softs in out:
+            if not hard:
+                for k in doubtful.keys() & set(softs):
+                    words[k] += joined.count(" ") + 1
+        holds.update(k for k, n in words.items() if n >= max(PROSE, LINK_WORDS * doubtful[k]))
     if forms - holds:
         explicit = any(inside and not hard for _, hard, inside, _ in out)
         total, of_form = 0, dict.fromkeys(forms, 0)

@@ -50,6 +50,36 @@ def test_no_rule_drops_an_article(page, want):
     assert text(page) == want
 
 
+PROSE = " ".join(f"word{i}" for i in range(40))
+LINKS = "".join(f"<li><a href=/{i}>another piece of this site</a></li>" for i in range(20))
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><p>a</p><div class='related-work'><h2>Related work</h2><p>{PROSE}</p></div></body>", f"a\n\nRelated work\n\n{PROSE}"),
+    (f"<body><p>a</p><div id='share'><p>{PROSE} <a href=/x>a source</a></p></div></body>", f"a\n\n{PROSE} a source"),
+    (f"<article><p>a</p><section class=social-policy><p>{PROSE}</p><p>b</p></section></article>", f"a\n\n{PROSE}\n\nb"),
+    (f"<body><p>a</p><div class=related><div class=share><p>{PROSE}</p></div></div></body>", f"a\n\n{PROSE}"),
+    # lists of links, short texts and words that leave no doubt
+    (f"<body><p>a</p><ul class=related>{LINKS}</ul></body>", "a"),
+    (f"<article><p>a</p><ul class='related share'>{LINKS}</ul></article>", "a"),
+    ("<body><p>a</p><div class=share>Share it with all of your friends</div></body>", "a"),
+    (f"<body><p>a</p><div class='related sidebar'><p>{PROSE}</p></div></body>", "a"),
+    (f"<body><p>a</p><div class=related><div class=comments><p>{PROSE}</p></div></div></body>", "a"),
+    (f"<body><p>a</p><form class=share><p>x</p></form><p>{PROSE}</p></body>", f"a\n\n{PROSE}"),
+])
+def test_doubtful_words_drop_no_prose(page, want):
+    assert text(page) == want
+
+
+def test_the_array_decides_prose_under_a_doubtful_word(spark):
+    """What the host repeats of it goes, as it is; unique runs stay."""
+    site = own_text(10**6, 40)
+    page = "<body><p>{}</p><div class=share><p>{}</p></div><div class='related-work'><p>{}</p></div></body>"
+    texts = texts_of(spark, [page.format(own_text(i), site, own_text(100 + i)) for i in range(12)])
+    assert texts == {i: f"{own_text(i)}\n\n{own_text(100 + i)}" for i in range(12)}
+    assert texts == texts_of(spark, [page.format(own_text(i), site, own_text(100 + i)) for i in range(12)], part_bytes=2000, coverage=False)
+
+
 def test_odd_markup_never_fails():
     for page in (None, "", "<", "<p", "<!--", "<script>", "</p>", "a<b", "<a title=\"x>y", "&", "&#x110000;", "<article", "x" * 200000,
                  "<p>" * 20000 + "deep", "<div>" * 3000 + "t"):
