@@ -97,10 +97,10 @@ def _create(spark: SparkSession, path: str, text: str) -> bool:
 def versions(spark: SparkSession, out_dir: str) -> list[Version]:
     """All published versions, the newest first."""
     out_dir = out_dir.rstrip("/")
-    try:
-        rows = spark.read.schema(MANIFEST).json(f"{out_dir}/_published/v*.json").collect()
-    except AnalysisException:
+    folder, fs = _path(spark, f"{out_dir}/_published")
+    if not fs.exists(folder):
         return []
+    rows = spark.read.schema(MANIFEST).option("pathGlobFilter", "v*.json").json(f"{out_dir}/_published").collect()
     found = [Version(spark, out_dir, r["version"], r["run_id"], _dt.datetime.fromisoformat(r["published_at"]), r["tables"] or {})
              for r in rows]
     return sorted(found, key=lambda v: -v.version)
