@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 import numpy as np
@@ -29,6 +30,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def guarded(rows_of):
+    """For an operator (docs, ...) that gives rows of ``docs`` with its columns
+    unchanged: input columns named like its helpers (``__``) go through under
+    other names. Without such columns nothing is added to the plan."""
+    @functools.wraps(rows_of)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        clashing = [c for c in docs.columns if c.startswith("__")]
+        if not clashing:
+            return rows_of(docs, *args, **options)
+        prefix = "own"
+        while any(c.lower().startswith(prefix) for c in docs.columns):
+            prefix += "_"
+        names = {c: f"{prefix}{i}" for i, c in enumerate(clashing)}
+        out = rows_of(docs.withColumnsRenamed(names), *args, **options)
+        return out.withColumnsRenamed({new: old for old, new in names.items()})
+    return run
+
+
 def numbered(df: DataFrame, order: list, name: str, column: str = "ordinal") -> DataFrame:
     """``df`` with its 0-based position in ``order``, for any number of rows.
 

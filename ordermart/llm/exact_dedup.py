@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, stored
+from .common import guarded, scratch_path, stored
 
 INDEX_COLUMNS = "digest BINARY, keep_id BIGINT"
 
@@ -84,6 +84,7 @@ def dedup(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFrame:
                       F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
 
+@guarded
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without exact copies, columns unchanged: of equal texts the row
     with the largest doc_id; of rows that also share the doc_id, any one."""

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, stored
+from .common import guarded, numbered, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -140,6 +140,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: floa
             .drop("__size", "__key", "__source", "__plan"))
 
 
+@guarded
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken."""
     return (mix(docs, **options).where("__mix.repeats > 0")

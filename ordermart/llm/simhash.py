@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, stored
+from .common import guarded, pieces_of, stored
 
 #: (shift, width) of the blocks, and of the sub-blocks of what is left
 BLOCKS = ((0, 21), (21, 21), (42, 22))
@@ -176,7 +176,7 @@ def _tree_links(batches, radius: int):
             values, own = fp[s:e].view(np.uint64), home[s:e]
             if own.any() and e - s > 1:
                 inside = np.unique(values[own])
-                x, y = links_of(inside, inside if own.all() else np.unique(values), radius)
+                x, y = links_of(inside, inside if own.all() else np.unique(values[~own]), radius)
                 left.append(x.view(np.int64))
                 right.append(y.view(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
@@ -197,19 +197,27 @@ def _tree_links(batches, radius: int):
         yield solve(held)
 
 
+def shard_pairs(prints: DataFrame) -> DataFrame:
+    """which, bits, shard, fp and home: the fingerprints of a key are dealt to
+    shards, and each two shards meet in a group of their own, the tree of one
+    (home) to be asked for all of the other. A group holds two shards at most,
+    whatever the key; a key of n fingerprints sends each to ceil(n / SHARD) groups."""
+    keyed = prints.select("fp", F.explode(F.array(*block_keys(F.col("fp")))).alias("k")).select("fp", "k.which", "k.bits")
+    full = keyed.groupBy("which", "bits").agg(F.count("*").alias("n")).where("n > 1")
+    shards = F.ceil(F.col("n") / SHARD).cast("int")
+    dealt = keyed.join(full, ["which", "bits"]).withColumn("shards", shards)
+    asked = dealt.select("which", "bits", "fp", "shards", F.pmod(F.xxhash64("fp"), "shards").cast("int").alias("own"),
+                         F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("other"))
+    two = F.least("own", "other").cast("bigint") * F.col("shards") + F.greatest("own", "other")
+    return asked.select("which", "bits", two.alias("shard"), "fp", (F.col("own") <= F.col("other")).alias("home"))
+
+
 def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` whose closure is that
     of all pairs at ``radius`` (at most 2) or fewer differing bits."""
     if radius > 2:
         raise ValueError("three blocks find pairs of at most two differing bits")
-    keyed = prints.select("fp", F.explode(F.array(*block_keys(F.col("fp")))).alias("k")).select("fp", "k.which", "k.bits")
-    full = keyed.groupBy("which", "bits").agg(F.count("*").alias("n")).where("n > 1")
-    shards = F.ceil(F.col("n") / SHARD).cast("int")
-    dealt = keyed.join(full, ["which", "bits"]).withColumn("shards", shards)
-    asked = dealt.select("which", "bits", "fp", F.pmod(F.xxhash64("fp"), "shards").cast("int").alias("own"),
-                         F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    return (asked.select("which", "bits", "shard", "fp", (F.col("own") == F.col("shard")).alias("home"))
-            .repartition("which", "bits", "shard").sortWithinPartitions("which", "bits", "shard")
+    return (shard_pairs(prints).repartition("which", "bits", "shard").sortWithinPartitions("which", "bits", "shard")
             .mapInArrow(lambda it: _tree_links(it, radius), "a bigint, b bigint").distinct())
 
 
@@ -259,6 +267,7 @@ def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+@guarded
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one document of each group, columns unchanged: the one
     with the smallest doc_id. The doc_id names a row: rows that share one go

@@ -79,6 +79,24 @@ def test_links_and_components_equal_brute_force(spark, monkeypatch):
         assert len(set(zip(got, want, strict=True))) == len(set(got)) == len(set(want))
 
 
+def test_a_hot_key_is_many_groups_of_two_shards(spark, monkeypatch):
+    monkeypatch.setattr(sh, "SHARD", 16)
+    # the last 40 bits differ, the first 24 are one hot value of a block
+    values = [(5 << 40) + random.Random(8).randrange(1 << 10) * 977 + i * (1 << 20) for i in range(320)]
+    prints = spark.createDataFrame([(v,) for v in set(values)], "fp bigint")
+    groups = sh.shard_pairs(prints).groupBy("which", "bits", "shard").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("home"))
+    hot = groups.where("n > 2").collect()
+    assert hot and max(r.n for r in hot) < 5 * 16  # two shards, dealt by hash
+    keys = sh.shard_pairs(prints).groupBy("which", "bits").agg(F.count_distinct("fp").alias("n"), F.count_distinct("shard").alias("groups"))
+    big = keys.orderBy(F.desc("n")).first()
+    assert big.n == 320 and big.groups == 20 * 21 // 2
+    # any two fingerprints of that key meet, one of them at home
+    for two in ([values[0], values[1]], [values[7], values[300]]):
+        met = (sh.shard_pairs(prints).where(F.col("fp").isin(two)).groupBy("which", "bits", "shard")
+               .agg(F.count("*").alias("n"), F.bool_or("home").alias("home")).where("n = 2 AND home"))
+        assert met.count() >= 1
+
+
 def test_near_dedup_on_odd_rows(spark):
     docs = with_extra(docs_of(spark, odd_rows()))
     rows = sh.near_dedup(docs).collect()
