@@ -1,16 +1,19 @@
 """ROW_NUMBER() OVER (PARTITION BY g ORDER BY slices..., k...) in pieces.
 
-A plain window sorts a whole group in one task. Here the leading order columns
-(``slices``, each of few values within a group) cut the group into pieces:
+A plain window sorts a whole group in one task. That is right for groups of up
+to ``most`` rows. Of larger ones the leading order columns (``slices``, each of
+few values within a group) cut the group into pieces:
 
 1. rows per piece, counted map side;
 2. the rows before each piece: a running sum over the piece counts, one level
    of slices at a time, so that a window sees at most the values of one column;
 3. ``row_number`` inside each piece, plus the rows before it.
 
-The same plan at every size. With line number and part number modulo 1000 as
-slices, an order that held a third of all lines would be thousands of pieces.
-Ties on the whole order are numbered arbitrarily, as ROW_NUMBER does.
+A small group is one piece with nothing before it, so the counts and sums are of
+the large groups alone. The same plan at every size, and none of it where only
+other columns are read. With line number and part number modulo 1000 as slices,
+an order that held a third of all lines would be thousands of pieces. Ties on
+the whole order are numbered arbitrarily, as ROW_NUMBER does.
 """
 
 from __future__ import annotations
@@ -19,16 +22,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_number_by(df: DataFrame, group: str, slices: list[str], order: list[str], out: str = "row_number") -> DataFrame:
+def row_number_by(df: DataFrame, group: str, slices: list[str], order: list[str], out: str = "row_number",
+                  most: int = 10_000) -> DataFrame:
     """``df`` with ``out``: the 1-based place of the row in its group, by
-    ``slices`` and then ``order``, nulls first."""
+    ``slices`` and then ``order``, nulls first; groups of over ``most`` rows are cut."""
     # a struct is one key of which NULL fields are equal: the window and the join share one exchange of the rows
-    rows = df.withColumn("_piece", F.struct(group, *slices))
-    counts = rows.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy("_piece").orderBy(*order)
+    keyed = df.withColumn("_group", F.struct(group))
+    # one row of ``most`` at the most, so it is sent to every task
+    large = keyed.groupBy("_group").agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > most)
+    rows = keyed.join(F.broadcast(large), "_group", "left")
+    cut = F.col("_size").isNotNull()
+    rows = rows.withColumn("_piece", F.struct(group, *[F.when(cut, F.col(c)).alias(c) for c in slices], cut.alias("_cut")))
+    counts = rows.where(cut).groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy("_piece").orderBy(*slices, *order)
     numbered = rows.withColumn("_in_piece", F.row_number().over(inside))
-    return numbered.join(_before(counts, [group, *slices]), "_piece").select(
-        *df.columns, (F.col("_before") + F.col("_in_piece")).alias(out))
+    # left joins on unique keys: Spark leaves them out with the window wherever the number is not read
+    return numbered.join(_before(counts, [group, *slices]), "_piece", "left").select(
+        *df.columns, (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_in_piece")).alias(out))
 
 
 def _before(counts: DataFrame, keys: list[str]) -> DataFrame:

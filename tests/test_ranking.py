@@ -36,3 +36,17 @@ def test_no_window_sees_a_whole_group(spark):
     assert len(windows) == 3
     assert sum("row_number()" in w for w in windows) == 1  # inside the innermost pieces
     assert all("sum(" in w for w in windows if "row_number()" not in w)  # the others see counts
+
+
+def test_small_and_cut_groups_side_by_side(spark):
+    li = _lineitem(spark).withColumn("g", F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(F.col("l_orderkey") % 500))
+    w = Window.partitionBy("g").orderBy(*SLICES, *KEYS, "rn")
+    for most in (1, 60, 10**9):
+        got = row_number_by(li, "g", SLICES, KEYS, "rn", most=most).withColumn("want", F.row_number().over(w))
+        assert got.where("rn <> want").count() == 0 and got.count() == li.count()
+
+
+def test_unread_numbers_cost_nothing(spark):
+    out = row_number_by(_lineitem(spark), "l_orderkey", SLICES, KEYS, "rn").groupBy("l_orderkey").agg(F.sum("l_tax"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
