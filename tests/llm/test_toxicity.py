@@ -122,3 +122,22 @@ def test_logits_equal_a_naive_convolution(model):
     texts = [t for t, *_ in corpus(25, seed=9)] + ["", "  ", "Scum!", "vile vile", "é 日本 x", corpus(1, seed=4)[0][0] * 20]
     got = model.logits(pa.array(texts, pa.string()))
     assert got == pytest.approx([naive_logit(model, t) for t in texts], abs=1e-3)
+
+
+def test_every_labelled_document_is_learnt_from(spark, monkeypatch):
+    """More than 3,000 documents in several parts; what only a very long text tells is learnt as well."""
+    monkeypatch.setattr(tx, "PART_BYTES", 400_000)
+    rows = [(i, t, lang, "s") for i, (t, _, lang) in enumerate(corpus(3400, seed=5))]
+    labels = [(i, y) for i, (_, y, _) in enumerate(corpus(3400, seed=5))]
+    long = [(10_000 + i, "leaf " * 7000 + ("grunzel" if i % 2 else "bloom"), "en", "s") for i in range(80)]
+    docs = docs_of(spark, rows + long)
+    marked = spark.createDataFrame(labels + [(r[0], r[0] % 2) for r in long], "doc_id bigint, toxic int")
+    table = tx.labelled(docs, marked)
+    assert table.select("part").distinct().count() > 3 and table.count() > 2700
+    assert table.where("length(text) > 30000").count() > 50
+    m = tx.learned(docs, marked)
+    held = corpus(400, seed=6)
+    score = m.scores(pa.array([t for t, *_ in held]))
+    assert ((score >= 0.5) == np.array([y for _, y, _ in held])).mean() > 0.97
+    low, high = m.scores(pa.array(["leaf " * 50 + "bloom", "leaf " * 50 + "grunzel"]))
+    assert low < 0.5 <= high and set(m.thresholds) == {"en", "de"}
