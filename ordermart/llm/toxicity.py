@@ -10,11 +10,13 @@ Out-of-fold scores of the training documents set the slope of the score, the
 point where it is 0.5, and a rejection threshold for each language.
 
 Every labelled document is learnt from, whole (``learned``): they are dealt to
-parts of about ``PART_BYTES`` of text, and in each epoch every part is trained
-on in a task, from the same weights; the mean of the parts' weights, each
-counting as its documents do, begins the next epoch. Word counts and the
-out-of-fold scores are summed by Spark. Every document is scored whole, in
-tasks. Only the text enters a score.
+parts of about ``PART_BYTES`` of text by a hash of the doc_id, and in each epoch
+every part is trained on in a task, from the same weights; the mean of the
+tasks' weights, each counting as its documents do, begins the next epoch. There
+are at most ``TASKS`` tasks, which then train on several parts in turn, and a
+task sends the weights it has moved: what is exchanged for an epoch is bounded,
+whatever the documents. Word counts and the out-of-fold scores are summed by
+Spark. Every document is scored whole, in tasks. Only the text enters a score.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +35,13 @@ from .common import coded_words, pieces_of, stored
 
 ROWS, DIM, FILTERS, WIDTHS, PREFIXES = 1 << 17, 8, 8, (1, 2, 3), (3, 4, 5)
 FOLDS, EPOCHS, MIN_POSITIVES = 2, 4, 20
-#: text trained on from one copy of the weights, and tokenised at a time
-PART_BYTES, PIECE_BYTES = 64 << 20, 8 << 20
+#: text of a part, and of what is tokenised at a time
+PART_BYTES, PIECE_BYTES = 32 << 20, 8 << 20
+#: copies of the weights that are trained side by side
+TASKS = 64
 #: places of a logit in the counts that calibrate, and the largest logit told apart
 STEPS, LIMIT = 1024, 64
-#: slices in which the weights of the parts are summed
+#: slices in which the weights of the tasks are summed
 SLICES = 16
 #: labelled documents whose ids every task is sent; beyond that Spark chooses the join
 SENT_IDS = 1 << 20
@@ -316,42 +321,54 @@ def _model(flat: np.ndarray) -> Model:
     return Model(table, banks, bias, out, float(flat[-1]))
 
 
-def _by_part(batches):
-    """(part, its pieces): the rows of a part lie together in a file."""
-    def pieces():
-        for batch in batches:
-            part = np.asarray(batch.column("part"))
-            cuts = np.flatnonzero(np.diff(part)) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True):
-                for piece in pieces_of(batch.slice(a, b - a), "text", PIECE_BYTES):
-                    yield int(part[a]), piece
+def _pieces(batches):
+    for batch in batches:
+        yield from pieces_of(batch, "text", PIECE_BYTES)
+
 
-    return itertools.groupby(pieces(), key=lambda found: found[0])
+def _sliced(vector: np.ndarray) -> list[np.ndarray]:
+    """SLICES of the vector, in rows of DIM values with zeros after the last."""
+    rows = np.zeros((-(-len(vector) // DIM), DIM), np.float32)
+    rows.ravel()[:len(vector)] = vector
+    return np.array_split(rows, SLICES)
 
 
-def _summed(rows: DataFrame, of_part) -> list[np.ndarray]:
-    """Sums of the (weight, vector) that ``of_part`` makes of the pieces of each
-    part, each vector times its weight; added in the order of the parts."""
-    fields = [("which", pa.int32()), ("slice", pa.int32()), ("part", pa.int32()), ("weight", pa.float64()), ("data", pa.binary())]
+def _summed(rows: DataFrame, of_task, start) -> list[np.ndarray]:
+    """Sums of the (weight, vector) that ``of_task`` makes of the pieces of each
+    task, each vector times its weight; added in the order of the tasks. A task
+    sends the rows of DIM values that differ from those of the ``start`` vectors,
+    a broadcast."""
+    fields = [("which", pa.int32()), ("slice", pa.int32()), ("task", pa.int32()), ("weight", pa.float64()),
+              ("at", pa.binary()), ("data", pa.binary())]
 
     def run(batches):
-        for part, found in _by_part(batches):
-            for which, (weight, vector) in enumerate(of_part(piece for _, piece in found)):
-                data = [x.astype(np.float32).tobytes() for x in np.array_split(vector, SLICES)]
-                yield pa.RecordBatch.from_pydict({"which": [which] * SLICES, "slice": list(range(SLICES)), "part": [part] * SLICES,
-                                                  "weight": [float(weight)] * SLICES, "data": data}, schema=pa.schema(fields))
+        pieces, task = _pieces(batches), TaskContext.get().partitionId()
+        first = next(pieces, None)
+        if first is None:
+            return
+        for which, (weight, vector) in enumerate(of_task(itertools.chain([first], pieces))):
+            at, data = [], []
+            for x, was in zip(_sliced(vector), _sliced(start.value[which]), strict=True):
+                moved = np.flatnonzero((x != was).any(axis=1))
+                at.append(moved.astype(np.int32).tobytes())
+                data.append(x[moved].tobytes())
+            yield pa.RecordBatch.from_pydict({"which": [which] * SLICES, "slice": list(range(SLICES)), "task": [task] * SLICES,
+                                              "weight": [float(weight)] * SLICES, "at": at, "data": data}, schema=pa.schema(fields))
 
     def add(found):
-        found = found.sort_values("part")
-        total = np.zeros(len(found["data"].iloc[0]) // 4)
-        for weight, x in zip(found["weight"], found["data"], strict=True):
-            total += weight * np.frombuffer(x, np.float32)
+        found = found.sort_values("task")
+        was = _sliced(start.value[found["which"].iloc[0]])[found["slice"].iloc[0]]
+        total = np.zeros(was.shape)
+        for weight, at, data in zip(found["weight"], found["at"], found["data"], strict=True):
+            x = was.copy()
+            x[np.frombuffer(at, np.int32)] = np.frombuffer(data, np.float32).reshape(-1, DIM)
+            total += weight * x
         return found.iloc[:1][["which", "slice"]].assign(data=[total.tobytes()])
 
-    sums = (rows.mapInArrow(run, "which int, slice int, part int, weight double, data binary")
+    sums = (rows.mapInArrow(run, "which int, slice int, task int, weight double, at binary, data binary")
             .groupBy("which", "slice").applyInPandas(add, "which int, slice int, data binary").collect())
     found = itertools.groupby(sorted(sums, key=lambda r: (r["which"], r["slice"])), key=lambda r: r["which"])
-    return [np.concatenate([np.frombuffer(r["data"]) for r in own]) for _, own in found]
+    return [np.concatenate([np.frombuffer(r["data"]) for r in own])[:len(start.value[which])] for which, own in found]
 
 
 def _coded(piece):
@@ -375,11 +392,13 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = (docs.select(key.alias("__doc"), text.alias("text"), F.col("lang").cast("string").alias("lang"))
              .join(wanted, F.col("__doc") == F.col("__id")))
     # dealt before the grouping, which then needs no exchange of its own
-    one = (known.repartition(max(1, -(-size // PART_BYTES)), "__id")
+    n = max(1, -(-size // PART_BYTES))
+    one = (known.repartition(n, "__id")
            .groupBy("__id").agg(F.min(F.struct("text", F.col("__toxic").alias("toxic"), "lang")).alias("row"))
-           .select(F.col("__id").alias("doc_id"), "row.*", F.pmod(F.xxhash64(F.lit("fold"), "__id"), F.lit(FOLDS)).cast("int").alias("fold")))
-    parts = one.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
-    return stored(parts.withColumn("part", F.spark_partition_id()), "toxicity-labelled")
+           .select(F.col("__id").alias("doc_id"), "row.*", F.pmod(F.xxhash64(F.lit("fold"), "__id"), F.lit(FOLDS)).cast("int").alias("fold"),
+                   # the partition's number, however many there are
+                   F.pmod(F.hash("__id"), F.lit(n)).cast("int").alias("part")))
+    return stored(one.sortWithinPartitions("part", F.xxhash64("doc_id"), "doc_id"), "toxicity-labelled")
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Model:
@@ -388,8 +407,8 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     rows = labelled(docs, labels)
     found = rows.groupBy("fold", "toxic").agg(F.count("*").alias("n"), F.max("part").alias("last")).collect()
     counts = {(r["fold"], r["toxic"]): r["n"] for r in found}
-    # no tasks without a part: each machine that has one is sent the weights
-    rows = rows.coalesce(max((r["last"] for r in found), default=0) + 1)
+    # no tasks without a part, and no more weights to send than TASKS of them
+    rows = rows.coalesce(min(max((r["last"] for r in found), default=0) + 1, TASKS))
     own = np.array([[counts.get((k, c), 0) for c in (0, 1)] for k in range(FOLDS)])
     if not own.sum():
         return fit([], [], [])
@@ -401,7 +420,10 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
             n += _presence(words, codes, offsets, fold * 2 + y, FOLDS * 2)
         return [(1, n.ravel())]
 
-    n = _summed(rows, presence)[0].reshape(FOLDS, 2, ROWS)
+    context = rows.sparkSession.sparkContext
+    held = context.broadcast([np.zeros(FOLDS * 2 * ROWS, np.float32)])
+    n = _summed(rows, presence, held)[0].reshape(FOLDS, 2, ROWS)
+    held.unpersist()
     # the model on all documents, then the one on all but each fold
     totals = [own.sum(axis=0), *[own.sum(axis=0) - own[k] for k in range(FOLDS)]]
     seen = [n.sum(axis=0), *[n.sum(axis=0) - n[k] for k in range(FOLDS)]]
@@ -410,7 +432,6 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     judged = all(t.all() for t in totals)
     which = range(FOLDS + 1 if judged else 1)
     models = [untrained(seen[m], totals[m]) for m in which]
-    context = rows.sparkSession.sparkContext
     for epoch in range(EPOCHS):
         held = context.broadcast([_flat(m).astype(np.float32) for m in models])
 
@@ -423,7 +444,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
                     run.run(codes, offsets, words, y, order if m == 0 else order[fold[order] != m - 1])
             return [(run.documents / totals[m].sum(), _flat(run.model)) for m, run in zip(which, runs, strict=True)]
 
-        models = [_model(x) for x in _summed(rows, trained)]
+        models = [_model(x) for x in _summed(rows, trained, held)]
         held.unpersist()
     model = models[0]
     if judged:
@@ -437,15 +458,14 @@ def _calibrated(rows: DataFrame, model: Model, others: list[Model]) -> None:
     held = rows.sparkSession.sparkContext.broadcast(others)
 
     def run(batches):
-        for _, pieces in _by_part(batches):
-            for _, piece in pieces:
-                fold = np.asarray(piece.column("fold"))
-                z = np.zeros(len(fold))
-                for k, other in enumerate(held.value):
-                    if (fold == k).any():
-                        z[fold == k] = other.logits(piece.column("text").filter(pa.array(fold == k)))
-                step = np.rint(np.clip(z, -LIMIT, LIMIT) * STEPS).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([piece.column("lang"), pa.array(step), piece.column("toxic")], names=["lang", "step", "toxic"])
+        for piece in _pieces(batches):
+            fold = np.asarray(piece.column("fold"))
+            z = np.zeros(len(fold))
+            for k, other in enumerate(held.value):
+                if (fold == k).any():
+                    z[fold == k] = other.logits(piece.column("text").filter(pa.array(fold == k)))
+            step = np.rint(np.clip(z, -LIMIT, LIMIT) * STEPS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([piece.column("lang"), pa.array(step), piece.column("toxic")], names=["lang", "step", "toxic"])
 
     by_lang = stored(rows.mapInArrow(run, "lang string, step bigint, toxic int").groupBy("lang", "step")
                      .agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")), "toxicity-logits")

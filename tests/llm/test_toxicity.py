@@ -141,3 +141,51 @@ def test_every_labelled_document_is_learnt_from(spark, monkeypatch):
     assert ((score >= 0.5) == np.array([y for _, y, _ in held])).mean() > 0.97
     low, high = m.scores(pa.array(["leaf " * 50 + "bloom", "leaf " * 50 + "grunzel"]))
     assert low < 0.5 <= high and set(m.thresholds) == {"en", "de"}
+
+
+def test_parts_follow_the_text_not_the_partitions(spark, monkeypatch):
+    """With more partitions than asked for there are no more parts, whose weights would each be sent."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    dealt = DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, n, *keys: dealt(self, max(n, 40), *keys))
+    docs = docs_of(spark, [(i, t, lang, "s") for i, (t, _, lang) in enumerate(corpus(300))])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, toxic int")
+    assert {r.part for r in tx.labelled(docs, labels).select("part").collect()} == {0}
+    sizes, summed = [], tx._summed
+    monkeypatch.setattr(tx, "_summed", lambda rows, *a: sizes.append(rows.rdd.getNumPartitions()) or summed(rows, *a))
+    tx.learned(docs, labels)
+    assert sizes == [1] * (1 + tx.EPOCHS)
+
+
+def test_weights_sent_are_bounded(spark, monkeypatch):
+    """Many parts are trained on in few tasks, and a task sends what it moved."""
+    monkeypatch.setattr(tx, "PART_BYTES", 20_000)
+    monkeypatch.setattr(tx, "TASKS", 3)
+    rows = corpus(900, seed=5)
+    docs = docs_of(spark, [(i, t, lang, "s") for i, (t, _, lang) in enumerate(rows)])
+    labels = spark.createDataFrame([(i, y) for i, (_, y, _) in enumerate(rows)], "doc_id bigint, toxic int")
+    sizes, summed = [], tx._summed
+    monkeypatch.setattr(tx, "_summed", lambda rows, *a: sizes.append(rows.rdd.getNumPartitions()) or summed(rows, *a))
+    m = tx.learned(docs, labels)
+    assert tx.labelled(docs, labels).select("part").distinct().count() > 9 and max(sizes) <= 3
+    held = corpus(300, seed=6)
+    score = m.scores(pa.array([t for t, *_ in held]))
+    assert ((score >= 0.5) == np.array([y for _, y, _ in held])).mean() > 0.9
+
+
+def test_sums_of_moved_rows_equal_sums_of_whole_vectors(spark):
+    n = 1000 * tx.DIM + 3
+    first = np.random.default_rng(1).normal(size=n).astype(np.float32)
+    ends = [first.copy(), first.copy(), first]  # the last task moves nothing
+    ends[0][[0, 77, n - 1]] += 1
+    ends[1][[77, 500]] = 0
+    docs = spark.createDataFrame([(str(i),) for i in range(3)], "text string").repartition(5)
+    start = spark.sparkContext.broadcast([first])
+
+    def of_task(pieces):
+        own = [int(t) for piece in pieces for t in piece.column("text").to_pylist()]
+        return [(sum(0.25 * (i + 1) for i in own), sum(np.float64(0.25 * (i + 1)) * ends[i] for i in own) / sum(0.25 * (i + 1) for i in own))]
+
+    got, = tx._summed(docs, of_task, start)
+    assert len(got) == n and np.allclose(got, sum(0.25 * (i + 1) * ends[i].astype(float) for i in range(3)), atol=1e-5)
