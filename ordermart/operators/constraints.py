@@ -100,8 +100,10 @@ def violating_keys(tables: Mapping[str, DataFrame], layers: Iterable[str],
             continue
         rules = [(n, violated) for n, violated in row_rules(table) if only is None or (table, n) in only]
         if rules:
-            broken = F.filter(F.array(*[F.when(violated, F.lit(n)) for n, violated in rules]), lambda n: n.isNotNull())
+            # sound rules go after the array is taken apart: a lambda over it would be interpreted for every row
+            broken = F.array(*[F.when(violated, F.lit(n)) for n, violated in rules])
             parts.append(tables[table].select(key_text(*TABLE_KEYS[table][0]).alias("key"), F.explode(broken).alias("constraint_name"))
+                         .where(F.col("constraint_name").isNotNull())
                          .select(F.lit(table).alias("table_name"), "constraint_name", "key", F.lit(1).cast("bigint").alias("violations")))
         for n, domain, register in key_rules(table):
             if only is None or (table, n) in only:

@@ -53,3 +53,10 @@ def test_a_key_with_most_rows_is_limited_in_the_tasks(spark):
     assert [found["CHECK", k][0] for k in (1, 2, 3)] == ["o0000", "o0001", "o0002"]
     plan = constraint_evidence(tables, ["staging"], ORDERS)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_no_row_is_checked_in_interpreted_code(spark):
+    """A lambda is not compiled, nor is what it reads: the cells of every row and the counts of every key."""
+    tables = _tables(spark, [("o1", "c1", "lost")], [("c1",)])
+    plan = constraint_evidence(tables, ["staging"], ORDERS)._jdf.queryExecution().toString()
+    assert "Generate" in plan and "lambda" not in plan
