@@ -87,6 +87,18 @@ def pieces_of(batch: pa.RecordBatch, column: str, max_bytes: int = 16 << 20):
         yield batch.slice(a, b - a)
 
 
+def lean(rows_of):
+    """An Arrow map whose tasks give the memory they freed back to the system:
+    Python workers outlive their task, and stay idle beside the next stages."""
+    def run(batches):
+        try:
+            yield from rows_of(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()  # and that of numpy: it trims the C heap
+    return run
+
+
 def coded_words(texts: pa.Array, split) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """``split`` (an Arrow kernel giving lists) applied to texts without nulls,
     and its items dictionary-coded: (code of each item, offsets of each text's

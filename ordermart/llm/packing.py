@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_words, pieces_of, ragged
+from .common import coded_words, lean, pieces_of, ragged
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, bucket int")
@@ -114,7 +114,7 @@ def _pack(batches, max_length: int, end_id: int, tokenizer: str):
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
               ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("bucket", pa.int32())]
     for batch in batches:
-        for part in pieces_of(batch, "text", 8 << 20):
+        for part in pieces_of(batch, "text", 2 << 20):
             cols: dict[str, list] = {k: [] for k, _ in fields}
             docs = part.column("doc_id").to_pylist()
             for doc, ids in zip(docs, encoder.encode(pc.fill_null(part.column("text"), "")), strict=True):
@@ -148,7 +148,7 @@ def pack(docs: DataFrame, max_length: int = 1024, end_id: int = 0, tokenizer: st
     if max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(lambda it: _pack(it, max_length, end_id, tokenizer), SCHEMA)
+    return narrow.mapInArrow(lean(lambda it: _pack(it, max_length, end_id, tokenizer)), SCHEMA)
 
 
 def write_buckets(sequences: DataFrame, path: str) -> None:

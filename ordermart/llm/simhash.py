@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import guarded, pieces_of, stored
+from .common import guarded, lean, pieces_of, stored
 
 #: (shift, width) of the blocks, and of the sub-blocks of what is left
 BLOCKS = ((0, 21), (21, 21), (42, 22))
@@ -64,7 +64,7 @@ def _fingerprints(batches, shingle: int):
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long) of every document."""
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(lambda it: _fingerprints(it, shingle), "doc_id bigint, fp bigint")
+    return narrow.mapInArrow(lean(lambda it: _fingerprints(it, shingle)), "doc_id bigint, fp bigint")
 
 
 def _bits(column, shift: int, width: int):
@@ -218,7 +218,7 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     if radius > 2:
         raise ValueError("three blocks find pairs of at most two differing bits")
     return (shard_pairs(prints).repartition("which", "bits", "shard").sortWithinPartitions("which", "bits", "shard")
-            .mapInArrow(lambda it: _tree_links(it, radius), "a bigint, b bigint").distinct())
+            .mapInArrow(lean(lambda it: _tree_links(it, radius)), "a bigint, b bigint").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:

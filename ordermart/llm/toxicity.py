@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded_words, pieces_of, stored
+from .common import coded_words, lean, pieces_of, stored
 
 ROWS, DIM, FILTERS, WIDTHS, PREFIXES = 1 << 17, 8, 8, (1, 2, 3), (3, 4, 5)
 FOLDS, EPOCHS, MIN_POSITIVES = 2, 4, 20
@@ -365,7 +365,7 @@ def _summed(rows: DataFrame, of_task, start) -> list[np.ndarray]:
             total += weight * x
         return found.iloc[:1][["which", "slice"]].assign(data=[total.tobytes()])
 
-    sums = (rows.mapInArrow(run, "which int, slice int, task int, weight double, at binary, data binary")
+    sums = (rows.mapInArrow(lean(run), "which int, slice int, task int, weight double, at binary, data binary")
             .groupBy("which", "slice").applyInPandas(add, "which int, slice int, data binary").collect())
     found = itertools.groupby(sorted(sums, key=lambda r: (r["which"], r["slice"])), key=lambda r: r["which"])
     return [np.concatenate([np.frombuffer(r["data"]) for r in own])[:len(start.value[which])] for which, own in found]
@@ -467,7 +467,7 @@ def _calibrated(rows: DataFrame, model: Model, others: list[Model]) -> None:
             step = np.rint(np.clip(z, -LIMIT, LIMIT) * STEPS).astype(np.int64)
             yield pa.RecordBatch.from_arrays([piece.column("lang"), pa.array(step), piece.column("toxic")], names=["lang", "step", "toxic"])
 
-    by_lang = stored(rows.mapInArrow(run, "lang string, step bigint, toxic int").groupBy("lang", "step")
+    by_lang = stored(rows.mapInArrow(lean(run), "lang string, step bigint, toxic int").groupBy("lang", "step")
                      .agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")), "toxicity-logits")
     all_rows = by_lang.groupBy("step").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).orderBy("step").toPandas()
     calibrate(model, all_rows["step"].to_numpy() / STEPS, all_rows["hits"].to_numpy(), all_rows["n"].to_numpy())
@@ -505,7 +505,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                     [part.column("doc_id"), pa.array(score.astype(np.float64)), pa.array(score >= cut)],
                     names=["doc_id", "score", "rejected"])
 
-    return narrow.mapInArrow(run, "doc_id bigint, score double, rejected boolean")
+    return narrow.mapInArrow(lean(run), "doc_id bigint, score double, rejected boolean")
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
@@ -521,7 +521,7 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
                 cut = np.array([model.thresholds.get(x, model.threshold) for x in part.column(lang).to_pylist()])
                 yield part.filter(pa.array(score < cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

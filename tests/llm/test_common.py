@@ -53,3 +53,26 @@ def test_the_halves_of_a_text_key_are_independent(spark):
         assert r.h0 == signed(xxhash.xxh64_intdigest(r.t, 42))
         assert r.h1 != signed(xxhash.xxh64_intdigest(common.SALT, r.h0 % (1 << 64)))
         assert r.h1 == signed(xxhash.xxh64_intdigest(r.t, xxhash.xxh64_intdigest(common.SALT, 42)))
+
+
+def test_a_task_gives_back_its_memory(monkeypatch):
+    from ordermart.llm import common
+
+    given, pool = [], pa.default_memory_pool()
+
+    class Arrow:
+        @staticmethod
+        def default_memory_pool():
+            return type("Pool", (), {"release_unused": lambda self: given.append("arrow")})()
+
+        @staticmethod
+        def system_memory_pool():
+            return type("Pool", (), {"release_unused": lambda self: given.append("system")})()
+
+    monkeypatch.setattr(common, "pa", Arrow)
+    doubled = common.lean(lambda batches: (2 * x for x in batches))
+    assert list(doubled([1, 2])) == [2, 4] and given == ["arrow", "system"] and pool.bytes_allocated() >= 0
+    first = doubled([1, 2])
+    assert next(first) == 2 and len(given) == 2
+    first.close()  # a task that ends early
+    assert len(given) == 4
